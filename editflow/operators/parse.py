@@ -36,7 +36,9 @@ def parse_edits(raw: DataFrame, message: str = "message", keep: list[str] | None
     Lines that do not match, whose byte count is not a 32-bit integer, or that are NULL are
     dropped here; ``parse_rejects`` returns exactly those rows.
     """
-    keep = [c for c in (keep if keep is not None else raw.columns) if c != message]
+    # Input columns named like an edit field (the envelope's ``user`` is the relay bot) give
+    # way to the parsed field.
+    keep = [c for c in (keep if keep is not None else raw.columns) if c != message and c not in EDIT_FIELDS]
     record = edit_record(F.col(_GROUPS), F.col(_BYTES))
     return _with_groups(raw, message).select(*keep, F.inline(F.when(_ok(), F.array(record))))
 
