@@ -124,24 +124,41 @@ def vote_column(leaf: Column, table: list[list[int]], num_classes: int = 2) -> C
         vector_to_array(leaf),
         lambda l, i: F.element_at(F.element_at(lookup, i + 1), l.cast("int") + 1),
     )
+    if num_classes == 2:
+        # One pass: votes for class 1 against the tree count; a tie stays 0.
+        ones = F.aggregate(classes, F.lit(0), lambda acc, c: acc + c)
+        return F.when(ones * 2 > F.size(classes), F.lit(1)).otherwise(F.lit(0))
     counts = F.array(*[F.size(F.filter(classes, _is_class(k))) for k in range(num_classes)])
     return (F.array_position(counts, F.array_max(counts)) - 1).cast("int")
 
 
+def voter(model: PipelineModel, table: list[list[int]], prediction: str = "predicted"):
+    """A reusable ``DataFrame -> DataFrame`` that adds the majority-vote ``prediction``.
+
+    The forest copy and the vote expression (with its lookup literal) are built once, so a
+    streaming job pays for them once rather than in every micro-batch.
+    """
+    rf = forest(model).copy()
+    rf.setLeafCol(LEAF_COL)
+    expr = vote_column(F.col(LEAF_COL), table, rf.numClasses)
+    assemble, pca = model.stages[0], model.stages[1]
+
+    def apply(df: DataFrame) -> DataFrame:
+        with_leaves = rf.transform(pca.transform(assemble.transform(df)))
+        return with_leaves.withColumn(prediction, expr).drop(
+            FEATURES_COL, PCA_COL, LEAF_COL, "rawPrediction", "probability", "prediction"
+        )
+
+    return apply
+
+
 def vote(model: PipelineModel, model_path: str, df: DataFrame, prediction: str = "predicted") -> DataFrame:
     """Majority-vote prediction of the forest (equal tree weights)."""
-    return vote_with_table(model, leaf_classes(df.sparkSession, model_path, model), df, prediction)
+    return voter(model, leaf_classes(df.sparkSession, model_path, model), prediction)(df)
 
 
 def vote_with_table(
     model: PipelineModel, table: list[list[int]], df: DataFrame, prediction: str = "predicted"
 ) -> DataFrame:
-    """``vote`` with the leaf table already read (reuse it across micro-batches)."""
-    rf = forest(model).copy()
-    rf.setLeafCol(LEAF_COL)
-    staged = model.stages[1].transform(model.stages[0].transform(df))
-    with_leaves = rf.transform(staged)
-    num_classes = rf.numClasses
-    return with_leaves.withColumn(prediction, vote_column(F.col(LEAF_COL), table, num_classes)).drop(
-        FEATURES_COL, PCA_COL, LEAF_COL, "rawPrediction", "probability", "prediction"
-    )
+    """``vote`` with the leaf table already read."""
+    return voter(model, table, prediction)(df)

@@ -101,10 +101,7 @@ def q_ml_vote(spark, sf_dir):
 def q_stream_score(spark, sf_dir):
     """Streaming scorer: per micro-batch raw table, majority-vote scored table and metrics."""
     model, path = fitted(spark, sf_dir)
-    table = M.leaf_classes(spark, path, model)
-
-    def scorer(frame: DataFrame) -> DataFrame:
-        return M.vote_with_table(model, table, frame)
+    scorer = M.voter(model, M.leaf_classes(spark, path, model))
 
     base = scratch_path(spark, "stream-score")
     paths = {k: f"{base}/{k}" for k in ("raw", "scored", "metrics")}

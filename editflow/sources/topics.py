@@ -39,7 +39,7 @@ def to_records(
 def write_topic(records: DataFrame, path: str, files: int | None = None) -> str:
     """Append records to a file topic (JSON lines). ``files`` sets how many files (and so how
     many micro-batches with ``maxFilesPerTrigger=1``) a small test topic is cut into."""
-    out = records.repartition(files, "partition") if files else records
+    out = records.repartition(files, "partition", "offset") if files else records
     out.write.mode("append").json(path)
     return path
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -133,6 +134,7 @@ def start_enrich(
 ) -> StreamingQuery:
     """Stream-static left join with the history table, then fill and drop (append mode)."""
     features = feat.feature_rows(edits, keep=["partition", "offset"])
+    history = history.persist(StorageLevel.MEMORY_AND_DISK)
     if joins.fits_broadcast(history, max_history_rows):
         enriched = features.join(F.broadcast(history), "user", "left")
     else:
@@ -163,6 +165,9 @@ def start_scoring(
     source per batch); ``paths`` has keys ``raw``, ``scored``, ``metrics``, ``rejects``.
     """
     decoded = decode_raw(records)
+    # The history is loaded once for the life of the query (as the source pipeline does) and
+    # kept; the size check decides once whether each batch broadcasts it.
+    history = history.persist(StorageLevel.MEMORY_AND_DISK)
     broadcast_history = joins.fits_broadcast(history)
 
     def process(batch: DataFrame, batch_id: int) -> None:
