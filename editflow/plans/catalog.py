@@ -415,15 +415,18 @@ def q_changelog_compact(spark, sf_dir):
     S.parsed_query('SELECT "user", count("user") AS no_of_edits FROM parsed GROUP BY "user"'),
 )
 def q_user_counts_ctas(spark, sf_dir):
-    """Store parsed edits as a table, then CREATE TABLE ... AS SELECT the per-user counts."""
-    from editflow.sources.files import write_raw_table
+    """Store parsed edits in the raw table, then CREATE TABLE ... AS SELECT the counts."""
+    import uuid
+
+    from editflow.sources.files import create_tables, user_counts_as_select, write_raw_table
 
-    raw_path = scratch_path(spark, "wiki_edits_parsed")
-    write_raw_table(parsed(spark, sf_dir), raw_path, batch_id=0)
-    stored = spark.read.parquet(raw_path)
-    counts_path = scratch_path(spark, "user_counts")
-    agg.user_counts(stored).write.parquet(counts_path)
-    return spark.read.parquet(counts_path)
+    suffix = uuid.uuid4().hex[:12]
+    base = scratch_path(spark, "tables")
+    names = create_tables(spark, base, prefix=f"t{suffix}_")
+    write_raw_table(parsed(spark, sf_dir), f"{base}/{names['raw']}", batch_id=0)
+    spark.sql(f"MSCK REPAIR TABLE {names['raw']}")
+    counts = user_counts_as_select(spark, names["raw"], f"user_counts_{suffix}", f"{base}/user_counts")
+    return spark.table(counts)
 
 
 @register(

@@ -38,3 +38,45 @@ def read_history_csv(spark: SparkSession, path: str, infer: bool = False) -> Dat
         df = reader.option("inferSchema", "true").csv(path)
         return df.select(F.col("user").cast("string"), F.col("no_of_edits").cast("long"))
     return reader.schema(HISTORY).csv(path)
+
+
+def read_envelopes(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """JSON lines of raw envelopes (nested ``user`` struct), with the fixed schema."""
+    from editflow.schemas import ENVELOPE
+
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(ENVELOPE).json(path)
+
+
+# DDL of the two target tables; quoted names keep their case (camelCase columns).
+RAW_TABLE_DDL = """CREATE TABLE IF NOT EXISTS {name} (
+  byteDiff INT, diffUrl STRING, isBotEdit BOOLEAN, isMinor BOOLEAN, isNew BOOLEAN,
+  isUnpatrolled BOOLEAN, summary STRING, title STRING, type STRING, user STRING, batch_id BIGINT
+) USING parquet PARTITIONED BY (batch_id) LOCATION '{location}'"""
+
+SCORED_TABLE_DDL = """CREATE TABLE IF NOT EXISTS {name} (
+  user STRING, type_bool INT, summary_bytes INT, total_byte_change INT, addition_or_deletion INT,
+  isMinor INT, isUnpatrolled INT, isNew INT, no_of_edits INT, isBotEdit INT, predicted INT,
+  batch_id BIGINT
+) USING parquet PARTITIONED BY (batch_id) LOCATION '{location}'"""
+
+
+def create_tables(spark: SparkSession, location: str, prefix: str = "") -> dict[str, str]:
+    """Create the raw-edit and scored tables (parquet, partitioned by batch) in the catalog.
+
+    No primary key on the raw table: it is an edit log, and a unique user key would reject
+    every second edit of a user. ``append_if_absent`` is the operator for keyed appends.
+    """
+    names = {"raw": f"{prefix}wiki_edits_parsed", "scored": f"{prefix}scored_data"}
+    spark.sql(RAW_TABLE_DDL.format(name=names["raw"], location=f"{location}/{names['raw']}"))
+    spark.sql(SCORED_TABLE_DDL.format(name=names["scored"], location=f"{location}/{names['scored']}"))
+    return names
+
+
+def user_counts_as_select(spark: SparkSession, raw_table: str, name: str, location: str) -> str:
+    """``CREATE TABLE <name> AS SELECT user, count(user) AS no_of_edits ... GROUP BY user``."""
+    spark.sql(
+        f"""CREATE TABLE {name} USING parquet LOCATION '{location}' AS
+            SELECT user, count(user) AS no_of_edits FROM {raw_table} GROUP BY user"""
+    )
+    return name

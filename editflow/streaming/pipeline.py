@@ -233,6 +233,50 @@ def topic_to_text(records: DataFrame, text_path: str, checkpoint: str, trigger:
     return _trigger(writer, trigger).start()
 
 
+def start_console(df: DataFrame, rows: int = 20, output_mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
+    """Print each micro-batch on the driver console (at most ``rows`` rows per batch)."""
+    writer = df.writeStream.format("console").outputMode(output_mode).option("numRows", rows).option("truncate", "false")
+    return _trigger(writer, trigger).start()
+
+
+def start_changelog_lines(
+    edits: DataFrame,
+    path: str | None,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The per-user counts as a stream of ``USER: <u> num.edits: <n>`` lines, one per change.
+
+    With ``path`` each batch's lines go to ``path/batch_id=<n>`` as text (replay-safe); without
+    one they are printed on the console.
+    """
+    use_rocksdb_state(edits.sparkSession)
+    lines = agg.changelog_text(agg.edits_by_user(edits))
+    if path is None:
+        return start_console(lines, output_mode="update", trigger=trigger)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, batch_id, fmt="text")
+
+    writer = lines.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def source_lag(query: StreamingQuery) -> list[dict]:
+    """Live reader lag of a running query, from its last progress report: per source, the
+    offsets it has read up to and the latest offsets available."""
+    progress = query.lastProgress or {}
+    return [
+        {
+            "source": src.get("description"),
+            "end_offset": src.get("endOffset"),
+            "latest_offset": src.get("latestOffset"),
+            "input_rows": src.get("numInputRows"),
+        }
+        for src in progress.get("sources", [])
+    ]
+
+
 def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
     """Wait for an ``availableNow`` query; fail loudly if it errored or did not finish."""
     finished = query.awaitTermination(timeout_s)
