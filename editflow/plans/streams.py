@@ -104,6 +104,23 @@ def q_stream_enrich(spark, sf_dir):
     return spark.read.parquet(sink).select(_event_id(), *cols)
 
 
+@register(
+    "stream_enrich_skew_split",
+    S.parsed_query(f"SELECT event_id, {_Q}, no_of_edits FROM enr", S.FEATURES, S.HISTORY, S.ENRICHED),
+)
+def q_stream_enrich_skew_split(spark, sf_dir):
+    """Stream-static enrichment through the path for a history above the broadcast bound."""
+    sink = scratch_path(spark, "stream-enriched")
+    edits = P.raw_to_edits(_raw_stream(spark, sf_dir))
+    query = P.start_enrich(
+        edits, history(spark, sf_dir), sink, scratch_path(spark, "ckpt"), P.AVAILABLE_NOW, max_history_rows=0
+    )
+    P.run_to_end(query)
+    cols = ["user", "type_bool", "summary_bytes", "total_byte_change", "addition_or_deletion",
+            "isBotEdit", "isMinor", "isUnpatrolled", "isNew", "no_of_edits"]
+    return spark.read.parquet(sink).select(_event_id(), *cols)
+
+
 @register("topic_roundtrip_parsed", S.parsed_query(f'SELECT event_id, "user" AS "key", {_EDIT_Q} FROM parsed'))
 def q_topic_roundtrip_parsed(spark, sf_dir):
     """Write parsed edits to a parsed topic, and continue from that topic in a second query."""

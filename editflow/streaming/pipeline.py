@@ -124,6 +124,19 @@ def read_counts(spark: SparkSession, sink_path: str) -> DataFrame:
     return agg.compact_changelog(changes, seq="batch_id")
 
 
+def _history_joiner(history: DataFrame, max_rows: int | None = None):
+    """Per-batch left join with the static history, decided once per query.
+
+    The history is persisted for the life of the query (the source pipeline also loads it
+    once). Under the broadcast bound every batch broadcasts it; above it each batch runs the
+    hot-key split join, because adaptive skew handling does not apply inside streaming plans.
+    """
+    history = history.persist(StorageLevel.MEMORY_AND_DISK)
+    if joins.fits_broadcast(history, max_rows):
+        return lambda left: left.join(F.broadcast(history), "user", "left")
+    return lambda left: joins.skew_split_left_join(left, history, "user")
+
+
 def start_enrich(
     edits: DataFrame,
     history: DataFrame,
@@ -132,20 +145,16 @@ def start_enrich(
     trigger: dict | None = None,
     max_history_rows: int | None = None,
 ) -> StreamingQuery:
-    """Stream-static left join with the history table, then fill and drop (append mode)."""
+    """Stream-static left join with the history table, then fill and drop; each batch is
+    written to ``sink_path/batch_id=<n>`` (replay-safe)."""
+    join = _history_joiner(history, max_history_rows)
     features = feat.feature_rows(edits, keep=["partition", "offset"])
-    history = history.persist(StorageLevel.MEMORY_AND_DISK)
-    if joins.fits_broadcast(history, max_history_rows):
-        enriched = features.join(F.broadcast(history), "user", "left")
-    else:
-        enriched = features.join(history, "user", "left")
-    model = feat.drop_incomplete(feat.fill_missing_history(enriched))
-    writer = (
-        model.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", sink_path)
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        model = feat.drop_incomplete(feat.fill_missing_history(join(batch)))
+        write_batch(model, sink_path, batch_id)
+
+    writer = features.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 
@@ -165,10 +174,7 @@ def start_scoring(
     source per batch); ``paths`` has keys ``raw``, ``scored``, ``metrics``, ``rejects``.
     """
     decoded = decode_raw(records)
-    # The history is loaded once for the life of the query (as the source pipeline does) and
-    # kept; the size check decides once whether each batch broadcasts it.
-    history = history.persist(StorageLevel.MEMORY_AND_DISK)
-    broadcast_history = joins.fits_broadcast(history)
+    join = _history_joiner(history)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -178,8 +184,7 @@ def start_scoring(
             if "rejects" in paths:
                 write_batch(parse_rejects(batch), paths["rejects"], batch_id)
             features = feat.feature_rows(edits, keep=["partition", "offset"])
-            right = F.broadcast(history) if broadcast_history else history
-            model = feat.drop_incomplete(feat.fill_missing_history(features.join(right, "user", "left")))
+            model = feat.drop_incomplete(feat.fill_missing_history(join(features)))
             scored = scorer(model).select(
                 "partition", "offset", "user", *feat.FEATURES, label, F.col("predicted").cast("int").alias("predicted")
             ).persist()
