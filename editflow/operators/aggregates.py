@@ -50,6 +50,10 @@ def running_count(
     2. running count inside ``(key, chunk)``: a window over one user-hour only.
     3. rows per ``(key, chunk)`` (partial aggregate), cumulative over the chunks of each key
        (a window over at most one row per user-hour), joined back on ``(key, chunk)``.
+
+    The input is read twice (once per branch). For the stored edit log that is a pruned
+    three-column scan, cheaper than caching the rows; the per-chunk branch shuffles only
+    partial counts.
     """
     ts, tiebreak = order
     origin = F.lit(0)
