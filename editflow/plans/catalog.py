@@ -48,10 +48,10 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Past edit counts for users whose id is not a multiple of three (one row per user)."""
+    """Past edit counts per user: events before the stream went live (one row per user)."""
     events = read_table(spark, sf_dir, "events")
     return (
-        events.where(F.col("user_id") % 3 != 0)
+        events.where(F.col("ts") < F.to_timestamp_ntz(F.lit(S.HISTORY_CUTOFF)))
         .groupBy(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("user"))
         .agg(F.count(F.lit(1)).alias("no_of_edits"))
     )
@@ -325,14 +325,15 @@ def q_enrich_skew_split(spark, sf_dir):
     "drop_incomplete",
     """SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, coalesce(c.c_mktsegment, 'UNKNOWN') AS c_mktsegment,
          c.c_nationkey
-       FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) c ON o.o_custkey = c.c_custkey
+       FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON o.o_custkey = c.c_custkey
        WHERE c.c_nationkey IS NOT NULL AND o.o_orderpriority IS NOT NULL AND o.o_orderkey IS NOT NULL
          AND o.o_custkey IS NOT NULL""",
 )
 def q_drop_incomplete(spark, sf_dir):
-    """Fill one column, then drop rows with any NULL: unmatched orders go, as in the scorer."""
+    """Fill one column, then drop rows with any NULL: orders of customers outside the
+    good-standing table (negative balance) are unmatched and go, as in the scorer."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 != 0).select(
+    customer = read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0).select(
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey"
     )
     joined = joins.left_join_checked(orders, customer, "o_custkey")

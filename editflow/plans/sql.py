@@ -50,10 +50,12 @@ FEATURES = """feat AS (
     CAST("isNew" AS INTEGER) AS "isNew"
   FROM parsed)"""
 
-# History: counts of past edits for the users whose id is not a multiple of three.
-HISTORY = """hist AS (
+# History: per-user counts of the events before the stream went live (the first six hours);
+# users first seen later have no history row.
+HISTORY_CUTOFF = "2024-01-01 06:00:00"
+HISTORY = f"""hist AS (
   SELECT 'user' || CAST(user_id AS VARCHAR) AS "user", count(*) AS no_of_edits
-  FROM events WHERE user_id % 3 <> 0 GROUP BY 1)"""
+  FROM events WHERE ts < TIMESTAMP '{HISTORY_CUTOFF}' GROUP BY 1)"""
 
 ENRICHED = """enr AS (
   SELECT f.*, coalesce(h.no_of_edits, 1) AS no_of_edits
