@@ -50,6 +50,26 @@ def parse_rejects(raw: DataFrame, message: str = "message") -> DataFrame:
     return staged.drop("_rejected")
 
 
+def tag_edits(raw: DataFrame, message: str = "message") -> DataFrame:
+    """``raw`` + ``_edit`` (the edit struct, NULL for a rejected row), one regex pass per row.
+
+    For jobs that need both sides (edits and rejects) from one evaluation: persist the tagged
+    frame, then take ``edits_from_tagged`` and ``rejects_from_tagged``.
+    """
+    record = edit_record(F.col(_GROUPS), F.col(_BYTES))
+    staged = _with_groups(raw, message)
+    return staged.withColumn("_edit", F.when(_ok(), record)).drop(_GROUPS, _BYTES)
+
+
+def edits_from_tagged(tagged: DataFrame, message: str = "message") -> DataFrame:
+    keep = [c for c in tagged.columns if c not in ("_edit", message) and c not in EDIT_FIELDS]
+    return tagged.where(F.col("_edit").isNotNull()).select(*keep, "_edit.*")
+
+
+def rejects_from_tagged(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("_edit").isNull()).drop("_edit")
+
+
 def key_by_user(edits: DataFrame) -> DataFrame:
     """Parsed-topic shape: ``key`` = editor, ``value`` = the edit record."""
     return edits.select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,7 +20,7 @@ from editflow.functions import json as fjson
 from editflow.operators import aggregates as agg
 from editflow.operators import features as feat
 from editflow.operators import joins
-from editflow.operators.parse import parse_edits, parse_rejects
+from editflow.operators.parse import edits_from_tagged, parse_edits, parse_rejects, rejects_from_tagged, tag_edits
 from editflow.operators.topics import encode_parsed
 from editflow.schemas import ENVELOPE, EDIT, EDIT_FIELDS
 from editflow.session import ROCKSDB_PROVIDER
@@ -170,38 +170,44 @@ def start_scoring(
     """Per micro-batch: raw table, scored table and batch metrics, each idempotent per batch.
 
     ``scorer`` maps the model frame (features + no_of_edits) to the same rows plus an integer
-    ``predicted`` column. The batch is persisted once and feeds every sink (one read of the
-    source per batch); ``paths`` has keys ``raw``, ``scored``, ``metrics``, ``rejects``.
+    ``predicted`` column. Each row is parsed once: the tagged batch is persisted and feeds the
+    raw, reject and scored sinks, and the metrics are observed during the scored write;
+    ``paths`` has keys ``raw``, ``scored``, ``metrics`` and optionally ``rejects`` (malformed
+    JSON keeps its text in ``_corrupt_record``).
     """
     decoded = decode_raw(records)
     join = _history_joiner(history)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # One regex pass per row: the tagged batch (edit struct or NULL) is kept for the sinks.
+        tagged = tag_edits(batch).persist()
         try:
-            edits = parse_edits(batch.drop(fjson.CORRUPT))
+            edits = edits_from_tagged(tagged)
             write_raw_table(edits, paths["raw"], batch_id)
             if "rejects" in paths:
-                write_batch(parse_rejects(batch), paths["rejects"], batch_id)
+                write_batch(rejects_from_tagged(tagged), paths["rejects"], batch_id)
             features = feat.feature_rows(edits, keep=["partition", "offset"])
             model = feat.drop_incomplete(feat.fill_missing_history(join(features)))
             scored = scorer(model).select(
                 "partition", "offset", "user", *feat.FEATURES, label, F.col("predicted").cast("int").alias("predicted")
-            ).persist()
-            try:
-                write_batch(scored, paths["scored"], batch_id)
-                metrics = agg.error_rate(scored, label=label).select(
-                    F.lit(batch_id).cast("long").alias("batch_id"),
-                    F.current_timestamp().alias("batch_time"),
-                    "rows",
-                    "errors",
-                    "error_rate",
-                )
-                write_batch(metrics, paths["metrics"], batch_id)
-            finally:
-                scored.unpersist()
+            )
+            # Metrics are observed while the scored rows are written (no second job over them).
+            seen = Observation(f"scored_{batch_id}")
+            wrong = F.col(label) != F.col("predicted")
+            write_batch(
+                scored.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("errors")),
+                paths["scored"],
+                batch_id,
+            )
+            got = seen.get
+            rows, errors = int(got["rows"]), int(got["errors"])
+            metrics = tagged.sparkSession.createDataFrame(
+                [(int(batch_id), rows, errors, round(errors / rows, 6) if rows else None)],
+                "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
+            ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
+            write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
         finally:
-            batch.unpersist()
+            tagged.unpersist()
 
     writer = decoded.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
