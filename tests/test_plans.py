@@ -30,10 +30,17 @@ def test_counts_aggregate_before_the_shuffle(spark):
 def test_history_broadcast_only_under_bound(spark):
     small = joins.left_join_checked(features(spark, SF), history(spark, SF), "user")
     assert "BroadcastHashJoin" in _plan(small)
-    forced = joins.left_join_checked(features(spark, SF), history(spark, SF), "user", max_rows=0)
-    plan = _plan(forced)
-    # Above the bound only the hot keys' history rows are broadcast; the rest is a shuffle join.
+    # Above the bound only the hot keys' history rows are broadcast; the rest is a shuffle
+    # join (Spark's own size-based broadcast is switched off to see it).
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        forced = joins.left_join_checked(features(spark, SF), history(spark, SF), "user", max_rows=0)
+        plan = _plan(forced)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" in plan
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert "LessThan(ts," in plan  # the history cut-off reaches the parquet scan
 
 
 def test_declared_schema_scan(spark):
