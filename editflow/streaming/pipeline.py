@@ -9,6 +9,7 @@ its own output.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -27,6 +28,7 @@ from editflow.session import ROCKSDB_PROVIDER
 from editflow.sources.files import write_batch, write_raw_table
 
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
+LOG = logging.getLogger("editflow.streaming")
 
 
 def _trigger(writer, trigger: dict | None):
@@ -171,9 +173,9 @@ def start_scoring(
 
     ``scorer`` maps the model frame (features + no_of_edits) to the same rows plus an integer
     ``predicted`` column. Each row is parsed once: the tagged batch is persisted and feeds the
-    raw, reject and scored sinks, and the metrics are observed during the scored write;
-    ``paths`` has keys ``raw``, ``scored``, ``metrics`` and optionally ``rejects`` (malformed
-    JSON keeps its text in ``_corrupt_record``).
+    raw, reject and scored sinks, and the metrics are observed during the scored write and
+    logged. ``paths`` has keys ``raw`` and ``scored``, and optionally ``metrics`` (a table of
+    per-batch metrics) and ``rejects`` (malformed JSON keeps its text in ``_corrupt_record``).
     """
     decoded = decode_raw(records)
     join = _history_joiner(history)
@@ -201,11 +203,14 @@ def start_scoring(
             )
             got = seen.get
             rows, errors = int(got["rows"]), int(got["errors"])
-            metrics = tagged.sparkSession.createDataFrame(
-                [(int(batch_id), rows, errors, round(errors / rows, 6) if rows else None)],
-                "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
-            ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
-            write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
+            rate = round(errors / rows, 6) if rows else None
+            LOG.info("batch %d: %d scored rows, %d errors, error rate %s", batch_id, rows, errors, rate)
+            if "metrics" in paths:
+                metrics = tagged.sparkSession.createDataFrame(
+                    [(int(batch_id), rows, errors, rate)],
+                    "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
+                ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
+                write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
         finally:
             tagged.unpersist()
 
