@@ -21,7 +21,7 @@ from editflow.operators import joins
 from editflow.operators import topics as ops_topics
 from editflow.operators.parse import only_edits, parse_edits, parse_rejects
 from editflow.plans import sql as S
-from editflow.schemas import EDIT_FIELDS, HISTORY, RAW_TABLE, RAW_TABLE_WITH_BATCH
+from editflow.schemas import EDIT_FIELDS, RAW_TABLE, RAW_TABLE_WITH_BATCH
 from editflow.session import scratch_path
 from editflow.sources.tables import read_messages, read_table
 
@@ -523,4 +523,4 @@ def q_sink_raw_batch(spark, sf_dir):
     return spark.read.schema(RAW_TABLE_WITH_BATCH).parquet(path)
 
 
-__all__ = ["QUERIES", "ORACLE", "HISTORY"]
+__all__ = ["QUERIES", "ORACLE", "register"]

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from editflow.operators import model as M

@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.sql import Row
-from pyspark.sql import functions as F
 
 from editflow.operators.parse import parse_edits, parse_rejects
 
