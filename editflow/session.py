@@ -24,6 +24,8 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of lineage cuts (row index) are removed once no plan references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Per-user counts grow without bound (one row per user ever seen): RocksDB keeps that
     # state off-heap and changelog checkpointing uploads only the delta of each batch.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,

@@ -135,8 +135,17 @@ def _history_joiner(history: DataFrame, max_rows: int | None = None):
     """
     history = history.persist(StorageLevel.MEMORY_AND_DISK)
     if joins.fits_broadcast(history, max_rows):
-        return lambda left: left.join(F.broadcast(history), "user", "left")
-    return lambda left: joins.skew_split_left_join(left, history, "user")
+        join = lambda left: left.join(F.broadcast(history), "user", "left")
+    else:
+        join = lambda left: joins.skew_split_left_join(left, history, "user")
+    join.cached = history
+    return join
+
+
+def _release_with(query: StreamingQuery, *frames: DataFrame) -> StreamingQuery:
+    """Remember cached frames that belong to ``query``; ``run_to_end`` releases them."""
+    query._editflow_cached = list(frames)  # plain Python attribute on the query handle
+    return query
 
 
 def start_enrich(
@@ -157,7 +166,7 @@ def start_enrich(
         write_batch(model, sink_path, batch_id)
 
     writer = features.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
+    return _release_with(_trigger(writer, trigger).start(), join.cached)
 
 
 def start_scoring(
@@ -215,7 +224,7 @@ def start_scoring(
             tagged.unpersist()
 
     writer = decoded.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger).start()
+    return _release_with(_trigger(writer, trigger).start(), join.cached)
 
 
 def copy_topic(records: DataFrame, topic_path: str, checkpoint: str, topic: str, trigger: dict | None = None) -> StreamingQuery:
@@ -295,7 +304,11 @@ def source_lag(query: StreamingQuery) -> list[dict]:
 
 def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
     """Wait for an ``availableNow`` query; fail loudly if it errored or did not finish."""
-    finished = query.awaitTermination(timeout_s)
+    try:
+        finished = query.awaitTermination(timeout_s)
+    finally:
+        for frame in getattr(query, "_editflow_cached", []):
+            frame.unpersist()
     if not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
