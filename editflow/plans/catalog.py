@@ -321,6 +321,23 @@ def q_enrich_skew_split(spark, sf_dir):
     return feat.drop_incomplete(model)
 
 
+@register(
+    "enrich_bucketed",
+    S.parsed_query(f"SELECT event_id, {_Q}, no_of_edits FROM enr", S.FEATURES, S.HISTORY, S.ENRICHED),
+)
+def q_enrich_bucketed(spark, sf_dir):
+    """Enrichment above the broadcast bound against a history table bucketed by user: the
+    history side is read in place, only the edits are shuffled."""
+    import uuid
+
+    from editflow.sources.files import bucket_history
+
+    name = f"user_counts_bucketed_{uuid.uuid4().hex[:12]}"
+    table = bucket_history(history(spark, sf_dir), name, scratch_path(spark, name), buckets=8)
+    model = joins.enrich_with_history(features(spark, sf_dir), table, max_rows=0)
+    return feat.drop_incomplete(model)
+
+
 @register(
     "drop_incomplete",
     """SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, coalesce(c.c_mktsegment, 'UNKNOWN') AS c_mktsegment,

@@ -46,3 +46,18 @@ def test_history_broadcast_only_under_bound(spark):
 def test_declared_schema_scan(spark):
     df = read_table(spark, SF, "events")
     assert df.schema.simpleString().startswith("struct<event_id:bigint,ts:timestamp_ntz")
+
+
+def test_bucketed_history_is_not_shuffled(spark, scratch):
+    from editflow.sources.files import bucket_history
+
+    name = "hist_bucketed_test"
+    table = bucket_history(history(spark, SF), name, scratch(name), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(features(spark, SF).join(table, "user", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    # Exactly one shuffle on user: the features side; the bucketed table is read in place.
+    assert plan.count("Exchange hashpartitioning(user") == 1
