@@ -129,16 +129,20 @@ def read_counts(spark: SparkSession, sink_path: str) -> DataFrame:
 def _history_joiner(history: DataFrame, max_rows: int | None = None):
     """Per-batch left join with the static history, decided once per query.
 
-    The history is persisted for the life of the query (the source pipeline also loads it
-    once). Under the broadcast bound every batch broadcasts it; above it each batch runs the
-    hot-key split join, because adaptive skew handling does not apply inside streaming plans.
+    Under the broadcast bound the history is loaded once and kept for the life of the query
+    (as the source pipeline does) and every batch broadcasts it. Above it each batch runs the
+    hot-key split join against the table in place, because adaptive skew handling does not
+    apply inside streaming plans.
     """
-    history = history.persist(StorageLevel.MEMORY_AND_DISK)
     if joins.fits_broadcast(history, max_rows):
-        join = lambda left: left.join(F.broadcast(history), "user", "left")
-    else:
-        join = lambda left: joins.skew_split_left_join(left, history, "user")
-    join.cached = history
+        cached = history.persist(StorageLevel.MEMORY_AND_DISK)
+        join = lambda left: left.join(F.broadcast(cached), "user", "left")
+        join.cached = [cached]
+        return join
+    # Too big to keep or broadcast: read in place each batch (store it bucketed by user with
+    # ``sources.files.bucket_history`` and only the batch side is shuffled).
+    join = lambda left: joins.skew_split_left_join(left, history, "user")
+    join.cached = []
     return join
 
 
@@ -166,7 +170,7 @@ def start_enrich(
         write_batch(model, sink_path, batch_id)
 
     writer = features.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _release_with(_trigger(writer, trigger).start(), join.cached)
+    return _release_with(_trigger(writer, trigger).start(), *join.cached)
 
 
 def start_scoring(
@@ -224,7 +228,7 @@ def start_scoring(
             tagged.unpersist()
 
     writer = decoded.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _release_with(_trigger(writer, trigger).start(), join.cached)
+    return _release_with(_trigger(writer, trigger).start(), *join.cached)
 
 
 def copy_topic(records: DataFrame, topic_path: str, checkpoint: str, topic: str, trigger: dict | None = None) -> StreamingQuery:
