@@ -8,6 +8,7 @@ the rows are split out and joined against a broadcast of just their partner rows
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,28 +38,52 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     return df.count() <= bound
 
 
+def hot_keys(left: DataFrame, key: str, hot_share: int = HOT_KEY_SHARE) -> list:
+    """Keys owning at least 1/hot_share of ``left``'s rows (at most ``hot_share`` of them).
+
+    One exact aggregation over ``left`` (partial counts per task); the per-key counts are kept
+    while the total and the hot keys are read from them, then released. Only the hot keys,
+    a list bounded by ``hot_share``, reach the driver.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = counts.agg(F.sum("_n")).first()[0] or 0
+        threshold = max(1, -(-total // hot_share))
+        rows = counts.where(F.col(key).isNotNull() & (F.col("_n") >= threshold)).select(key).collect()
+    finally:
+        counts.unpersist()
+    return [r[0] for r in rows]
+
+
 def skew_split_left_join(
     left: DataFrame, right: DataFrame, key: str, hot_share: int = HOT_KEY_SHARE
 ) -> DataFrame:
     """Left join on a unique-keyed ``right`` that stays balanced when some keys are hot.
 
-    Keys owning >= 1/hot_share of ``left`` (at most ``hot_share`` of them) are joined against a
-    broadcast of their own ``right`` rows; all other rows take a shuffle join, whose
-    partitions are then even. Both parts are unioned; no row is dropped or duplicated.
+    Rows of the hot keys (at most ``hot_share`` of them) take their partner from a broadcast
+    of just those keys' ``right`` rows. Every row then goes through one shuffle join; a hot
+    row carries a join key spread by a hash of its own columns and an extra ``NOT hot``
+    condition, so it is spread evenly and never matches there. ``left`` is read twice in all
+    (the hot-key count and the join) and no row is dropped or duplicated.
     """
-    total = left.count()
-    threshold = max(1, -(-total // hot_share))
-    hot = (
-        left.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col(key).isNotNull() & (F.col("_n") >= threshold))
-        .select(key)
+    hot = hot_keys(left, key, hot_share)
+    if not hot:
+        return left.join(right, key, "left")
+    values = [c for c in right.columns if c != key]
+    is_hot = F.col(key).isin(hot)
+    hot_right = F.broadcast(
+        right.where(is_hot).select(F.col(key), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    )
+    tagged = left.withColumn("_hot", F.coalesce(is_hot, F.lit(False))).join(hot_right, key, "left")
+    spread = F.xxhash64(*[F.col(c) for c in left.columns]).cast("string")
+    tagged = tagged.withColumn("_jk", F.when(F.col("_hot"), spread).otherwise(F.col(key).cast("string")))
+    cold_right = right.select(F.col(key).cast("string").alias("_rk"), *[F.col(c).alias(f"_cold_{c}") for c in values])
+    joined = tagged.join(cold_right, (F.col("_jk") == F.col("_rk")) & ~F.col("_hot"), "left")
+    return joined.select(  # the column order of ``left.join(right, key, "left")``
+        F.col(key),
+        *[F.col(c) for c in left.columns if c != key],
+        *[F.coalesce(F.col(f"_hot_{c}"), F.col(f"_cold_{c}")).alias(c) for c in values],
     )
-    hot = F.broadcast(hot)  # <= hot_share rows by construction
-    hot_right = F.broadcast(right.join(hot, key, "left_semi"))
-    hot_rows = left.join(hot, key, "left_semi").join(hot_right, key, "left")
-    cold_rows = left.join(hot, key, "left_anti").join(right, key, "left")
-    return hot_rows.unionByName(cold_rows)
 
 
 def left_join_checked(
