@@ -106,3 +106,24 @@ def test_history_csv_inferred_equals_declared(spark, scratch):
     inferred = read_history_csv(spark, path, infer=True)
     assert declared.schema == inferred.schema
     assert sorted(declared.collect()) == sorted(inferred.collect())
+
+
+def test_stream_vote_equals_batch_vote(spark, scratch):
+    from editflow.operators import model as M
+    from editflow.plans.catalog import enriched, history
+
+    rows = enriched(spark, SF)
+    model = M.fit(rows, num_trees=5, seed=3)
+    path = M.save(model, scratch("model"))
+    voter = M.voter(model, M.leaf_classes(spark, path, model))
+    batch = voter(rows).select("event_id", "predicted")
+
+    topic = write_topic(raw_topic_records(spark, SF), scratch("topic"), files=2)
+    base = scratch("score")
+    paths = {"raw": f"{base}/raw", "scored": f"{base}/scored"}
+    stream = read_topic(spark, topic, stream=True, max_files_per_trigger=1)
+    P.run_to_end(P.start_scoring(stream, history(spark, SF), voter, paths, scratch("ckpt"), P.AVAILABLE_NOW))
+    streamed = spark.read.parquet(paths["scored"]).select(
+        (F.col("offset") * 4 + F.col("partition")).alias("event_id"), "predicted"
+    )
+    assert sorted(streamed.collect()) == sorted(batch.collect())
