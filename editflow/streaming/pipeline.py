@@ -137,12 +137,12 @@ def _history_joiner(history: DataFrame, max_rows: int | None = None):
     if joins.fits_broadcast(history, max_rows):
         cached = history.persist(StorageLevel.MEMORY_AND_DISK)
         join = lambda left: left.join(F.broadcast(cached), "user", "left")
-        join.cached = [cached]
+        join.cached, join.static = [cached], True
         return join
     # Too big to keep or broadcast: read in place each batch (store it bucketed by user with
     # ``sources.files.bucket_history`` and only the batch side is shuffled).
     join = lambda left: joins.skew_split_left_join(left, history, "user")
-    join.cached = []
+    join.cached, join.static = [], False
     return join
 
 
@@ -173,6 +173,37 @@ def start_enrich(
     return _release_with(_trigger(writer, trigger).start(), *join.cached)
 
 
+_COMPLETE = "_complete"
+
+
+def scoring_frame(
+    decoded: DataFrame, join, scorer: Callable[[DataFrame], DataFrame], label: str = "isBotEdit"
+) -> DataFrame:
+    """Every decoded row with its edit (``_edit``, NULL for a reject), the model inputs, the
+    history count, ``_complete`` and ``predicted``: one plan, declared once, valid on a stream.
+
+    ``join`` must be a plain per-row join (the broadcast history). Rows that would be dropped
+    before scoring (rejects, NULL inputs) go through the model with zeros in place of their
+    inputs and are filtered out by ``_complete`` at the sink, so the assembler's NULL check
+    still holds and no row of the scored table differs from scoring the complete rows alone.
+    """
+    tagged = tag_edits(decoded)
+    edits = tagged.select(*decoded.columns, "_edit", "_edit.*")
+    features = feat.feature_rows(edits, keep=[*decoded.columns, "_edit"])
+    model = feat.fill_missing_history(join(features))
+    complete = F.col("_edit").isNotNull()
+    for c in ["partition", "offset", "user", *feat.FEATURES, label]:
+        complete = complete & F.col(c).isNotNull()
+    masked = model.withColumn(_COMPLETE, complete).select(
+        *[
+            F.when(F.col(_COMPLETE), F.col(c)).otherwise(F.lit(0)).alias(c) if c in feat.FEATURES else F.col(c)
+            for c in model.columns
+        ],
+        _COMPLETE,
+    )
+    return scorer(masked)
+
+
 def start_scoring(
     records: DataFrame,
     history: DataFrame,
@@ -185,49 +216,78 @@ def start_scoring(
     """Per micro-batch: raw table, scored table and batch metrics, each idempotent per batch.
 
     ``scorer`` maps the model frame (features + no_of_edits) to the same rows plus an integer
-    ``predicted`` column. Each row is parsed once: the tagged batch is persisted and feeds the
-    raw, reject and scored sinks, and the metrics are observed during the scored write and
+    ``predicted`` column. Each row is parsed and scored once: the batch is persisted and feeds
+    the raw, reject and scored sinks, and the metrics are observed during the scored write and
     logged. ``paths`` has keys ``raw`` and ``scored``, and optionally ``metrics`` (a table of
     per-batch metrics) and ``rejects`` (malformed JSON keeps its text in ``_corrupt_record``).
+
+    When the history fits the broadcast bound, parse, features, join and model are declared
+    once on the stream (``scoring_frame``), so a micro-batch builds no plan in Python and only
+    selects its outputs. Above the bound each batch runs the hot-key split join, which needs
+    a count of the batch, so that part of the plan is built per batch.
     """
     decoded = decode_raw(records)
     join = _history_joiner(history)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        # One regex pass per row: the tagged batch (edit struct or NULL) is kept for the sinks.
-        tagged = tag_edits(batch).persist()
-        try:
-            edits = edits_from_tagged(tagged)
-            write_raw_table(edits, paths["raw"], batch_id)
-            if "rejects" in paths:
-                write_batch(rejects_from_tagged(tagged), paths["rejects"], batch_id)
-            features = feat.feature_rows(edits, keep=["partition", "offset"])
-            model = feat.drop_incomplete(feat.fill_missing_history(join(features)))
-            scored = scorer(model).select(
-                "partition", "offset", "user", *feat.FEATURES, label, F.col("predicted").cast("int").alias("predicted")
-            )
-            # Metrics are observed while the scored rows are written (no second job over them).
-            seen = Observation(f"scored_{batch_id}")
-            wrong = F.col(label) != F.col("predicted")
-            write_batch(
-                scored.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("errors")),
-                paths["scored"],
-                batch_id,
-            )
-            got = seen.get
-            rows, errors = int(got["rows"]), int(got["errors"])
-            rate = round(errors / rows, 6) if rows else None
-            LOG.info("batch %d: %d scored rows, %d errors, error rate %s", batch_id, rows, errors, rate)
-            if "metrics" in paths:
-                metrics = tagged.sparkSession.createDataFrame(
-                    [(int(batch_id), rows, errors, rate)],
-                    "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
-                ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
-                write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
-        finally:
-            tagged.unpersist()
-
-    writer = decoded.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    out_cols = ["partition", "offset", "user", *feat.FEATURES, label]
+    predicted = F.col("predicted").cast("int").alias("predicted")
+
+    def write_outputs(edits: DataFrame, rejects: DataFrame, scored: DataFrame, batch_id: int) -> None:
+        write_raw_table(edits, paths["raw"], batch_id)
+        if "rejects" in paths:
+            write_batch(rejects, paths["rejects"], batch_id)
+        # Metrics are observed while the scored rows are written (no second job over them).
+        seen = Observation(f"scored_{batch_id}")
+        wrong = F.col(label) != F.col("predicted")
+        write_batch(
+            scored.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("errors")),
+            paths["scored"],
+            batch_id,
+        )
+        got = seen.get
+        rows, errors = int(got["rows"]), int(got["errors"])
+        rate = round(errors / rows, 6) if rows else None
+        LOG.info("batch %d: %d scored rows, %d errors, error rate %s", batch_id, rows, errors, rate)
+        if "metrics" in paths:
+            metrics = scored.sparkSession.createDataFrame(
+                [(int(batch_id), rows, errors, rate)],
+                "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
+            ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
+            write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
+
+    if join.static:
+        wide = scoring_frame(decoded, join, scorer, label)
+        has_edit = F.col("_edit").isNotNull()
+
+        def process(batch: DataFrame, batch_id: int) -> None:
+            kept = batch.persist()
+            try:
+                write_outputs(
+                    kept.where(has_edit).select("_edit.*"),
+                    kept.where(~has_edit).select(*decoded.columns),
+                    kept.where(F.col(_COMPLETE)).select(*out_cols, predicted),
+                    batch_id,
+                )
+            finally:
+                kept.unpersist()
+
+        source = wide
+    else:
+
+        def process(batch: DataFrame, batch_id: int) -> None:
+            # One regex pass per row: the tagged batch (edit struct or NULL) is kept for the sinks.
+            tagged = tag_edits(batch).persist()
+            try:
+                edits = edits_from_tagged(tagged)
+                features = feat.feature_rows(edits, keep=["partition", "offset"])
+                model = feat.drop_incomplete(feat.fill_missing_history(join(features)))
+                scored = scorer(model).select(*out_cols, predicted)
+                write_outputs(edits, rejects_from_tagged(tagged), scored, batch_id)
+            finally:
+                tagged.unpersist()
+
+        source = decoded
+
+    writer = source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return _release_with(_trigger(writer, trigger).start(), *join.cached)
 
 

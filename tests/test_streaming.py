@@ -127,3 +127,26 @@ def test_stream_vote_equals_batch_vote(spark, scratch):
         (F.col("offset") * 4 + F.col("partition")).alias("event_id"), "predicted"
     )
     assert sorted(streamed.collect()) == sorted(batch.collect())
+
+
+def test_declared_scoring_equals_per_batch_scoring(spark, scratch):
+    """Under the broadcast bound the scoring plan is declared once on the stream; above it
+    each batch builds the skew-split join. Both write the same raw, reject and scored rows."""
+    from editflow.plans.catalog import history, rule_prediction
+
+    topic = write_topic(raw_topic_records(spark, SF), scratch("topic"), files=2)
+    out = {}
+    for bound in (None, "0"):
+        if bound is not None:
+            spark.conf.set("editflow.broadcast.maxRows", bound)
+        try:
+            base = scratch("score")
+            paths = {k: f"{base}/{k}" for k in ("raw", "scored", "rejects")}
+            stream = read_topic(spark, topic, stream=True, max_files_per_trigger=1)
+            query = P.start_scoring(stream, history(spark, SF), rule_prediction, paths, scratch("ckpt"), P.AVAILABLE_NOW)
+            P.run_to_end(query)
+        finally:
+            spark.conf.unset("editflow.broadcast.maxRows")
+        out[bound] = {k: sorted(map(tuple, spark.read.parquet(p).collect())) for k, p in paths.items()}
+    assert out[None]["raw"] and out[None]["scored"] and out[None]["rejects"]
+    assert out[None] == out["0"]
