@@ -164,12 +164,21 @@ def start_enrich(
     written to ``sink_path/batch_id=<n>`` (replay-safe)."""
     join = _history_joiner(history, max_history_rows)
     features = feat.feature_rows(edits, keep=["partition", "offset"])
+    enrich = lambda df: feat.drop_incomplete(feat.fill_missing_history(join(df)))
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        model = feat.drop_incomplete(feat.fill_missing_history(join(batch)))
-        write_batch(model, sink_path, batch_id)
+    if join.static:  # broadcast history: the join is part of the stream's plan, built once
+        source = enrich(features)
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            write_batch(batch, sink_path, batch_id)
+
+    else:  # the skew-split join counts each batch's keys, so it is built per batch
+        source = features
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            write_batch(enrich(batch), sink_path, batch_id)
 
-    writer = features.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _release_with(_trigger(writer, trigger).start(), *join.cached)
 
 
