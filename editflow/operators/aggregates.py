@@ -48,12 +48,14 @@ def running_count(
 
     1. ``chunk`` = the hour of ``ts`` (monotone in the order, so chunks are ordered).
     2. running count inside ``(key, chunk)``: a window over one user-hour only.
-    3. rows per ``(key, chunk)`` (partial aggregate), cumulative over the chunks of each key
-       (a window over at most one row per user-hour), joined back on ``(key, chunk)``.
-
-    The input is read twice (once per branch). For the stored edit log that is a pruned
-    three-column scan, cheaper than caching the rows; the per-chunk branch shuffles only
-    partial counts.
+    3. rows per ``(key, chunk)`` (the last running count of each user-hour), cumulative over
+       the chunks of each key (a window over at most one row per user-hour), joined back on
+       ``(key, chunk)``.
+
+    Both branches start from the same shuffle by ``(key, chunk)``, which Spark runs once and
+    reuses: the input is read and parsed once and its rows cross the network once. The join
+    back is null-safe, so it infers no ``IS NOT NULL`` filter that would make the branches
+    differ (and a row with a NULL key or time keeps its count).
     """
     ts, tiebreak = order
     origin = F.lit(0)
@@ -62,15 +64,18 @@ def running_count(
         Window.unboundedPreceding, Window.currentRow
     )
     local = chunked.withColumn("_local", F.count(F.lit(1)).over(inner))
-    per_chunk = chunked.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    per_chunk = local.groupBy(key, "_chunk").agg(F.max("_local").alias("_n"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(
-        key, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        F.col(key).alias("_okey"),
+        F.col("_chunk").alias("_ochunk"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
     )
+    same = local[key].eqNullSafe(offsets["_okey"]) & local["_chunk"].eqNullSafe(offsets["_ochunk"])
     return (
-        local.join(offsets, [key, "_chunk"], "inner")
+        local.join(offsets, same, "inner")
         .withColumn("num_edits", F.col("_offset") + F.col("_local"))
-        .drop("_chunk", "_local", "_offset")
+        .drop("_chunk", "_local", "_offset", "_okey", "_ochunk")
     )
 
 

@@ -46,6 +46,17 @@ def test_running_count_matches_window(spark, skewed_edits):
     assert sorted(brute.collect()) == sorted(ours.collect())
 
 
+def test_running_count_keeps_null_time_and_user(spark):
+    rows = [(1, None, "a"), (2, dt.datetime(2024, 1, 1, 1), "a"), (3, dt.datetime(2024, 1, 1, 5), "a"),
+            (4, dt.datetime(2024, 1, 1, 1), None), (5, None, None), (6, dt.datetime(2024, 1, 1, 1), "b")]
+    df = spark.createDataFrame(rows, "event_id LONG, ts TIMESTAMP_NTZ, user STRING")
+    w = Window.partitionBy("user").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    brute = df.select("event_id", F.count(F.lit(1)).over(w).alias("n"))
+    ours = agg.running_count(df).select("event_id", F.col("num_edits").alias("n"))
+    assert sorted(ours.collect()) == sorted(brute.collect())
+    assert ours.count() == 6
+
+
 def test_compact_changelog(spark):
     changes = spark.createDataFrame(
         [("a", 0, 1), ("a", 1, 3), ("b", 0, 2), ("a", 2, 4), ("b", 2, 5)], "user STRING, seq LONG, num_edits LONG"

@@ -61,3 +61,14 @@ def test_bucketed_history_is_not_shuffled(spark, scratch):
     assert "SortMergeJoin" in plan
     # Exactly one shuffle on user: the features side; the bucketed table is read in place.
     assert plan.count("Exchange hashpartitioning(user") == 1
+
+
+def test_running_count_parses_and_shuffles_rows_once(spark):
+    from editflow.operators.aggregates import running_count
+
+    edits = parsed(spark, SF).select("event_id", "ts", "user")
+    df = running_count(edits)
+    df.collect()  # the final adaptive plan shows which shuffles were reused
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet") == 1
