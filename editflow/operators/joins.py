@@ -108,10 +108,13 @@ def enrich_with_history(
 
 
 def row_index(df: DataFrame, order: list[str], name: str = "index", partitions: int | None = None) -> DataFrame:
-    """Global row number 0..n-1 in ``order`` (which must be unique per row).
+    """Global row number 0..n-1 in ``order`` (rows that tie on every order column get
+    consecutive numbers in no particular order among themselves).
 
-    1. ``repartitionByRange`` on the full order key (a hot leading value is split by the
-       later columns) and a sort inside each partition.
+    1. ``repartitionByRange`` on the full order key plus a generated row id, and a sort inside
+       each partition. A hot leading value is split by the later columns; a value repeated in
+       every order column (rows that tie completely, which may stand in any order among
+       themselves) is split by the row id, so no partition has to hold all of its rows.
     2. Partition id and position in partition are stamped, and the result is checkpointed
        to the shared checkpoint folder, so both stay fixed whatever is recomputed later.
     3. Rows per partition (one row per partition), their running sum, and a broadcast join
@@ -120,9 +123,10 @@ def row_index(df: DataFrame, order: list[str], name: str = "index", partitions:
     spark = df.sparkSession
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    ordered = tagged.repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie")
     stamped = ordered.select(
-        "*",
+        *df.columns,
         F.spark_partition_id().alias("_pid"),
         (
             F.monotonically_increasing_id()

@@ -65,6 +65,17 @@ def test_compact_changelog(spark):
     assert got == {"a": 4, "b": 5}
 
 
+def test_row_index_splits_a_repeated_key(spark):
+    # A third of the rows share one order value: they must not all land in one partition.
+    df = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    idx = joins.row_index(df, ["k"], partitions=6)
+    per_part = [r[0] for r in idx.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(per_part) < 2000
+    rows = sorted((r["index"], r["k"]) for r in idx.collect())
+    assert [i for i, _ in rows] == list(range(6000))
+    assert [k for _, k in rows] == sorted(k for _, k in rows)
+
+
 def test_row_index_dense_and_ordered(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"), (F.col("id") % 3).alias("v"))
     idx = joins.row_index(df, ["k", "v"], partitions=7)
