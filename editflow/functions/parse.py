@@ -32,21 +32,34 @@ _REPLACEMENT = _SEP.join(f"${i}" for i in range(1, 7))
 _INT_TEXT = r"^[+-]?[0-9]+$"
 
 
-def edit_groups(message: Column) -> Column:
+def one_pass_parts(message: Column) -> Column:
+    """The six groups cut from one regex evaluation, as an array; NULL for a line with the
+    separator or a line break (those take the per-group path). A line that does not match
+    comes back unchanged from ``regexp_replace``, so its array has one element, not six."""
+    parts = F.split(F.regexp_replace(message, _ANCHORED, _REPLACEMENT), _SEP)
+    return F.when(~message.rlike(_UNSAFE_CHARS), parts)
+
+
+def groups_from_parts(parts: Column, message: Column) -> Column:
     """ARRAY<STRING> of the six groups, or NULL when the line does not match.
 
-    One regex evaluation per row on the fast path (``regexp_replace`` writes all six groups
-    separated by a control character, ``split`` cuts them apart) instead of seven.
+    ``parts`` is ``one_pass_parts(message)``, computed in an earlier projection: it is used
+    twice here (length check and value), and Catalyst keeps an expensive expression that is
+    used twice in its own projection instead of inlining it, so the regex runs once per row.
     """
-    parts = F.split(F.regexp_replace(message, _ANCHORED, _REPLACEMENT), _SEP)
     per_group = F.array(*[F.regexp_extract(message, EDIT_PATTERN, i) for i in range(1, 7)])
-    safe = ~message.rlike(_UNSAFE_CHARS)
     return (
-        F.when(safe, F.when(F.size(parts) == 6, parts))
+        F.when(parts.isNotNull(), F.when(F.size(parts) == 6, parts))
         .when(message.rlike(EDIT_PATTERN), per_group)
     )
 
 
+def edit_groups(message: Column) -> Column:
+    """``groups_from_parts`` as a single column expression (for use inside one projection;
+    there the one-pass regex may be evaluated twice for a matching line)."""
+    return groups_from_parts(one_pass_parts(message), message)
+
+
 def strict_int(text: Column) -> Column:
     """Integer from text with an optional sign and ASCII digits only; NULL otherwise.
 

@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.functions.parse import edit_groups, edit_record, strict_int
+from editflow.functions.parse import edit_record, groups_from_parts, one_pass_parts, strict_int
 from editflow.schemas import EDIT_FIELDS
 
-_GROUPS, _BYTES = "_groups", "_byte_diff"
+_PARTS, _GROUPS, _BYTES = "_parts", "_groups", "_byte_diff"
 
 
 def _with_groups(raw: DataFrame, message: str) -> DataFrame:
-    grouped = raw.withColumn(_GROUPS, edit_groups(F.col(message)))
+    # The one-pass regex gets its own projection: its result is read twice (length check and
+    # value), so Catalyst keeps it there and evaluates it once per row.
+    staged = raw.withColumn(_PARTS, one_pass_parts(F.col(message)))
+    grouped = staged.withColumn(_GROUPS, groups_from_parts(F.col(_PARTS), F.col(message))).drop(_PARTS)
     return grouped.withColumn(_BYTES, strict_int(F.col(_GROUPS).getItem(4)))
 
 
