@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from editflow.functions import reuse
 from editflow.functions.parse import edit_record, groups_from_parts, one_pass_parts, strict_int
 from editflow.schemas import EDIT_FIELDS
 
@@ -18,13 +19,20 @@ _PARTS, _GROUPS, _BYTES = "_parts", "_groups", "_byte_diff"
 def _with_groups(raw: DataFrame, message: str) -> DataFrame:
     # The one-pass regex gets its own projection: its result is read twice (length check and
     # value), so Catalyst keeps it there and evaluates it once per row.
-    staged = raw.withColumn(_PARTS, one_pass_parts(F.col(message)))
-    grouped = staged.withColumn(_GROUPS, groups_from_parts(F.col(_PARTS), F.col(message))).drop(_PARTS)
-    return grouped.withColumn(_BYTES, strict_int(F.col(_GROUPS).getItem(4)))
+    parts = reuse(("parts", message), lambda: one_pass_parts(F.col(message)))
+    groups = reuse(("groups", message), lambda: groups_from_parts(F.col(_PARTS), F.col(message)))
+    byte_diff = reuse("byte_diff", lambda: strict_int(F.col(_GROUPS).getItem(4)))
+    staged = raw.withColumn(_PARTS, parts)
+    grouped = staged.withColumn(_GROUPS, groups).drop(_PARTS)
+    return grouped.withColumn(_BYTES, byte_diff)
+
+
+def _record() -> F.Column:
+    return reuse("edit_record", lambda: edit_record(F.col(_GROUPS), F.col(_BYTES)))
 
 
 def _ok() -> F.Column:
-    return F.col(_GROUPS).isNotNull() & F.col(_BYTES).isNotNull()
+    return reuse("parsed_ok", lambda: F.col(_GROUPS).isNotNull() & F.col(_BYTES).isNotNull())
 
 
 # Rows are kept or dropped through a generator (``inline`` of a 0- or 1-element array), not
@@ -42,7 +50,7 @@ def parse_edits(raw: DataFrame, message: str = "message", keep: list[str] | None
     # Input columns named like an edit field (the envelope's ``user`` is the relay bot) give
     # way to the parsed field.
     keep = [c for c in (keep if keep is not None else raw.columns) if c != message and c not in EDIT_FIELDS]
-    record = edit_record(F.col(_GROUPS), F.col(_BYTES))
+    record = _record()
     return _with_groups(raw, message).select(*keep, F.inline(F.when(_ok(), F.array(record))))
 
 
@@ -59,7 +67,7 @@ def tag_edits(raw: DataFrame, message: str = "message") -> DataFrame:
     For jobs that need both sides (edits and rejects) from one evaluation: persist the tagged
     frame, then take ``edits_from_tagged`` and ``rejects_from_tagged``.
     """
-    record = edit_record(F.col(_GROUPS), F.col(_BYTES))
+    record = _record()
     staged = _with_groups(raw, message)
     return staged.withColumn("_edit", F.when(_ok(), record)).drop(_GROUPS, _BYTES)
 

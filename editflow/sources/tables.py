@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editflow.functions import reuse
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -95,14 +97,14 @@ def event_message(
 
 def edit_messages(events: DataFrame) -> DataFrame:
     """``events`` -> (event_id, ts, channel, message): the raw notice stream."""
-    return events.select(
-        "event_id",
-        "ts",
-        F.concat(F.lit("#"), F.col("event_type")).alias("channel"),
-        event_message(
+    channel = reuse("event_channel", lambda: F.concat(F.lit("#"), F.col("event_type")).alias("channel"))
+    message = reuse(
+        "event_message",
+        lambda: event_message(
             F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("props")
         ).alias("message"),
     )
+    return events.select("event_id", "ts", channel, message)
 
 
 def read_messages(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
