@@ -19,6 +19,7 @@ from editflow.operators import aggregates as agg
 from editflow.operators import features as feat
 from editflow.operators import joins
 from editflow.operators import topics as ops_topics
+from editflow.operators.display import first_rows
 from editflow.operators.parse import only_edits, parse_edits, parse_rejects
 from editflow.plans import sql as S
 from editflow.schemas import EDIT_FIELDS, RAW_TABLE, RAW_TABLE_WITH_BATCH
@@ -101,6 +102,12 @@ def q_parse_edits(spark, sf_dir):
     return parsed(spark, sf_dir).select("event_id", "channel", *EDIT_FIELDS)
 
 
+@register("show_rows", S.parsed_query(f"SELECT event_id, channel, {_EDIT_Q} FROM parsed ORDER BY event_id LIMIT 20"))
+def q_show_rows(spark, sf_dir):
+    """L1: the 20 rows ``show()`` prints of the parsed batch (by event id, so repeatable)."""
+    return first_rows(parsed(spark, sf_dir).select("event_id", "channel", *EDIT_FIELDS), ["event_id"])
+
+
 @register(
     "parse_rejects",
     S.with_ctes(S.RAW, S.GROUPS, body="SELECT event_id, channel, message FROM grp2 WHERE NOT (m AND bd IS NOT NULL)"),

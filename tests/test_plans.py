@@ -72,3 +72,12 @@ def test_running_count_parses_and_shuffles_rows_once(spark):
     final = _plan(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("FileScan parquet") == 1
+
+
+def test_show_rows_is_a_top_k(spark):
+    from editflow.operators.display import first_rows
+
+    df = first_rows(parsed(spark, SF), ["event_id"])
+    assert "TakeOrderedAndProject(limit=20" in _plan(df)
+    ids = [r.event_id for r in df.collect()]
+    assert ids == sorted(r.event_id for r in parsed(spark, SF).select("event_id").collect())[:20]
