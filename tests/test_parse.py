@@ -96,3 +96,64 @@ def test_regex_runs_once_per_row(spark):
     narrow = parse_edits(read_messages(spark, "/root/testdata/sf0.001", spread=False))
     debug = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package
     assert debug.codegenString(narrow._jdf.queryExecution().executedPlan()).count("appendReplacement") == 1
+
+
+# Pieces that random lines are built from: the notice's own punctuation, flag letters,
+# numbers of every shape, page prefixes, plain words, and the two characters (line break,
+# separator) that send a line down the per-group path. No character on which Java's and
+# Python's regex classes differ (``\r``, non-ASCII) is used.
+_PIECES = [
+    "[[", "]]", "]] ", " ", "  ", "\t", " * ", "*", "(", ")", "(+", "+", "-", "0", "12", "007",
+    "2147483647", "2147483648", "-2147483648", "99999999999", "Special:", "Talk:", "User talk:",
+    "M", "!N", "B", "N", "!", "word", "x y", "https://example.org/?diff=3", "\n", "\u0001",
+]
+
+
+def _random_lines(n, seed=7):
+    import random
+
+    rnd = random.Random(seed)
+    pick = lambda k: "".join(rnd.choice(_PIECES) for _ in range(rnd.randint(0, k)))
+    lines = []
+    for i in range(n):
+        if i % 4 == 3:  # free soup of pieces
+            lines.append(pick(14))
+        else:  # the notice's shape with random slots, so many lines match
+            sign = rnd.choice(["", "+", "-", "+", "", "+-"])
+            number = rnd.choice(["0", "12", "7", "2147483647", "2147483648", "x", ""])
+            lines.append(
+                f"{pick(2)}[[{pick(3)}]]{rnd.choice([' ', ' ', '  ', ''])}{pick(2)} {pick(2)} * {pick(3)} * "
+                f"({sign}{number}){rnd.choice([' ', ' ', ''])}{pick(3)}"
+            )
+    return lines
+
+
+def _expected(message):
+    """Brute force: Python's regex engine, unanchored search, then the strict integer rule."""
+    import re
+
+    from editflow.functions.parse import EDIT_PATTERN
+
+    m = re.search(EDIT_PATTERN, message)
+    if m is None or re.fullmatch(r"[+-]?[0-9]+", m.group(5)) is None:
+        return None
+    value = int(m.group(5))
+    if not -(2**31) <= value < 2**31:
+        return None
+    title, flags, diff_url, user, _, summary = m.groups()
+    kind = "SPECIAL" if title.startswith("Special:") else "TALK" if title.startswith("Talk:") else "EDIT"
+    return (kind, title, user, diff_url, value, summary, "M" in flags, "N" in flags, "!" in flags, "B" in flags)
+
+
+def test_random_lines_equal_brute_force(spark):
+    lines = _random_lines(4000)
+    raw = spark.createDataFrame(list(enumerate(lines)), "i INT, message STRING")
+    got = {
+        r.i: (r.type, r.title, r.user, r.diffUrl, r.byteDiff, r.summary, r.isMinor, r.isNew, r.isUnpatrolled, r.isBotEdit)
+        for r in parse_edits(raw).collect()
+    }
+    want = {i: e for i, e in ((i, _expected(m)) for i, m in enumerate(lines)) if e is not None}
+    assert len(want) > 500  # enough matching lines to mean something
+    assert got == want
+    rejected = {r.i for r in parse_rejects(raw).collect()}
+    assert rejected == set(range(len(lines))) - set(want)
