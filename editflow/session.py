@@ -61,8 +61,19 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only for local mode."""
+    """Return the shared checkpoint folder, creating a local one only for local mode.
+
+    Resolved once per SparkContext (the setting is fixed for its lifetime) and remembered on it.
+    """
     sc = spark.sparkContext
+    known = getattr(sc, "_editflow_checkpoint_root", None)
+    if known:
+        return known
+    sc._editflow_checkpoint_root = _resolve_checkpoint_root(sc)
+    return sc._editflow_checkpoint_root
+
+
+def _resolve_checkpoint_root(sc) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         current = sc.getCheckpointDir()
