@@ -126,43 +126,91 @@ def read_counts(spark: SparkSession, sink_path: str) -> DataFrame:
     return agg.compact_changelog(changes, seq="batch_id")
 
 
-def _history_joiner(history: DataFrame, max_rows: int | None = None):
+def _history_joiner(
+    history: DataFrame | Callable[[], DataFrame],
+    max_rows: int | None = None,
+    reload_every: int = 0,
+):
     """Per-batch left join with the static history, decided once per query.
 
     Under the broadcast bound the history is loaded once and kept for the life of the query
     (as the source pipeline does) and every batch broadcasts it. Above it each batch runs the
     hot-key split join against the table in place, because adaptive skew handling does not
-    apply inside streaming plans.
+    apply inside streaming plans. With ``reload_every`` > 0 and a loader function the history
+    is read again every that many batches (see ``ReloadingHistory``).
     """
+    if reload_every > 0 and callable(history):
+        return ReloadingHistory(history, reload_every, max_rows)
+    if callable(history):
+        history = history()
     if joins.fits_broadcast(history, max_rows):
         cached = history.persist(StorageLevel.MEMORY_AND_DISK)
         join = lambda left: left.join(F.broadcast(cached), "user", "left")
         join.cached, join.static = [cached], True
-        return join
-    # Too big to keep or broadcast: read in place each batch (store it bucketed by user with
-    # ``sources.files.bucket_history`` and only the batch side is shuffled).
-    join = lambda left: joins.skew_split_left_join(left, history, "user")
-    join.cached, join.static = [], False
+    else:
+        # Too big to keep or broadcast: read in place each batch (store it bucketed by user
+        # with ``sources.files.bucket_history`` and only the batch side is shuffled).
+        join = lambda left: joins.skew_split_left_join(left, history, "user")
+        join.cached, join.static = [], False
+    join.prepare = lambda batch_id: None
     return join
 
 
-def _release_with(query: StreamingQuery, *frames: DataFrame) -> StreamingQuery:
-    """Remember cached frames that belong to ``query``; ``run_to_end`` releases them."""
-    query._editflow_cached = list(frames)  # plain Python attribute on the query handle
+class ReloadingHistory:
+    """The history join of a long-running stream, with the history read again every
+    ``every`` micro-batches, so that new counts reach the scores.
+
+    The source pipeline reads its history once, so a stream that runs for weeks joins
+    ever older counts. Here ``load()`` is called when a batch starts a new period of ``every``
+    batch ids (so a replayed batch uses the same period's history), the size check is made
+    again, the new copy is kept and the old one released. The join is built per batch.
+    """
+
+    static = False
+
+    def __init__(self, load: Callable[[], DataFrame], every: int, max_rows: int | None = None):
+        self.load, self.every, self.max_rows = load, every, max_rows
+        self.period, self.cached, self._join = None, [], None
+
+    def prepare(self, batch_id: int) -> None:
+        period = int(batch_id) // self.every
+        if period == self.period:
+            return
+        for frame in self.cached:
+            frame.unpersist()
+        self.cached.clear()
+        history = self.load()
+        if joins.fits_broadcast(history, self.max_rows):
+            kept = history.persist(StorageLevel.MEMORY_AND_DISK)
+            self.cached.append(kept)
+            self._join = lambda left: left.join(F.broadcast(kept), "user", "left")
+        else:
+            self._join = lambda left: joins.skew_split_left_join(left, history, "user")
+        self.period = period
+
+    def __call__(self, left: DataFrame) -> DataFrame:
+        return self._join(left)
+
+
+def _release_with(query: StreamingQuery, frames: list) -> StreamingQuery:
+    """Remember the (live) list of cached frames of ``query``; ``run_to_end`` releases them."""
+    query._editflow_cached = frames  # plain Python attribute on the query handle
     return query
 
 
 def start_enrich(
     edits: DataFrame,
-    history: DataFrame,
+    history: DataFrame | Callable[[], DataFrame],
     sink_path: str,
     checkpoint: str,
     trigger: dict | None = None,
     max_history_rows: int | None = None,
+    reload_every: int = 0,
 ) -> StreamingQuery:
     """Stream-static left join with the history table, then fill and drop; each batch is
-    written to ``sink_path/batch_id=<n>`` (replay-safe)."""
-    join = _history_joiner(history, max_history_rows)
+    written to ``sink_path/batch_id=<n>`` (replay-safe). ``history`` may be a loader function;
+    with ``reload_every`` > 0 it is called again every that many batches."""
+    join = _history_joiner(history, max_history_rows, reload_every)
     features = feat.feature_rows(edits, keep=["partition", "offset"])
     enrich = lambda df: feat.drop_incomplete(feat.fill_missing_history(join(df)))
 
@@ -172,14 +220,15 @@ def start_enrich(
         def sink(batch: DataFrame, batch_id: int) -> None:
             write_batch(batch, sink_path, batch_id)
 
-    else:  # the skew-split join counts each batch's keys, so it is built per batch
+    else:  # skew split (counts each batch's keys) or reloaded history: built per batch
         source = features
 
         def sink(batch: DataFrame, batch_id: int) -> None:
+            join.prepare(batch_id)
             write_batch(enrich(batch), sink_path, batch_id)
 
     writer = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _release_with(_trigger(writer, trigger).start(), *join.cached)
+    return _release_with(_trigger(writer, trigger).start(), join.cached)
 
 
 _COMPLETE = "_complete"
@@ -215,12 +264,13 @@ def scoring_frame(
 
 def start_scoring(
     records: DataFrame,
-    history: DataFrame,
+    history: DataFrame | Callable[[], DataFrame],
     scorer: Callable[[DataFrame], DataFrame],
     paths: dict[str, str],
     checkpoint: str,
     trigger: dict | None = None,
     label: str = "isBotEdit",
+    reload_every: int = 0,
 ) -> StreamingQuery:
     """Per micro-batch: raw table, scored table and batch metrics, each idempotent per batch.
 
@@ -233,10 +283,11 @@ def start_scoring(
     When the history fits the broadcast bound, parse, features, join and model are declared
     once on the stream (``scoring_frame``), so a micro-batch builds no plan in Python and only
     selects its outputs. Above the bound each batch runs the hot-key split join, which needs
-    a count of the batch, so that part of the plan is built per batch.
+    a count of the batch, so that part of the plan is built per batch; so it is when
+    ``history`` is a loader function read again every ``reload_every`` batches.
     """
     decoded = decode_raw(records)
-    join = _history_joiner(history)
+    join = _history_joiner(history, reload_every=reload_every)
     out_cols = ["partition", "offset", "user", *feat.FEATURES, label]
     predicted = F.col("predicted").cast("int").alias("predicted")
 
@@ -283,6 +334,7 @@ def start_scoring(
     else:
 
         def process(batch: DataFrame, batch_id: int) -> None:
+            join.prepare(batch_id)
             # One regex pass per row: the tagged batch (edit struct or NULL) is kept for the sinks.
             tagged = tag_edits(batch).persist()
             try:
@@ -297,7 +349,7 @@ def start_scoring(
         source = decoded
 
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _release_with(_trigger(writer, trigger).start(), *join.cached)
+    return _release_with(_trigger(writer, trigger).start(), join.cached)
 
 
 def copy_topic(records: DataFrame, topic_path: str, checkpoint: str, topic: str, trigger: dict | None = None) -> StreamingQuery:

@@ -150,3 +150,25 @@ def test_declared_scoring_equals_per_batch_scoring(spark, scratch):
         out[bound] = {k: sorted(map(tuple, spark.read.parquet(p).collect())) for k, p in paths.items()}
     assert out[None]["raw"] and out[None]["scored"] and out[None]["rejects"]
     assert out[None] == out["0"]
+
+
+def test_history_reloaded_every_n_batches(spark, scratch):
+    from editflow.plans.catalog import history
+
+    loads = []
+
+    def load():
+        loads.append(len(loads) + 1)
+        return history(spark, SF).withColumn("no_of_edits", F.lit(1000 * loads[-1] + 7).cast("long"))
+
+    assert not callable(history(spark, SF))  # a DataFrame is not taken for a loader
+    topic = write_topic(raw_topic_records(spark, SF), scratch("topic"), files=4)
+    out = scratch("enriched")
+    edits = P.raw_to_edits(read_topic(spark, topic, stream=True, max_files_per_trigger=1))
+    P.run_to_end(P.start_enrich(edits, load, out, scratch("ckpt"), P.AVAILABLE_NOW, reload_every=2))
+    seen = {
+        (r.batch_id, r.no_of_edits)
+        for r in spark.read.parquet(out).where("no_of_edits <> 1").select("batch_id", "no_of_edits").distinct().collect()
+    }
+    assert loads == [1, 2]
+    assert seen == {(0, 1007), (1, 1007), (2, 2007), (3, 2007)}
