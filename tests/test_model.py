@@ -63,3 +63,16 @@ def test_assembler_rejects_nulls(spark):
     df = spark.createDataFrame([(None,) + (1,) * 7], ", ".join(f"{c} INT" for c in FEATURES))
     with pytest.raises(Exception):
         M.assembler().transform(df).collect()
+
+
+def test_vote_beats_the_majority_class(spark, rows, fitted):
+    """The retrained forest learns something: its error is below always guessing the larger
+    class (the fitted model of the source system is not available to compare values with)."""
+    model, path = fitted
+    stats = M.vote(model, path, rows).agg(
+        F.avg((F.col("predicted") != F.col("isBotEdit")).cast("double")).alias("error"),
+        F.avg(F.col("isBotEdit").cast("double")).alias("positive"),
+    ).first()
+    baseline = min(stats.positive, 1 - stats.positive)
+    assert baseline > 0.05  # the label is not trivial
+    assert stats.error < baseline / 2
