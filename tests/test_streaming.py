@@ -172,3 +172,24 @@ def test_history_reloaded_every_n_batches(spark, scratch):
     }
     assert loads == [1, 2]
     assert seen == {(0, 1007), (1, 1007), (2, 2007), (3, 2007)}
+
+
+def test_batches_with_nothing_to_score(spark, scratch):
+    """Quirks Q2/Q3: a batch in which no row parses writes empty tables with their fixed
+    columns and a NULL error rate, and every row goes to the quarantine; nothing fails."""
+    from editflow.plans.catalog import history, rule_prediction
+    from editflow.schemas import RAW_TABLE
+
+    records = raw_topic_records(spark, SF).withColumn("value", F.lit("{not json"))
+    topic = write_topic(records, scratch("topic"), files=2)
+    base = scratch("score")
+    paths = {k: f"{base}/{k}" for k in ("raw", "scored", "metrics", "rejects")}
+    stream = read_topic(spark, topic, stream=True, max_files_per_trigger=1)
+    P.run_to_end(P.start_scoring(stream, history(spark, SF), rule_prediction, paths, scratch("ckpt"), P.AVAILABLE_NOW))
+    raw, scored = spark.read.parquet(paths["raw"]), spark.read.parquet(paths["scored"])
+    assert raw.count() == 0 and scored.count() == 0
+    assert [f.name for f in RAW_TABLE.fields] == [c for c in raw.columns if c != "batch_id"]
+    assert {"user", "predicted", "no_of_edits"} <= set(scored.columns)
+    assert spark.read.parquet(paths["rejects"]).where("_corrupt_record IS NOT NULL").count() == 1000
+    metrics = spark.read.parquet(paths["metrics"]).collect()
+    assert len(metrics) == 2 and all(m.rows == 0 and m.error_rate is None for m in metrics)
