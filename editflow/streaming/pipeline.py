@@ -162,8 +162,9 @@ class ReloadingHistory:
 
     The source pipeline reads its history once, so a stream that runs for weeks joins
     ever older counts. Here ``load()`` is called when a batch starts a new period of ``every``
-    batch ids (so a replayed batch uses the same period's history), the size check is made
-    again, the new copy is kept and the old one released. The join is built per batch.
+    batch ids (and on the first batch after a restart, which reads the history as it is
+    then), the size check is made again, the new copy is kept and the old one released. The
+    join is built per batch.
     """
 
     static = False
