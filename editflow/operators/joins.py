@@ -17,6 +17,10 @@ from editflow.session import checkpoint_root
 # A side with at most this many rows may be broadcast (about 100 bytes per history row, so
 # ~200 MB at the bound). Override per call or with ``editflow.broadcast.maxRows``.
 BROADCAST_MAX_ROWS = 2_000_000
+# A stream plans every micro-batch anew, so a broadcast static side is collected and sent
+# again in every batch (every 2 seconds by default): its bound is ten times smaller (~20 MB).
+# Override with ``editflow.stream.broadcast.maxRows``.
+STREAM_BROADCAST_MAX_ROWS = 200_000
 # A key is "hot" when it owns at least 1/HOT_KEY_SHARE of the rows, so there are at most
 # HOT_KEY_SHARE hot keys: the hot side of a skew split is bounded by construction.
 HOT_KEY_SHARE = 1000
@@ -27,6 +31,7 @@ def _broadcast_bound(df: DataFrame, default: int) -> int:
     return int(conf) if conf else default
 
 
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Size check before a broadcast: the row count of ``df`` against the bound.
 

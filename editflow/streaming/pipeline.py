@@ -126,6 +126,20 @@ def read_counts(spark: SparkSession, sink_path: str) -> DataFrame:
     return agg.compact_changelog(changes, seq="batch_id")
 
 
+def _stream_bound(history: DataFrame, max_rows: int | None) -> int:
+    """The broadcast bound of a stream: an explicit ``max_rows``, else
+    ``editflow.stream.broadcast.maxRows``, else ``editflow.broadcast.maxRows``, else the
+    stream default (tighter than the batch one: every micro-batch broadcasts the side again)."""
+    if max_rows is not None:
+        return max_rows
+    conf = history.sparkSession.conf
+    for key in ("editflow.stream.broadcast.maxRows", "editflow.broadcast.maxRows"):
+        value = conf.get(key, None)
+        if value:
+            return int(value)
+    return joins.STREAM_BROADCAST_MAX_ROWS
+
+
 def _history_joiner(
     history: DataFrame | Callable[[], DataFrame],
     max_rows: int | None = None,
@@ -133,8 +147,10 @@ def _history_joiner(
 ):
     """Per-batch left join with the static history, decided once per query.
 
-    Under the broadcast bound the history is loaded once and kept for the life of the query
-    (as the source pipeline does) and every batch broadcasts it. Above it each batch runs the
+    Under the stream's broadcast bound the history is loaded once and kept for the life of
+    the query (as the source pipeline does) and every batch broadcasts it (each batch is
+    planned anew, so the broadcast is repeated: hence the bound, ~20 MB by default, is ten
+    times below the batch one). Above it each batch runs the
     hot-key split join against the table in place, because adaptive skew handling does not
     apply inside streaming plans. With ``reload_every`` > 0 and a loader function the history
     is read again every that many batches (see ``ReloadingHistory``).
@@ -143,7 +159,7 @@ def _history_joiner(
         return ReloadingHistory(history, reload_every, max_rows)
     if callable(history):
         history = history()
-    if joins.fits_broadcast(history, max_rows):
+    if joins.fits_broadcast(history, _stream_bound(history, max_rows)):
         cached = history.persist(StorageLevel.MEMORY_AND_DISK)
         join = lambda left: left.join(F.broadcast(cached), "user", "left")
         join.cached, join.static = [cached], True
@@ -181,7 +197,7 @@ class ReloadingHistory:
             frame.unpersist()
         self.cached.clear()
         history = self.load()
-        if joins.fits_broadcast(history, self.max_rows):
+        if joins.fits_broadcast(history, _stream_bound(history, self.max_rows)):
             kept = history.persist(StorageLevel.MEMORY_AND_DISK)
             self.cached.append(kept)
             self._join = lambda left: left.join(F.broadcast(kept), "user", "left")

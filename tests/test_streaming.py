@@ -193,3 +193,19 @@ def test_batches_with_nothing_to_score(spark, scratch):
     assert spark.read.parquet(paths["rejects"]).where("_corrupt_record IS NOT NULL").count() == 1000
     metrics = spark.read.parquet(paths["metrics"]).collect()
     assert len(metrics) == 2 and all(m.rows == 0 and m.error_rate is None for m in metrics)
+
+
+def test_stream_broadcast_bound_precedence(spark):
+    from editflow.operators.joins import STREAM_BROADCAST_MAX_ROWS
+
+    df = spark.range(1)
+    assert P._stream_bound(df, None) == STREAM_BROADCAST_MAX_ROWS  # below the batch bound
+    assert P._stream_bound(df, 5) == 5
+    try:
+        spark.conf.set("editflow.broadcast.maxRows", "7")
+        assert P._stream_bound(df, None) == 7
+        spark.conf.set("editflow.stream.broadcast.maxRows", "9")
+        assert P._stream_bound(df, None) == 9
+    finally:
+        spark.conf.unset("editflow.broadcast.maxRows")
+        spark.conf.unset("editflow.stream.broadcast.maxRows")
