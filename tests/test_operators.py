@@ -103,3 +103,13 @@ def test_error_rate_empty_batch_is_null(spark):
     empty = spark.createDataFrame([], "actual INT, predicted INT")
     r = agg.error_rate(empty).collect()[0]
     assert (r.errors, r.rows, r.error_rate) == (0, 0, None)
+
+
+def test_reused_column_serves_several_frames(spark):
+    from editflow.functions import reuse
+
+    doubled = reuse(("test", "doubled"), lambda: (F.col("x") * 2).alias("y"))
+    assert reuse(("test", "doubled"), lambda: F.lit(None)) is doubled  # built once
+    a = spark.range(3).withColumnRenamed("id", "x").select(doubled)
+    b = spark.createDataFrame([(10,)], "x INT").select(doubled)
+    assert [r.y for r in a.collect()] == [0, 2, 4] and [r.y for r in b.collect()] == [20]
