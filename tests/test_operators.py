@@ -46,6 +46,23 @@ def test_running_count_matches_window(spark, skewed_edits):
     assert sorted(brute.collect()) == sorted(ours.collect())
 
 
+def test_running_count_hot_user_in_one_hour(spark):
+    # A third of the rows belong to one user and fall inside one hour, many in the same
+    # minute and some on the same timestamp (the event id breaks those ties).
+    base = dt.datetime(2024, 3, 1, 10)
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            rows.append((i, base + dt.timedelta(seconds=(i * 13) % 3600 // 20 * 20), "hot"))
+        else:
+            rows.append((i, base + dt.timedelta(minutes=(i * 11) % 600), f"u{i % 41}"))
+    df = spark.createDataFrame(rows, "event_id LONG, ts TIMESTAMP_NTZ, user STRING")
+    w = Window.partitionBy("user").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    brute = df.select("event_id", F.count(F.lit(1)).over(w).alias("n"))
+    ours = agg.running_count(df).select("event_id", F.col("num_edits").alias("n"))
+    assert sorted(ours.collect()) == sorted(brute.collect())
+
+
 def test_running_count_keeps_null_time_and_user(spark):
     rows = [(1, None, "a"), (2, dt.datetime(2024, 1, 1, 1), "a"), (3, dt.datetime(2024, 1, 1, 5), "a"),
             (4, dt.datetime(2024, 1, 1, 1), None), (5, None, None), (6, dt.datetime(2024, 1, 1, 1), "b")]
