@@ -39,62 +39,46 @@ def running_count(
     edits: DataFrame,
     key: str = "user",
     order: tuple[str, str] = ("ts", "event_id"),
-    fine_us: int = 60_000_000,
-    fines_per_coarse: int = 60,
+    chunk_us: int = 60_000_000,
 ) -> DataFrame:
     """Each edit with the count of its user's edits up to and including it (the changelog).
 
     Equal to ``count(*) OVER (PARTITION BY key ORDER BY ts, id ROWS UNBOUNDED PRECEDING)``,
-    computed in three levels so that no window holds more than a bounded slice of one user,
-    however the user's edits are spread in time:
+    computed without putting one user's rows in one task:
 
-    1. rows: running count inside ``(key, minute)`` (a window over one user-minute);
-    2. minutes: rows per user-minute, accumulated inside ``(key, hour)`` (a window over at
-       most 60 rows) and summed per user-hour;
-    3. hours: accumulated per user (a window over one row per user-hour);
+    1. ``chunk`` = the minute of ``ts`` (monotone in the order, so chunks are ordered).
+    2. running count inside ``(key, chunk)``: a window over one user-minute only.
+    3. rows per ``(key, chunk)`` (the last running count of each user-minute), cumulative over
+       the chunks of each key (a window over one small row per minute in which the user was
+       active), joined back on ``(key, chunk)``.
 
-    and the two offsets are added back to each row. A user holding a third of all edits puts
-    at most a third of one minute's rows in one task. The minute and hour sizes are
-    ``fine_us`` and ``fines_per_coarse`` (finer for denser streams).
+    Both windows stay bounded whatever share of the rows one user holds: the first by one
+    minute of the stream, the second by the number of minutes it spans (about half a million
+    per year), not by the number of edits. ``chunk_us`` sets the chunk.
 
-    The levels all start from the one shuffle of the rows by ``(key, minute)``, which Spark
-    runs once and reuses (``ReusedExchange``): the input is read and parsed once. The joins
-    back are null-safe, so they infer no ``IS NOT NULL`` filter that would make the branches
+    Both branches start from the same shuffle by ``(key, chunk)``, which Spark runs once and
+    reuses: the input is read and parsed once and its rows cross the network once. The join
+    back is null-safe, so it infers no ``IS NOT NULL`` filter that would make the branches
     differ (and a row with a NULL key or time keeps its count).
     """
     ts, tiebreak = order
-    first, current = Window.unboundedPreceding, Window.currentRow
-    chunked = edits.withColumn("_fine", _chunk(F.col(ts), F.lit(0), fine_us))
-    in_fine = Window.partitionBy(key, "_fine").orderBy(ts, tiebreak).rowsBetween(first, current)
-    local = chunked.withColumn("_local", F.count(F.lit(1)).over(in_fine))
-    fines = local.groupBy(key, "_fine").agg(F.max("_local").alias("_n")).withColumn(
-        "_coarse", F.floor(F.col("_fine") / F.lit(fines_per_coarse)).cast("long")
+    chunked = edits.withColumn("_chunk", _chunk(F.col(ts), F.lit(0), chunk_us))
+    inner = Window.partitionBy(key, "_chunk").orderBy(ts, tiebreak).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    in_coarse = Window.partitionBy(key, "_coarse")
-    fines = fines.select(
-        key,
-        "_coarse",
-        "_fine",
-        F.coalesce(F.sum("_n").over(in_coarse.orderBy("_fine").rowsBetween(first, -1)), F.lit(0)).alias("_in"),
-        F.sum("_n").over(in_coarse).alias("_m"),
-    )
-    before = Window.partitionBy(key).orderBy("_coarse").rowsBetween(first, -1)
-    coarse = fines.where(F.col("_in") == 0).select(  # one row per user-hour: its first minute
-        F.col(key).alias("_ck"),
-        F.col("_coarse").alias("_cc"),
-        F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"),
-    )
-    same_coarse = fines[key].eqNullSafe(coarse["_ck"]) & fines["_coarse"].eqNullSafe(coarse["_cc"])
-    offsets = fines.join(coarse, same_coarse, "inner").select(
+    local = chunked.withColumn("_local", F.count(F.lit(1)).over(inner))
+    per_chunk = local.groupBy(key, "_chunk").agg(F.max("_local").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_chunk.select(
         F.col(key).alias("_okey"),
-        F.col("_fine").alias("_ofine"),
-        (F.col("_before") + F.col("_in")).alias("_offset"),
+        F.col("_chunk").alias("_ochunk"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
     )
-    same = local[key].eqNullSafe(offsets["_okey"]) & local["_fine"].eqNullSafe(offsets["_ofine"])
+    same = local[key].eqNullSafe(offsets["_okey"]) & local["_chunk"].eqNullSafe(offsets["_ochunk"])
     return (
         local.join(offsets, same, "inner")
         .withColumn("num_edits", F.col("_offset") + F.col("_local"))
-        .drop("_fine", "_local", "_offset", "_okey", "_ofine")
+        .drop("_chunk", "_local", "_offset", "_okey", "_ochunk")
     )
 
 
