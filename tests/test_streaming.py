@@ -209,3 +209,27 @@ def test_stream_broadcast_bound_precedence(spark):
     finally:
         spark.conf.unset("editflow.broadcast.maxRows")
         spark.conf.unset("editflow.stream.broadcast.maxRows")
+
+
+def test_scoring_stream_restart_scores_each_row_once(spark, scratch):
+    """Two runs on one checkpoint, then a third with nothing new: every parsed row is in the
+    raw and scored tables exactly once, keyed by (partition, offset)."""
+    from editflow.plans.catalog import history, rule_prediction
+
+    records = raw_topic_records(spark, SF)
+    topic, base, ckpt = scratch("topic"), scratch("score"), scratch("ckpt")
+    paths = {k: f"{base}/{k}" for k in ("raw", "scored")}
+    stream = lambda: read_topic(spark, topic, stream=True, max_files_per_trigger=1)
+    run = lambda: P.run_to_end(
+        P.start_scoring(stream(), history(spark, SF), rule_prediction, paths, ckpt, P.AVAILABLE_NOW)
+    )
+    write_topic(records.where(F.col("offset") < 100), topic, files=2)
+    run()
+    write_topic(records.where(F.col("offset") >= 100), topic, files=2)
+    run()
+    run()
+    n_parsed = parsed(spark, SF).count()
+    scored = spark.read.parquet(paths["scored"])
+    assert spark.read.parquet(paths["raw"]).count() == n_parsed
+    assert scored.count() == n_parsed
+    assert scored.select("partition", "offset").distinct().count() == n_parsed
