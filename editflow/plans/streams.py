@@ -15,6 +15,7 @@ from editflow.functions import json as fjson
 from editflow.operators import topics as ops_topics
 from editflow.plans import sql as S
 from editflow.plans.catalog import (
+    ORACLE,
     _EDIT_Q,
     _EPOCH_MS,
     _Q,
@@ -225,6 +226,18 @@ def q_stream_two_sinks(spark, sf_dir):
     return spark.read.parquet(paths["scored"]).select(_event_id(), "user", *FEATURES, "isBotEdit", "predicted")
 
 
+@register("stream_batch_totals", ORACLE["error_rate"])
+def q_stream_batch_totals(spark, sf_dir):
+    """The per-batch log summed over all micro-batches: rows, errors and their ratio equal the
+    batch error rate of the whole input (the per-batch values depend on how it was cut)."""
+    paths = _run_scoring(spark, sf_dir, rule_prediction)
+    return spark.read.parquet(paths["metrics"]).agg(
+        F.sum("errors").alias("errors"),
+        F.sum("rows").alias("rows"),
+        F.round(F.try_divide(F.sum("errors"), F.sum("rows")), 6).alias("error_rate"),
+    )
+
+
 @register("stream_batch_log")
 def q_stream_batch_log(spark, sf_dir):
     """Per-batch log: batch id, time, rows, errors and error rate of each micro-batch."""
