@@ -233,3 +233,29 @@ def test_scoring_stream_restart_scores_each_row_once(spark, scratch):
     assert spark.read.parquet(paths["raw"]).count() == n_parsed
     assert scored.count() == n_parsed
     assert scored.select("partition", "offset").distinct().count() == n_parsed
+
+
+def test_declared_scoring_plan_broadcasts_the_cached_history(spark, scratch):
+    import contextlib
+    import io
+
+    from editflow.plans.catalog import history, rule_prediction
+
+    topic = write_topic(raw_topic_records(spark, SF), scratch("topic"), files=1)
+    base = scratch("score")
+    paths = {k: f"{base}/{k}" for k in ("raw", "scored")}
+    stream = read_topic(spark, topic, stream=True, max_files_per_trigger=1)
+    query = P.start_scoring(stream, history(spark, SF), rule_prediction, paths, scratch("ckpt"), P.AVAILABLE_NOW)
+    try:
+        query.awaitTermination(300)
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            query.explain()
+        plan = text.getvalue()
+    finally:
+        P.run_to_end(query)
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "InMemoryTableScan" in plan  # the history kept for the life of the query
+    # The stream's own rows are not shuffled: every exchange in the plan is below the cache.
+    stream_side = plan.split("InMemoryRelation")[0]
+    assert "Exchange hashpartitioning" not in stream_side
