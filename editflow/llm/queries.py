@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import line_dedup
+from editflow.llm import divergence, license_scan, line_dedup, mixing
 from editflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,150 @@ def op4_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", F.col("kept_n_lines").alias("n_lines"), F.col("kept_n_dropped").alias("n_dropped"),
         F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+# Domains are no column of the table: a rule assigns each source to one of three.
+_DOMAIN = "concat('d', cast(conv(substring(md5(coalesce(source, '')), 1, 2), 16, 10) as int) % 3)"
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 6, "de": 2, "fr": 1, "es": 1}}
+
+
+def _fill_sql(level: str, above: list[str], children: str, parents: str) -> str:
+    """DuckDB: share a parent's budget among its children by weight, within their capacity."""
+    part = ", ".join(above) or "1"
+    key = ", ".join([*above, level])
+    using = f"JOIN {parents} USING ({', '.join(above)})" if above else f", {parents}"
+    return f"""
+{level}_a AS (
+  SELECT {key}, cap, w, budget,
+    coalesce(sum(cap) OVER (PARTITION BY {part} ORDER BY r, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(w) OVER (PARTITION BY {part} ORDER BY r, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_rest, r
+  FROM (SELECT *, cap::DOUBLE / w AS r FROM ({children})) {using} WHERE cap > 0),
+{level}_b AS (SELECT *, cap::HUGEINT * w_rest <= (budget - before)::HUGEINT * w AS is_full FROM {level}_a),
+{level}_c AS (
+  SELECT *, coalesce(sum(CASE WHEN is_full THEN cap END) OVER (PARTITION BY {part}), 0) AS full_sum,
+    sum(CASE WHEN NOT is_full THEN w END) OVER (PARTITION BY {part}) AS w_open FROM {level}_b),
+{level}_d AS (
+  SELECT *, CASE WHEN is_full THEN cap ELSE ((budget - full_sum)::HUGEINT * w) // w_open END AS part,
+    sum(CASE WHEN is_full THEN 0 ELSE 1 END) OVER (PARTITION BY {part} ORDER BY r, {level}) AS nth FROM {level}_c),
+{level}_n AS (
+  SELECT {key}, (part + CASE WHEN NOT is_full AND nth <= budget - sum(part) OVER (PARTITION BY {part}) THEN 1 ELSE 0 END)::BIGINT AS budget
+  FROM {level}_d)"""
+
+
+def _case(column: str, given: dict[str, int]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in given.items()) + " ELSE 1 END"
+
+
+_W_DOMAIN, _W_LANG = _case("domain", MIX_WEIGHTS["domain"]), _case("lang", MIX_WEIGHTS["lang"])
+
+
+@query("op1_hierarchical_mix", f"""
+WITH rows_ AS (
+  SELECT doc_id, 'd' || (('0x' || substr(md5(coalesce(source, '')), 1, 2))::INT % 3) AS domain,
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::BIGINT AS n_tokens
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, 2 * sum(n_tokens)::BIGINT AS cap FROM rows_ GROUP BY ALL),
+root AS (SELECT least(sum(tokens), sum(cap)) AS budget FROM leaves),
+{_fill_sql("domain", [], f"SELECT domain, sum(cap) AS cap, {_W_DOMAIN} AS w FROM leaves GROUP BY domain", "root")},
+{_fill_sql("lang", ["domain"], f"SELECT domain, lang, sum(cap) AS cap, {_W_LANG} AS w FROM leaves GROUP BY domain, lang", "domain_n")},
+{_fill_sql("source", ["domain", "lang"], "SELECT domain, lang, source, cap, 1 AS w FROM leaves", "lang_n")},
+plan AS (
+  SELECT domain, lang, source, budget // tokens AS epochs, budget % tokens AS extra
+  FROM source_n JOIN leaves USING (domain, lang, source) WHERE tokens > 0 AND budget > 0),
+taken AS (SELECT * FROM rows_ JOIN plan USING (domain, lang, source) WHERE n_tokens > 0),
+last AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5(concat_ws('|', '1', epochs, doc_id)), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
+  FROM taken WHERE extra > 0)
+SELECT doc_id, domain, lang, source, n_tokens, e AS epoch, n_tokens AS taken FROM taken, unnest(range(0, epochs)) AS u(e)
+UNION ALL
+SELECT doc_id, domain, lang, source, n_tokens, epochs, least(n_tokens, extra - done)::BIGINT FROM last WHERE done < extra
+""")
+def op1_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("domain", F.expr(_DOMAIN))
+    mix = mixing.select(docs, MIX_LEVELS, MIX_WEIGHTS, F.col("corpus"), max_epochs=2, seed=1)
+    return mix.select("doc_id", *MIX_LEVELS, "n_tokens", "epoch", "taken")
+
+
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+_COMMON_SQL = "CASE lang " + " ".join(
+    f"WHEN '{k}' THEN {_list(v)}" for k, v in divergence.COMMON_WORDS.items()) + " ELSE [] END"
+_CHARS_SQL = ", ".join(
+    "length(regexp_replace(t, '[^" + c.replace("'", "''") + "]+', '', 'g'))" for c in divergence._CLASSES)
+_JS = """sqrt(greatest(0, list_sum([
+    CASE WHEN x[1] > 0 THEN x[1] * log2(2 * x[1] / (x[1] + x[2])) ELSE 0 END / 2
+    + CASE WHEN x[2] > 0 THEN x[2] * log2(2 * x[2] / (x[1] + x[2])) ELSE 0 END / 2
+    FOR x IN list_transform(range(1, len({p}) + 1), lambda i: [{p}[i] / list_sum({p}), {q}[i] / list_sum({q})])])))"""
+
+
+@query("op7_js_divergence", f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+        {_COMMON_SQL} AS commonlist FROM d),
+g AS (SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+      FROM w, unnest(range(1, len(words) - 1)) AS u(i)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
+rep AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM r, unnest([0, 1, 2]) AS u(k) GROUP BY rid),
+f AS (SELECT rid, doc_id, lang, t, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+        [{_CHARS_SQL}] AS c0,
+        list_transform(commonlist, lambda c: len(list_filter(words, lambda x: x = c))) AS w0
+      FROM w LEFT JOIN rep USING (rid)),
+h AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        list_append(c0, length(t) - list_sum(c0)) AS chars,
+        list_append(w0, n_words - coalesce(list_sum(w0), 0)) AS commons FROM f),
+ref AS (SELECT lang, list(c ORDER BY i) AS rc FROM (
+          SELECT lang, i, sum(chars[i]) AS c FROM h, unnest(range(1, len(chars) + 1)) AS u(i) WHERE NOT base_failed GROUP BY lang, i) GROUP BY lang),
+rew AS (SELECT lang, list(c ORDER BY i) AS rw FROM (
+          SELECT lang, i, sum(commons[i]) AS c FROM h, unnest(range(1, len(commons) + 1)) AS u(i) WHERE NOT base_failed GROUP BY lang, i) GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+  AND NOT coalesce(length(t) >= 200 AND {_JS.format(p="chars", q="rc")} > 0.4, false)
+  AND NOT coalesce(len(commons) > 1 AND {_JS.format(p="commons", q="rw")} > 0.45, false) AS kept
+FROM h LEFT JOIN ref USING (lang) LEFT JOIN rew USING (lang)
+""")
+def op7_js_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = divergence.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+def _license_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    split = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    places = " UNION ALL ".join(
+        f"SELECT rid, '{label}' AS label, i - 1 AS place FROM d, unnest(range(1, len(words) + 1)) AS u(i) "
+        f"WHERE words[i:i + {len(p.split()) - 1}] = {_list(p.split())}"
+        for p, label in license_scan.PHRASES.items())
+    templates = ", ".join(
+        f"('{label}', {_list(sorted(set(text.split())))})" for label, text in license_scan.TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, {split.format(lower)} AS words FROM documents),
+places AS ({places}),
+base AS (SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM places GROUP BY rid),
+templates(label, t) AS (VALUES {templates}),
+blocks AS (SELECT rid, {split.format(lower.replace("coalesce(text, '')", "block"))} AS b
+           FROM (SELECT rid, unnest(string_split(coalesce(text, ''), chr(10))) AS block FROM d)),
+found AS (SELECT rid, label, max(len(list_intersect(t, list_distinct(b))) / len(t)) AS share FROM blocks, templates
+          WHERE len(list_intersect(t, list_distinct(b))) >= ceil(round(0.8 * len(t), 9)) GROUP BY rid, label),
+labels AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+           FROM (SELECT rid, label FROM places UNION SELECT rid, label FROM found) GROUP BY rid),
+base_labels AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY rid),
+shares AS (SELECT rid, max(share) AS share FROM found GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (rid) LEFT JOIN labels USING (rid) LEFT JOIN base_labels USING (rid) LEFT JOIN shares USING (rid)
+"""
+
+
+@query("op10_license_join", _license_sql())
+def op10_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
