@@ -121,7 +121,7 @@ def references(feats: DataFrame) -> DataFrame:
         F.array_compact(F.array(*(f"w{k}" for k in range(widest)))).alias("ref_commons"))
 
 
-def judge(docs: DataFrame, max_char_distance: float = 0.4, max_word_distance: float = 0.45,
+def judge(docs: DataFrame, max_char_distance: float = 0.32, max_word_distance: float = 0.36,
           min_chars: int = 200, min_words: int = 50,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: the rule figures, both distances, ``base_failed`` and ``kept``.

@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import divergence, license_scan, line_dedup, mixing
-from editflow.llm.common import table
+from editflow.llm import divergence, license_scan, line_dedup, mixing, packing
+from editflow.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Place of the public vocabularies; a cluster sets its own path.
+def vocabulary() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -152,8 +159,8 @@ rew AS (SELECT lang, list(c ORDER BY i) AS rw FROM (
           SELECT lang, i, sum(commons[i]) AS c FROM h, unnest(range(1, len(commons) + 1)) AS u(i) WHERE NOT base_failed GROUP BY lang, i) GROUP BY lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed
-  AND NOT coalesce(length(t) >= 200 AND {_JS.format(p="chars", q="rc")} > 0.4, false)
-  AND NOT coalesce(len(commons) > 1 AND {_JS.format(p="commons", q="rw")} > 0.45, false) AS kept
+  AND NOT coalesce(length(t) >= 200 AND {_JS.format(p="chars", q="rc")} > 0.32, false)
+  AND NOT coalesce(len(commons) > 1 AND {_JS.format(p="commons", q="rw")} > 0.36, false) AS kept
 FROM h LEFT JOIN ref USING (lang) LEFT JOIN rew USING (lang)
 """)
 def op7_js_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,3 +201,10 @@ FROM d LEFT JOIN base USING (rid) LEFT JOIN labels USING (rid) LEFT JOIN base_la
 @query("op10_license_join", _license_sql())
 def op10_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_genetic_packing")
+def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = vocabulary()
+    cut = saved(packing.pieces(table(spark, sf_dir, "documents"), ranks, pattern), "pack-pieces")
+    return packing.pack(cut).drop("uid")
