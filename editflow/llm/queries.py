@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import divergence, license_scan, line_dedup, mixing, packing
+from editflow.llm import divergence, knn_quality, license_scan, line_dedup, mixing, packing
 from editflow.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,12 @@ def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary()
     cut = saved(packing.pieces(table(spark, sf_dir, "documents"), ranks, pattern), "pack-pieces")
     return packing.pack(cut).drop("uid")
+
+
+@query("op6_neighbour_vote")
+def op6_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = knn_quality.fit(docs, table(spark, sf_dir, "labels"))
+    return knn_quality.score(docs, model).select(
+        "doc_id", knn_quality.held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
+        F.when(F.col("quality_score") >= 0.3, 1).otherwise(0).alias("predicted"))
