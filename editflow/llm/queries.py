@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import divergence, knn_quality, license_scan, line_dedup, mixing, packing
+from editflow.llm import divergence, html_text, knn_quality, license_scan, line_dedup, mixing, packing
 from editflow.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,8 @@ def op6_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_quality.score(docs, model).select(
         "doc_id", knn_quality.held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
         F.when(F.col("quality_score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op9_host_suffixes")
+def op9_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
