@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import divergence, html_text, knn_quality, license_scan, line_dedup, mixing, packing
+from editflow.llm import divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, packing
 from editflow.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,8 @@ def op6_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_host_suffixes")
 def op9_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_combination_prefixes")
+def op5_combination_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"))
