@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, packing, run_index
+from editflow.llm import divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, nn_descent, packing, run_index
 from editflow.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,3 +233,8 @@ def op5_combination_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return run_index.remove(docs, run_index.repeated_spans(docs)).drop("spans")
+
+
+@query("op2_nn_descent")
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings")).drop("recall")
