@@ -180,8 +180,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1024, id_col: str =
     return train(raw, np.array([y for _, y in got], dtype=np.int64), 0.5 if share is None else float(share), rank, neighbours)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1). Texts without any feature get the labels' average."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` plus ``quality_score`` (0 to 1). Texts without any feature get the labels' average.
+
+    Without ``keep_text`` the text itself isn't sent back from the workers.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +194,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             scores = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], schema=out)
 
-    rest = [c for c in docs.columns if c != text_col]
-    rows = docs.select(F.col(text_col).alias("text"), *rest)
+    rest = [c for c in docs.columns if keep_text or c != text_col]
+    rows = docs.select(F.col(text_col).alias("__text"), *rest)
     schema = StructType(rows.schema.fields[1:]).add("quality_score", DoubleType())
     out = to_arrow_schema(schema)
     return rows.mapInArrow(run, schema)

@@ -57,7 +57,10 @@ def op4_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Domains are no column of the table: a rule assigns each source to one of three.
-_DOMAIN = "concat('d', cast(conv(substring(md5(coalesce(source, '')), 1, 2), 16, 10) as int) % 3)"
+def domain():
+    return F.expr("concat('d', cast(conv(substring(md5(coalesce(source, '')), 1, 2), 16, 10) as int) % 3)")
+
+
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 6, "de": 2, "fr": 1, "es": 1}}
 
@@ -116,7 +119,7 @@ UNION ALL
 SELECT doc_id, domain, lang, source, n_tokens, epochs, least(n_tokens, extra - done)::BIGINT FROM last WHERE done < extra
 """)
 def op1_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("domain", F.expr(_DOMAIN))
+    docs = table(spark, sf_dir, "documents").withColumn("domain", domain())
     mix = mixing.select(docs, MIX_LEVELS, MIX_WEIGHTS, F.col("corpus"), max_epochs=2, seed=1)
     return mix.select("doc_id", *MIX_LEVELS, "n_tokens", "epoch", "taken")
 
@@ -214,7 +217,7 @@ def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = knn_quality.fit(docs, table(spark, sf_dir, "labels"))
-    return knn_quality.score(docs, model).select(
+    return knn_quality.score(docs, model, keep_text=False).select(
         "doc_id", knn_quality.held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
         F.when(F.col("quality_score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
