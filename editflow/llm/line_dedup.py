@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from editflow.llm.common import ASCII_SPACE, own_columns, saved, text_id
 
@@ -178,7 +179,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     return out.withColumn(text_col, kept).drop("__map")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _kept_text(text: pd.Series, keep_bitmap: pd.Series) -> pd.Series:
     out = []
     for t, packed in zip(text, keep_bitmap, strict=True):
