@@ -28,17 +28,12 @@ def decode(value: Column, schema: StructType) -> Column:
     )
 
 
-def encode(*cols: Column) -> Column:
-    """Struct of the columns -> compact JSON text (NULL fields omitted, as Spark does)."""
-    return F.to_json(F.struct(*cols))
-
-
 def normalize(value: Column, schema: StructType | None = None) -> Column:
     """Parse and print JSON again: compact form with no optional spaces.
 
     With a schema the document is typed first; without one it goes through VARIANT, which
-    keeps every field.
+    keeps every field. A malformed document gives NULL, so the row can go to quarantine.
     """
     if schema is not None:
         return F.to_json(F.from_json(value, schema))
-    return F.to_json(F.parse_json(value))
+    return F.to_json(F.try_parse_json(value))

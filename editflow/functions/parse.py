@@ -54,12 +54,6 @@ def groups_from_parts(parts: Column, message: Column) -> Column:
     )
 
 
-def edit_groups(message: Column) -> Column:
-    """``groups_from_parts`` as a single column expression (for use inside one projection;
-    there the one-pass regex may be evaluated twice for a matching line)."""
-    return groups_from_parts(one_pass_parts(message), message)
-
-
 def strict_int(text: Column) -> Column:
     """Integer from text with an optional sign and ASCII digits only; NULL otherwise.
 

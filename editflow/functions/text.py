@@ -60,8 +60,3 @@ def envelope(
         message.alias("message"),
         F.struct(nick.alias("nick"), username.alias("username"), host.alias("host")).alias("user"),
     )
-
-
-def live_envelope(channel: Column, message: Column, nick: Column, username: Column, host: Column) -> Column:
-    """Envelope stamped with the current time in milliseconds."""
-    return envelope(epoch_millis(F.current_timestamp()), channel, message, nick, username, host)

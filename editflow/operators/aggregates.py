@@ -3,15 +3,16 @@
 Every aggregate here is decomposable (count, max, max_by, count_if), so Spark runs a partial
 aggregate in each map task before the shuffle: a user who owns a third of all rows still sends
 only one row per map task across the network. The running count (the one non-decomposable
-operator) splits each user's history into time chunks so no single task holds a whole user.
+operator) range-partitions by user and time so no single task holds a whole user.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from editflow.operators.parse import only_edits
+from editflow.session import checkpoint_root
 
 
 def edits_by_user(edits: DataFrame, key: str = "user") -> DataFrame:
@@ -19,11 +20,6 @@ def edits_by_user(edits: DataFrame, key: str = "user") -> DataFrame:
     return only_edits(edits).groupBy(key).agg(F.count(F.lit(1)).alias("num_edits"))
 
 
-def user_counts(edits: DataFrame, key: str = "user") -> DataFrame:
-    """History table ``(user, no_of_edits)`` from stored edits; ``count(user)`` skips NULLs."""
-    return edits.groupBy(key).agg(F.count(F.col(key)).alias("no_of_edits"))
-
-
 def changelog_text(counts: DataFrame, key: str = "user", value: str = "num_edits") -> DataFrame:
     """One printable line per change, ``USER: <user> num.edits: <n>``."""
     return counts.select(
@@ -31,54 +27,47 @@ def changelog_text(counts: DataFrame, key: str = "user", value: str = "num_edits
     )
 
 
-def _chunk(ts: Column, origin: Column, width_us: int) -> Column:
-    return F.floor((F.unix_micros(ts.cast("timestamp")) - origin) / F.lit(width_us)).cast("long")
-
-
 def running_count(
     edits: DataFrame,
     key: str = "user",
     order: tuple[str, str] = ("ts", "event_id"),
-    chunk_us: int = 60_000_000,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Each edit with the count of its user's edits up to and including it (the changelog).
 
     Equal to ``count(*) OVER (PARTITION BY key ORDER BY ts, id ROWS UNBOUNDED PRECEDING)``,
     computed without putting one user's rows in one task:
 
-    1. ``chunk`` = the minute of ``ts`` (monotone in the order, so chunks are ordered).
-    2. running count inside ``(key, chunk)``: a window over one user-minute only.
-    3. rows per ``(key, chunk)`` (the last running count of each user-minute), cumulative over
-       the chunks of each key (a window over one small row per minute in which the user was
-       active), joined back on ``(key, chunk)``.
-
-    Both windows stay bounded whatever share of the rows one user holds: the first by one
-    minute of the stream, the second by the number of minutes it spans (about half a million
-    per year), not by the number of edits. ``chunk_us`` sets the chunk.
+    1. Range partition and sort by (key, ts, id): a hot user is split anywhere, between equal
+       times too. Partition number and position are stamped and checkpointed, so both stay
+       fixed whatever is recomputed later.
+    2. Per (partition, user): the first position and the number of rows. A row's count inside
+       its partition is its position less the first one.
+    3. What the user had in earlier partitions: a running sum over the few partitions that
+       the user spans, joined back on (partition, user); a partition's rows are the most that
+       share such a key.
 
-    Both branches start from the same shuffle by ``(key, chunk)``, which Spark runs once and
-    reuses: the input is read and parsed once and its rows cross the network once. The join
-    back is null-safe, so it infers no ``IS NOT NULL`` filter that would make the branches
-    differ (and a row with a NULL key or time keeps its count).
+    The joins are null-safe: a row with a NULL key or time keeps its count.
     """
-    ts, tiebreak = order
-    chunked = edits.withColumn("_chunk", _chunk(F.col(ts), F.lit(0), chunk_us))
-    inner = Window.partitionBy(key, "_chunk").orderBy(ts, tiebreak).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    checkpoint_root(edits.sparkSession)
+    n = partitions or int(edits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stamped = (
+        edits.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
+        .checkpoint(eager=True)
     )
-    local = chunked.withColumn("_local", F.count(F.lit(1)).over(inner))
-    per_chunk = local.groupBy(key, "_chunk").agg(F.max("_local").alias("_n"))
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(
-        F.col(key).alias("_okey"),
-        F.col("_chunk").alias("_ochunk"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+    spans = stamped.groupBy("_pid", key).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spans.select(
+        F.col("_pid").alias("_opid"), F.col(key).alias("_okey"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
     )
-    same = local[key].eqNullSafe(offsets["_okey"]) & local["_chunk"].eqNullSafe(offsets["_ochunk"])
+    same = (stamped["_pid"] == offsets["_opid"]) & stamped[key].eqNullSafe(offsets["_okey"])
     return (
-        local.join(offsets, same, "inner")
-        .withColumn("num_edits", F.col("_offset") + F.col("_local"))
-        .drop("_chunk", "_local", "_offset", "_okey", "_ochunk")
+        stamped.join(offsets, same, "inner")
+        .withColumn("num_edits", F.col("_offset") + F.col("_pos"))
+        .drop("_pid", "_pos", "_opid", "_okey", "_offset")
     )
 
 

@@ -15,6 +15,18 @@ from editflow.schemas import FEATURES, LABEL
 NOT_FEATURES = ("user", LABEL)
 
 
+# Each model column as SQL text over a parsed edit with the two derived columns: the one
+# definition that the DataFrame form and the SQL view share. The absolute value is taken of a
+# long: the smallest 32-bit byte count has no positive counterpart of its own width.
+FEATURE_SQL = {
+    "user": "user",
+    "type_bool": "type_bool",
+    "summary_bytes": "length(summary)",
+    "total_byte_change": "abs(cast(byteDiff AS bigint))",
+    **{c: f"cast({c} AS int)" for c in ("addition_or_deletion", LABEL, "isMinor", "isUnpatrolled", "isNew")},
+}
+
+
 def derive_columns(edits: DataFrame) -> DataFrame:
     """Add ``addition_or_deletion`` (byteDiff > 0) and ``type_bool`` (type is EDIT, 0/1)."""
     return edits.withColumn("addition_or_deletion", F.col("byteDiff") > F.lit(0)).withColumn(
@@ -26,18 +38,7 @@ def feature_rows(edits: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The nine model columns: user, type_bool, summary length in characters, |byteDiff|,
     and the four flags and the sign as 0/1 integers (plus any ``keep`` columns first)."""
     derived = derive_columns(edits)
-    return derived.select(
-        *(keep or []),
-        "user",
-        "type_bool",
-        F.length("summary").alias("summary_bytes"),
-        F.abs("byteDiff").alias("total_byte_change"),
-        F.col("addition_or_deletion").cast("int").alias("addition_or_deletion"),
-        F.col("isBotEdit").cast("int").alias("isBotEdit"),
-        F.col("isMinor").cast("int").alias("isMinor"),
-        F.col("isUnpatrolled").cast("int").alias("isUnpatrolled"),
-        F.col("isNew").cast("int").alias("isNew"),
-    )
+    return derived.select(*(keep or []), *(F.expr(text).alias(name) for name, text in FEATURE_SQL.items()))
 
 
 def feature_columns(df: DataFrame, ignore: tuple[str, ...] = NOT_FEATURES) -> list[str]:
@@ -51,11 +52,9 @@ def fill_missing_history(df: DataFrame, fill: int = 1) -> DataFrame:
     return df.fillna({"no_of_edits": fill})
 
 
-def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL (run after the fill, so a NULL user is dropped here)."""
-    return df.dropna("any")
-
+def drop_incomplete(df: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Drop rows with any NULL (run after the fill, so a NULL user is dropped here).
 
-def model_frame(features: DataFrame, history: DataFrame, join) -> DataFrame:
-    """Features + history counts, filled, complete rows only (``join`` does the enrichment)."""
-    return drop_incomplete(fill_missing_history(join(features, history)))
+    ``ignore`` names columns that may be NULL: where a record came from is no model input.
+    """
+    return df.dropna("any", subset=[c for c in df.columns if c not in ignore])

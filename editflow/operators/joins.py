@@ -1,6 +1,6 @@
 """History enrichment, global row index and positional pairing.
 
-Broadcasts happen only behind a size check: a side is broadcast when its row count is known
+Broadcasts happen only behind a size check: a side is broadcast when its bytes are known
 to be under a bound (a config value, or a table whose size is fixed by construction, such as
 one row per partition). Above the bound the join shuffles, and keys that hold a large share of
 the rows are split out and joined against a broadcast of just their partner rows.
@@ -14,46 +14,65 @@ from pyspark.sql import functions as F
 
 from editflow.session import checkpoint_root
 
-# A side with at most this many rows may be broadcast (about 100 bytes per history row, so
-# ~200 MB at the bound). Override per call or with ``editflow.broadcast.maxRows``.
-BROADCAST_MAX_ROWS = 2_000_000
+# A side of at most this many bytes may be broadcast. Override per call or with
+# ``editflow.broadcast.maxBytes``.
+BROADCAST_MAX_BYTES = 200 << 20
 # A stream plans every micro-batch anew, so a broadcast static side is collected and sent
-# again in every batch (every 2 seconds by default): its bound is ten times smaller (~20 MB).
-# Override with ``editflow.stream.broadcast.maxRows``.
-STREAM_BROADCAST_MAX_ROWS = 200_000
-# A key is "hot" when it owns at least 1/HOT_KEY_SHARE of the rows, so there are at most
-# HOT_KEY_SHARE hot keys: the hot side of a skew split is bounded by construction.
-HOT_KEY_SHARE = 1000
+# again in every batch (every 2 seconds by default): its bound is ten times smaller.
+# Override with ``editflow.stream.broadcast.maxBytes``.
+STREAM_BROADCAST_MAX_BYTES = 20 << 20
 
 
 def _broadcast_bound(df: DataFrame, default: int) -> int:
-    conf = df.sparkSession.conf.get("editflow.broadcast.maxRows", None)
+    conf = df.sparkSession.conf.get("editflow.broadcast.maxBytes", None)
     return int(conf) if conf else default
 
 
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of the rows: the lengths of text and binary values, 8 for any other value and 8 a row.
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Size check before a broadcast: the row count of ``df`` against the bound.
-
-    A distributed count (partial counts per task, one number to the driver); for a parquet
-    dimension table it reads no column data. ``limit(bound + 1)`` is avoided on purpose: its
-    global limit funnels up to ``bound + 1`` rows per partition into a single task.
+    A distributed sum (partial sums per task, one number to the driver).
     """
-    bound = max_rows if max_rows is not None else _broadcast_bound(df, BROADCAST_MAX_ROWS)
-    return df.count() <= bound
+    wide = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    fixed = 8 * (len(df.columns) - len(wide) + 1)
+    size = F.lit(fixed).cast("long")
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Size check before a broadcast: the bytes of ``df`` against the bound (0: never)."""
+    bound = max_bytes if max_bytes is not None else _broadcast_bound(df, BROADCAST_MAX_BYTES)
+    return bound > 0 and data_bytes(df) <= bound
+
+
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """``df`` itself; raises if a key repeats, since a join would then multiply rows."""
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).head(1)
+    if twice:
+        raise ValueError(f"{key} is not unique: {twice[0][0]!r} has {twice[0][1]} rows")
+    return df
+
+
+def _hot_share(df: DataFrame, hot_share: int | None) -> int:
+    """A key is hot from one shuffle partition's mean on, so at most this many keys are."""
+    return hot_share or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(left: DataFrame, key: str, hot_share: int = HOT_KEY_SHARE) -> list:
-    """Keys owning at least 1/hot_share of ``left``'s rows (at most ``hot_share`` of them).
+def hot_keys(left: DataFrame, key: str, hot_share: int | None = None) -> list:
+    """Keys owning at least 1/hot_share of ``left``'s rows (at most ``hot_share`` of them;
+    by default the number of shuffle partitions: a key that would fill one by itself).
 
     One exact aggregation over ``left`` (partial counts per task); the per-key counts are kept
     while the total and the hot keys are read from them, then released. Only the hot keys,
     a list bounded by ``hot_share``, reach the driver.
     """
+    share = _hot_share(left, hot_share)
     counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total = counts.agg(F.sum("_n")).first()[0] or 0
-        threshold = max(1, -(-total // hot_share))
+        threshold = max(1, -(-total // share))
         rows = counts.where(F.col(key).isNotNull() & (F.col("_n") >= threshold)).select(key).collect()
     finally:
         counts.unpersist()
@@ -61,29 +80,29 @@ def hot_keys(left: DataFrame, key: str, hot_share: int = HOT_KEY_SHARE) -> list:
 
 
 def skew_split_left_join(
-    left: DataFrame, right: DataFrame, key: str, hot_share: int = HOT_KEY_SHARE
+    left: DataFrame, right: DataFrame, key: str, hot_share: int | None = None
 ) -> DataFrame:
     """Left join on a unique-keyed ``right`` that stays balanced when some keys are hot.
 
     Rows of the hot keys (at most ``hot_share`` of them) take their partner from a broadcast
-    of just those keys' ``right`` rows. Every row then goes through one shuffle join; a hot
-    row carries a join key spread by a hash of its own columns and an extra ``NOT hot``
-    condition, so it is spread evenly and never matches there. ``left`` is read twice in all
-    (the hot-key count and the join) and no row is dropped or duplicated.
+    of just those keys' ``right`` rows. Every row then goes through one sort-merge join; a hot
+    row and a row without a key carry a join key spread by a hash of their own columns and an
+    extra ``NOT spread`` condition, so they lie evenly and never match there. ``left`` is read
+    twice in all (the hot-key count and the join) and no row is dropped or duplicated.
     """
     hot = hot_keys(left, key, hot_share)
-    if not hot:
-        return left.join(right, key, "left")
     values = [c for c in right.columns if c != key]
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     hot_right = F.broadcast(
         right.where(is_hot).select(F.col(key), *[F.col(c).alias(f"_hot_{c}") for c in values])
     )
-    tagged = left.withColumn("_hot", F.coalesce(is_hot, F.lit(False))).join(hot_right, key, "left")
-    spread = F.xxhash64(*[F.col(c) for c in left.columns]).cast("string")
-    tagged = tagged.withColumn("_jk", F.when(F.col("_hot"), spread).otherwise(F.col(key).cast("string")))
+    spread = F.coalesce(F.col(key).isNull() | is_hot, F.lit(True))
+    tagged = left.withColumn("_spread", spread).join(hot_right, key, "left")
+    row = F.xxhash64(*[F.col(c) for c in left.columns]).cast("string")
+    tagged = tagged.withColumn("_jk", F.when(F.col("_spread"), row).otherwise(F.col(key).cast("string")))
     cold_right = right.select(F.col(key).cast("string").alias("_rk"), *[F.col(c).alias(f"_cold_{c}") for c in values])
-    joined = tagged.join(cold_right, (F.col("_jk") == F.col("_rk")) & ~F.col("_hot"), "left")
+    # The side is past the broadcast bound: no size rule of Spark's may turn this into one.
+    joined = tagged.join(cold_right.hint("merge"), (F.col("_jk") == F.col("_rk")) & ~F.col("_spread"), "left")
     return joined.select(  # the column order of ``left.join(right, key, "left")``
         F.col(key),
         *[F.col(c) for c in left.columns if c != key],
@@ -92,10 +111,12 @@ def skew_split_left_join(
 
 
 def left_join_checked(
-    left: DataFrame, right: DataFrame, key: str, max_rows: int | None = None
+    left: DataFrame, right: DataFrame, key: str, max_bytes: int | None = None
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` with the broadcast decided by a size check."""
-    if fits_broadcast(right, max_rows):
+    """``left LEFT JOIN right USING (key)``, ``right`` unique by key, with the broadcast decided
+    by a size check."""
+    require_unique(right, key)
+    if fits_broadcast(right, max_bytes):
         return left.join(F.broadcast(right), key, "left")
     return skew_split_left_join(left, right, key)
 
@@ -105,10 +126,10 @@ def enrich_with_history(
     history: DataFrame,
     key: str = "user",
     fill: int = 1,
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Attach ``no_of_edits`` to each edit; users without history count as ``fill`` edits."""
-    joined = left_join_checked(edits, history, key, max_rows)
+    joined = left_join_checked(edits, history, key, max_bytes)
     return joined.fillna({"no_of_edits": fill})
 
 

@@ -155,10 +155,3 @@ def voter(model: PipelineModel, table: list[list[int]], prediction: str = "predi
 def vote(model: PipelineModel, model_path: str, df: DataFrame, prediction: str = "predicted") -> DataFrame:
     """Majority-vote prediction of the forest (equal tree weights)."""
     return voter(model, leaf_classes(df.sparkSession, model_path, model), prediction)(df)
-
-
-def vote_with_table(
-    model: PipelineModel, table: list[list[int]], df: DataFrame, prediction: str = "predicted"
-) -> DataFrame:
-    """``vote`` with the leaf table already read."""
-    return voter(model, table, prediction)(df)

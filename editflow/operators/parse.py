@@ -81,13 +81,6 @@ def rejects_from_tagged(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("_edit").isNull()).drop("_edit")
 
 
-def key_by_user(edits: DataFrame) -> DataFrame:
-    """Parsed-topic shape: ``key`` = editor, ``value`` = the edit record."""
-    return edits.select(
-        F.col("user").alias("key"), F.struct(*[F.col(f) for f in EDIT_FIELDS]).alias("value")
-    )
-
-
 def only_edits(edits: DataFrame) -> DataFrame:
     """Keep article edits (type EDIT), the rows that feed the per-user counts."""
     return edits.where(F.col("type") == "EDIT")

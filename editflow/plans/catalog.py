@@ -49,12 +49,13 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Past edit counts per user: events before the stream went live (one row per user)."""
-    events = read_table(spark, sf_dir, "events")
-    return (
-        events.where(F.col("ts") < F.to_timestamp_ntz(F.lit(S.HISTORY_CUTOFF)))
-        .groupBy(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("user"))
-        .agg(F.count(F.lit(1)).alias("no_of_edits"))
+    """Past counts per user from the whole ``lineitem`` table (one row per supplier number).
+
+    The numbers are a subset of the users', so users without history exist at every scale.
+    """
+    items = read_table(spark, sf_dir, "lineitem")
+    return items.groupBy(F.concat(F.lit("user"), F.col("l_suppkey").cast("string")).alias("user")).agg(
+        F.count(F.lit(1)).alias("no_of_edits")
     )
 
 
@@ -256,11 +257,14 @@ def q_json_decode_props(spark, sf_dir):
 
 @register(
     "json_normalize",
-    """SELECT event_id, '{"k":' || (props ->> 'k') || '}' AS normalized FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE '{"k":' || (props ->> 'k') || '}' END AS normalized
+       FROM events""",
 )
 def q_json_normalize(spark, sf_dir):
+    """Every fifth document is cut short: a malformed one gives NULL, for the quarantine."""
     events = read_table(spark, sf_dir, "events")
-    return events.select("event_id", fjson.normalize(F.col("props")).alias("normalized"))
+    text = F.when(F.col("event_id") % 5 == 0, F.substring("props", 1, 3)).otherwise(F.col("props"))
+    return events.select("event_id", fjson.normalize(text).alias("normalized"))
 
 
 # ---------------------------------------------------------------- SQL view, features, nesting
@@ -278,13 +282,8 @@ def q_sql_view(spark, sf_dir):
 
     view = f"edits_{uuid.uuid4().hex[:12]}"
     feat.derive_columns(parsed(spark, sf_dir)).createOrReplaceTempView(view)
-    return spark.sql(
-        f"""SELECT event_id, user, type_bool, length(summary) AS summary_bytes,
-              abs(byteDiff) AS total_byte_change, cast(addition_or_deletion AS int) AS addition_or_deletion,
-              cast(isBotEdit AS int) AS isBotEdit, cast(isMinor AS int) AS isMinor,
-              cast(isUnpatrolled AS int) AS isUnpatrolled, cast(isNew AS int) AS isNew
-            FROM {view}"""
-    )
+    columns = ", ".join(f"{text} AS {name}" for name, text in feat.FEATURE_SQL.items())
+    return spark.sql(f"SELECT event_id, {columns} FROM {view}")
 
 
 _SCORED_SQL = (
@@ -324,7 +323,7 @@ def q_enrich_left_join(spark, sf_dir):
 )
 def q_enrich_skew_split(spark, sf_dir):
     """The same enrichment through the path taken when history is too big to broadcast."""
-    model = joins.enrich_with_history(features(spark, sf_dir), history(spark, sf_dir), max_rows=0)
+    model = joins.enrich_with_history(features(spark, sf_dir), history(spark, sf_dir), max_bytes=0)
     return feat.drop_incomplete(model)
 
 
@@ -334,34 +333,35 @@ def q_enrich_skew_split(spark, sf_dir):
 )
 def q_enrich_bucketed(spark, sf_dir):
     """Enrichment above the broadcast bound against a history table bucketed by user: the
-    history side is read in place, only the edits are shuffled."""
+    history side is read in place, only the edits are shuffled (into as many buckets as the
+    session has shuffle partitions)."""
     import uuid
 
     from editflow.sources.files import bucket_history
 
     name = f"user_counts_bucketed_{uuid.uuid4().hex[:12]}"
-    table = bucket_history(history(spark, sf_dir), name, scratch_path(spark, name), buckets=8)
-    model = joins.enrich_with_history(features(spark, sf_dir), table, max_rows=0)
+    table = bucket_history(history(spark, sf_dir), name, scratch_path(spark, name),
+                           buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    model = joins.enrich_with_history(features(spark, sf_dir), table, max_bytes=0)
     return feat.drop_incomplete(model)
 
 
 @register(
     "drop_incomplete",
-    """SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, coalesce(c.c_mktsegment, 'UNKNOWN') AS c_mktsegment,
-         c.c_nationkey
-       FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON o.o_custkey = c.c_custkey
-       WHERE c.c_nationkey IS NOT NULL AND o.o_orderpriority IS NOT NULL AND o.o_orderkey IS NOT NULL
+    """SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, coalesce(s.s_name, 'UNKNOWN') AS s_name, s.s_nationkey
+       FROM orders o LEFT JOIN supplier s ON o.o_custkey = s.s_suppkey
+       WHERE s.s_nationkey IS NOT NULL AND o.o_orderpriority IS NOT NULL AND o.o_orderkey IS NOT NULL
          AND o.o_custkey IS NOT NULL""",
 )
 def q_drop_incomplete(spark, sf_dir):
-    """Fill one column, then drop rows with any NULL: orders of customers outside the
-    good-standing table (negative balance) are unmatched and go, as in the scorer."""
+    """Fill one column, then drop rows with any NULL: orders whose customer number is no
+    supplier's are unmatched and go, as in the scorer."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0).select(
-        F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey"
+    supplier = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("o_custkey"), "s_name", "s_nationkey"
     )
-    joined = joins.left_join_checked(orders, customer, "o_custkey")
-    return feat.drop_incomplete(joined.fillna({"c_mktsegment": "UNKNOWN"}))
+    joined = joins.left_join_checked(orders, supplier, "o_custkey")
+    return feat.drop_incomplete(joined.fillna({"s_name": "UNKNOWN"}))
 
 
 _LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -499,7 +499,7 @@ CHANNELS = "#view,#click,#purchase"
     S.with_ctes(S.RAW, body=f"SELECT event_id, channel, message FROM raw WHERE list_contains(string_split('{CHANNELS}', ','), channel)"),
 )
 def q_channel_subset(spark, sf_dir):
-    raw = read_messages(spark, sf_dir, spread=False)
+    raw = read_messages(spark, sf_dir)
     return raw.where(ops_topics.channels_filter(F.col("channel"), CHANNELS)).select("event_id", "channel", "message")
 
 
@@ -547,4 +547,56 @@ def q_sink_raw_batch(spark, sf_dir):
     return spark.read.schema(RAW_TABLE_WITH_BATCH).parquet(path)
 
 
+_SCORED_ROWS_SQL = (
+    'SELECT CAST(event_id % 4 AS INTEGER) AS "partition", CAST(event_id // 4 AS BIGINT) AS "offset", "user", type_bool, '
+    'summary_bytes, total_byte_change, addition_or_deletion, "isMinor", "isUnpatrolled", "isNew", no_of_edits, '
+    '"isBotEdit", CAST(total_byte_change > 500 AS INTEGER) AS predicted, CAST(0 AS BIGINT) AS batch_id FROM enr'
+)
+
+
+def _scored_rows(spark, sf_dir):
+    rows = rule_prediction(enriched(spark, sf_dir))
+    return rows.withColumns({"partition": (F.col("event_id") % 4).cast("int"), "offset": F.floor(F.col("event_id") / 4)})
+
+
+@register("sink_scored_batch", S.parsed_query(_SCORED_ROWS_SQL, S.FEATURES, S.HISTORY, S.ENRICHED))
+def q_sink_scored_batch(spark, sf_dir):
+    """Scored rows through the scored sink, read back with the declared schema (a replay overwrites)."""
+    from editflow.schemas import SCORED_WITH_BATCH
+    from editflow.sources.files import write_scored_table
+
+    path = scratch_path(spark, "scored_data")
+    for _ in range(2):
+        write_scored_table(_scored_rows(spark, sf_dir), path, batch_id=0)
+    return spark.read.schema(SCORED_WITH_BATCH).parquet(path)
+
+
+@register("create_tables", S.parsed_query(_SCORED_ROWS_SQL, S.FEATURES, S.HISTORY, S.ENRICHED))
+def q_create_tables(spark, sf_dir):
+    """Both catalog tables created, scored rows written by the sink and read through the catalog."""
+    import uuid
+
+    from editflow.sources.files import create_tables, write_scored_table
+
+    base = scratch_path(spark, "tables")
+    names = create_tables(spark, base, prefix=f"t{uuid.uuid4().hex[:12]}_")
+    write_scored_table(_scored_rows(spark, sf_dir), f"{base}/{names['scored']}", batch_id=0)
+    spark.sql(f"MSCK REPAIR TABLE {names['scored']}")
+    return spark.table(names["scored"])
+
+
+@register(
+    "json_infer_schema",
+    """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
+)
+def q_json_infer_schema(spark, sf_dir):
+    """JSON strings to a table without a declared schema: inferred over all rows, then decoded."""
+    from editflow.sources.files import infer_json_schema
+
+    events = read_table(spark, sf_dir, "events")
+    kind = infer_json_schema(events, "props")
+    return events.select("event_id", F.from_json("props", kind).alias("d")).select(
+        "event_id", F.col("d.k").cast("long").alias("k"))
+
+
 __all__ = ["QUERIES", "ORACLE", "register"]

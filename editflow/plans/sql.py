@@ -44,18 +44,17 @@ PARSED = """parsed AS (
 
 FEATURES = """feat AS (
   SELECT event_id, "user", CAST("type" = 'EDIT' AS INTEGER) AS type_bool,
-    CAST(length(summary) AS INTEGER) AS summary_bytes, abs("byteDiff") AS total_byte_change,
+    CAST(length(summary) AS INTEGER) AS summary_bytes, abs(CAST("byteDiff" AS BIGINT)) AS total_byte_change,
     CAST("byteDiff" > 0 AS INTEGER) AS addition_or_deletion, CAST("isBotEdit" AS INTEGER) AS "isBotEdit",
     CAST("isMinor" AS INTEGER) AS "isMinor", CAST("isUnpatrolled" AS INTEGER) AS "isUnpatrolled",
     CAST("isNew" AS INTEGER) AS "isNew"
   FROM parsed)"""
 
-# History: per-user counts of the events before the stream went live (the first six hours);
-# users first seen later have no history row.
-HISTORY_CUTOFF = "2024-01-01 06:00:00"
-HISTORY = f"""hist AS (
-  SELECT 'user' || CAST(user_id AS VARCHAR) AS "user", count(*) AS no_of_edits
-  FROM events WHERE ts < TIMESTAMP '{HISTORY_CUTOFF}' GROUP BY 1)"""
+# History: per-user counts from a whole table of its own (line items by supplier number); its
+# keys are part of the users' numbers, so some users have no history row at any scale.
+HISTORY = """hist AS (
+  SELECT 'user' || CAST(l_suppkey AS VARCHAR) AS "user", count(*) AS no_of_edits
+  FROM lineitem GROUP BY 1)"""
 
 ENRICHED = """enr AS (
   SELECT f.*, coalesce(h.no_of_edits, 1) AS no_of_edits

@@ -1,8 +1,8 @@
 """Registered streaming queries.
 
 Each stages the raw topic from ``events`` (a batch write of the whole table into a file topic
-under the shared checkpoint folder), runs the streaming job with ``availableNow`` and one
-file per micro-batch (so state and changelogs really span several batches), and returns a
+under the shared checkpoint folder), runs the streaming job with ``availableNow`` and a
+quarter of the files per micro-batch (so state and changelogs span several batches), and returns a
 batch DataFrame of what the sinks wrote.
 """
 
@@ -31,7 +31,8 @@ from editflow.streaming import pipeline as P
 
 RAW_TOPIC = "edits-raw"
 TOPIC_PARTITIONS = 4
-STAGE_FILES = 4
+# The staged topic is read in about this many micro-batches, whatever its size.
+STAGE_BATCHES = 4
 
 
 def raw_topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +50,14 @@ def raw_topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stage_raw_topic(spark: SparkSession, sf_dir: str, files: int = STAGE_FILES) -> str:
-    return write_topic(raw_topic_records(spark, sf_dir), scratch_path(spark, "topic-raw"), files=files)
+def stage_files(records: DataFrame) -> int:
+    """As many files as the scan has splits, and as the cluster runs tasks at once at least."""
+    return max(records.rdd.getNumPartitions(), records.sparkSession.sparkContext.defaultParallelism)
+
+
+def stage_raw_topic(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    records = raw_topic_records(spark, sf_dir)
+    return write_topic(records, scratch_path(spark, "topic-raw"), files=files or stage_files(records))
 
 
 def _event_id() -> F.Column:
@@ -58,7 +65,10 @@ def _event_id() -> F.Column:
 
 
 def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_topic(spark, stage_raw_topic(spark, sf_dir), stream=True, max_files_per_trigger=1)
+    records = raw_topic_records(spark, sf_dir)
+    files = stage_files(records)
+    topic = write_topic(records, scratch_path(spark, "topic-raw"), files=files)
+    return read_topic(spark, topic, stream=True, max_files_per_trigger=-(-files // STAGE_BATCHES))
 
 
 _PARSED_SQL = S.parsed_query(f"SELECT event_id, channel, {_EDIT_Q} FROM parsed")
@@ -114,7 +124,7 @@ def q_stream_enrich_skew_split(spark, sf_dir):
     sink = scratch_path(spark, "stream-enriched")
     edits = P.raw_to_edits(_raw_stream(spark, sf_dir))
     query = P.start_enrich(
-        edits, history(spark, sf_dir), sink, scratch_path(spark, "ckpt"), P.AVAILABLE_NOW, max_history_rows=0
+        edits, history(spark, sf_dir), sink, scratch_path(spark, "ckpt"), P.AVAILABLE_NOW, max_history_bytes=0
     )
     P.run_to_end(query)
     cols = ["user", "type_bool", "summary_bytes", "total_byte_change", "addition_or_deletion",
@@ -163,6 +173,23 @@ def q_topic_diff(spark, sf_dir):
     return diff.select("key", message.alias("message"), "side")
 
 
+@register(
+    "topic_fingerprint",
+    S.with_ctes(
+        S.RAW,
+        body=f"""SELECT '{RAW_TOPIC}' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition", count(*) AS records,
+          CAST(sum(('0x' || substr(md5(concat_ws('|', CAST({_EPOCH_MS} AS VARCHAR),
+            to_json({{'timestamp': {_EPOCH_MS}, 'channel': channel, 'message': message,
+                     'user': {{'nick': 'relay-bot', 'username': '~relay-bot', 'host': 'relay.example'}}}}),
+            CAST(event_id // 4 AS VARCHAR))), 1, 15))::BIGINT) AS VARCHAR) AS checksum
+          FROM raw GROUP BY 2""",
+    ),
+)
+def q_topic_fingerprint(spark, sf_dir):
+    """Record count and checksum per partition of the raw topic."""
+    return ops_topics.topic_fingerprint(raw_topic_records(spark, sf_dir))
+
+
 _LAG_CUTOFF = "2024-01-15 00:00:00"
 
 
@@ -238,8 +265,35 @@ def q_stream_batch_totals(spark, sf_dir):
     )
 
 
-@register("stream_batch_log")
+_LOG_BATCHES = 4
+
+
+@register(
+    "stream_batch_log",
+    S.parsed_query(
+        f"""SELECT event_id % {_LOG_BATCHES} AS batch_id, count(*) AS "rows",
+              count_if("isBotEdit" <> CAST(total_byte_change > 500 AS INTEGER)) AS errors,
+              round(count_if("isBotEdit" <> CAST(total_byte_change > 500 AS INTEGER)) / count(*), 6) AS error_rate,
+              true AS in_order
+            FROM enr GROUP BY 1""",
+        S.FEATURES, S.HISTORY, S.ENRICHED,
+    ),
+)
 def q_stream_batch_log(spark, sf_dir):
-    """Per-batch log: batch id, time, rows, errors and error rate of each micro-batch."""
-    paths = _run_scoring(spark, sf_dir, rule_prediction)
-    return spark.read.parquet(paths["metrics"]).select("batch_id", "batch_time", "rows", "errors", "error_rate")
+    """Per-batch log: number, rows, errors and error rate of each micro-batch, and whether its time
+    is not before the batch before. The batches are cut by topic partition: one run of the
+    query on the same checkpoint for each, after its records have come in."""
+    from pyspark.sql import Window
+
+    records = raw_topic_records(spark, sf_dir)
+    base, topic, checkpoint = scratch_path(spark, "stream-log"), scratch_path(spark, "topic-raw"), scratch_path(spark, "ckpt")
+    paths = {k: f"{base}/{k}" for k in ("raw", "scored", "metrics", "rejects")}
+    past = history(spark, sf_dir)
+    for k in range(_LOG_BATCHES):
+        write_topic(records.where(F.col("partition") == k), topic)
+        stream = read_topic(spark, topic, stream=True)
+        P.run_to_end(P.start_scoring(stream, past, rule_prediction, paths, checkpoint, P.AVAILABLE_NOW))
+    log = spark.read.parquet(paths["metrics"])
+    before = F.lag("batch_time").over(Window.orderBy("batch_id"))  # one row per batch
+    return log.select("batch_id", "rows", "errors", "error_rate",
+                      F.coalesce(F.col("batch_time") >= before, F.lit(True)).alias("in_order"))

@@ -71,11 +71,15 @@ FEATURES = [
     "no_of_edits",
 ]
 LABEL = "isBotEdit"
+# Counts and sizes that can pass 32 bits are long. Partition and offset say which record a
+# scored row came from; they may be NULL.
+_LONG_FEATURES = {"total_byte_change", "no_of_edits"}
 SCORED = StructType(
-    [StructField("user", StringType())]
-    + [StructField(name, IntegerType()) for name in FEATURES]
-    + [StructField("isBotEdit", IntegerType()), StructField("predicted", IntegerType())]
+    [StructField("partition", IntegerType()), StructField("offset", LongType()), StructField("user", StringType())]
+    + [StructField(name, LongType() if name in _LONG_FEATURES else IntegerType()) for name in FEATURES]
+    + [StructField(LABEL, IntegerType()), StructField("predicted", IntegerType())]
 )
+SCORED_WITH_BATCH = StructType(SCORED.fields + [StructField("batch_id", LongType())])
 
 # Common form of a topic record, for file-backed topics and message brokers alike.
 TOPIC_RECORD = StructType(

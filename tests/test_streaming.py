@@ -138,7 +138,7 @@ def test_declared_scoring_equals_per_batch_scoring(spark, scratch):
     out = {}
     for bound in (None, "0"):
         if bound is not None:
-            spark.conf.set("editflow.broadcast.maxRows", bound)
+            spark.conf.set("editflow.broadcast.maxBytes", bound)
         try:
             base = scratch("score")
             paths = {k: f"{base}/{k}" for k in ("raw", "scored", "rejects")}
@@ -146,7 +146,7 @@ def test_declared_scoring_equals_per_batch_scoring(spark, scratch):
             query = P.start_scoring(stream, history(spark, SF), rule_prediction, paths, scratch("ckpt"), P.AVAILABLE_NOW)
             P.run_to_end(query)
         finally:
-            spark.conf.unset("editflow.broadcast.maxRows")
+            spark.conf.unset("editflow.broadcast.maxBytes")
         out[bound] = {k: sorted(map(tuple, spark.read.parquet(p).collect())) for k, p in paths.items()}
     assert out[None]["raw"] and out[None]["scored"] and out[None]["rejects"]
     assert out[None] == out["0"]
@@ -196,19 +196,19 @@ def test_batches_with_nothing_to_score(spark, scratch):
 
 
 def test_stream_broadcast_bound_precedence(spark):
-    from editflow.operators.joins import STREAM_BROADCAST_MAX_ROWS
+    from editflow.operators.joins import STREAM_BROADCAST_MAX_BYTES
 
     df = spark.range(1)
-    assert P._stream_bound(df, None) == STREAM_BROADCAST_MAX_ROWS  # below the batch bound
+    assert P._stream_bound(df, None) == STREAM_BROADCAST_MAX_BYTES  # below the batch bound
     assert P._stream_bound(df, 5) == 5
     try:
-        spark.conf.set("editflow.broadcast.maxRows", "7")
+        spark.conf.set("editflow.broadcast.maxBytes", "7")
         assert P._stream_bound(df, None) == 7
-        spark.conf.set("editflow.stream.broadcast.maxRows", "9")
+        spark.conf.set("editflow.stream.broadcast.maxBytes", "9")
         assert P._stream_bound(df, None) == 9
     finally:
-        spark.conf.unset("editflow.broadcast.maxRows")
-        spark.conf.unset("editflow.stream.broadcast.maxRows")
+        spark.conf.unset("editflow.broadcast.maxBytes")
+        spark.conf.unset("editflow.stream.broadcast.maxBytes")
 
 
 def test_scoring_stream_restart_scores_each_row_once(spark, scratch):
@@ -235,7 +235,7 @@ def test_scoring_stream_restart_scores_each_row_once(spark, scratch):
     assert scored.select("partition", "offset").distinct().count() == n_parsed
 
 
-def test_declared_scoring_plan_broadcasts_the_cached_history(spark, scratch):
+def test_declared_scoring_plan_broadcasts_the_snapshot(spark, scratch):
     import contextlib
     import io
 
@@ -255,7 +255,5 @@ def test_declared_scoring_plan_broadcasts_the_cached_history(spark, scratch):
     finally:
         P.run_to_end(query)
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
-    assert "InMemoryTableScan" in plan  # the history kept for the life of the query
-    # The stream's own rows are not shuffled: every exchange in the plan is below the cache.
-    stream_side = plan.split("InMemoryRelation")[0]
-    assert "Exchange hashpartitioning" not in stream_side
+    # The stream's rows are not shuffled, and the history is read from the query's own snapshot.
+    assert "Exchange hashpartitioning" not in plan and "lineitem" not in plan
