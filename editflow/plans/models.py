@@ -181,7 +181,8 @@ def q_ml_vote_mismatch(spark, sf_dir):
     at = rf.transform(model.stages[1].transform(model.stages[0].transform(rows)))
     each = at.select("event_id", F.posexplode(vector_to_array(F.col(M.LEAF_COL))).alias("tree", "leaf")).select(
         "event_id", "tree", F.col("leaf").cast("int").alias("leaf"))
-    counted = each.join(leaves, ["tree", "leaf"]).groupBy("event_id").agg(
+    # The table of leaves is bounded by the model; it has no size estimate of its own.
+    counted = each.join(F.broadcast(leaves), ["tree", "leaf"]).groupBy("event_id").agg(
         F.when(2 * F.sum("class") > F.count("class"), 1).otherwise(0).alias("majority"))
     voted = M.vote(model, path, rows).select("event_id", "predicted")
     return voted.join(counted, "event_id", "full").agg(*_mismatches(F.col("predicted") == F.col("majority")))
