@@ -12,9 +12,9 @@ and two among the first ``n - ceil(percent n) + 2`` (extended prefix).
    frequency, rarest first: single tokens that at most ``frequent`` classes hold are indexed
    one by one; for more frequent ones the prefix is extended and their pairs are indexed.
 4. Candidates are verified on the sets. Only connection matters, so each index key first links
-   its classes to one of them (a star, twice with different centres); then all pairs of a key
-   that are still in different components are verified too. No link between components is
-   left out, and a group of copies is never expanded into all its pairs.
+   its classes to one of them (a star, twice with different centres); then the classes of a
+   key that are still in different components are compared in blocks, where their sets are.
+   No link between components is left out, and no group is ever written out as pairs.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from editflow.llm.common import own_columns, saved
 from editflow.llm.components import components
 from editflow.llm.shingles import fingerprint, mixed, shingle_sets
 
+_BLOCK, _COLUMNS = 256, 8192
 BROADCAST_ROWS = 1_000_000  # 16 bytes a row: a checked bound; beyond it the join shuffles
 
 
@@ -224,6 +225,101 @@ def _star(keys: DataFrame, seed: int, percent: int) -> DataFrame:
     return near.select(F.col("cls").alias("a"), F.col("c.cls").alias("b")).distinct()
 
 
+def _block_links(percent: int):
+    """Rows of one pair of blocks together: a link for each two components that have one there."""
+
+    def overlaps(left: list[tuple], right: list[tuple]) -> np.ndarray:
+        x, y = [r[4] for r in left], [r[4] for r in right]
+        all_x, all_y = np.concatenate(x), np.concatenate(y)
+        shared = np.intersect1d(all_x, all_y)
+        row_x, row_y = np.repeat(np.arange(len(x)), list(map(len, x))), np.repeat(np.arange(len(y)), list(map(len, y)))
+        out = np.zeros((len(x), len(y)), dtype=np.float32)
+
+        def columns(tokens, rows):
+            at = np.minimum(np.searchsorted(shared, tokens), max(len(shared) - 1, 0))
+            known = shared[at] == tokens if len(shared) else np.zeros(len(tokens), dtype=bool)
+            order = np.argsort(at[known], kind="stable")
+            return at[known][order], rows[known][order]
+
+        (at_x, row_x), (at_y, row_y) = columns(all_x, row_x), columns(all_y, row_y)
+        for low in range(0, len(shared), _COLUMNS):
+            a, b = np.searchsorted(at_x, [low, low + _COLUMNS])
+            c, d = np.searchsorted(at_y, [low, low + _COLUMNS])
+            m = np.zeros((len(x), min(_COLUMNS, len(shared) - low)), dtype=np.float32)
+            w = np.zeros((len(y), m.shape[1]), dtype=np.float32)
+            m[row_x[a:b], at_x[a:b] - low] = 1
+            w[row_y[c:d], at_y[c:d] - low] = 1
+            out += m @ w.T
+        return out
+
+    def links(rows: list[tuple], same: bool, group: int) -> list[tuple[int, int]]:
+        left = [r for r in rows if r[0]]
+        right = left if same else [r for r in rows if not r[0]]
+        if not left or not right:
+            return []
+        common = overlaps(left, right)
+        n, m = np.array([len(r[4]) for r in left]), np.array([len(r[4]) for r in right])
+        ok = 100 * common >= percent * (n[:, None] + m[None, :] - common)
+        root_x, root_y = np.array([r[2] for r in left]), np.array([r[2] for r in right])
+        ok &= root_x[:, None] != root_y[None, :]
+        kind_x, kind_y = np.array([r[3] for r in left]), np.array([r[3] for r in right])
+        ok &= np.minimum(kind_x[:, None], kind_y[None, :]) == group  # the others meet in the next group
+        found = {}
+        for i, j in zip(*np.nonzero(ok), strict=True):
+            found.setdefault((min(root_x[i], root_y[j]), max(root_x[i], root_y[j])), (left[i][1], right[j][1]))
+        return list(found.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            out = []
+            columns = (batch.column(k).to_pylist() for k in range(9))
+            for centre, group, i, j, left, cls, root, kind, tokens in zip(*columns, strict=True):
+                if (centre, group, i, j) != key:
+                    if rows:
+                        out += links(rows, key[2] == key[3], key[1])
+                    key, rows = (centre, group, i, j), []
+                rows.append((left, cls, root, kind, np.frombuffer(tokens, dtype=np.uint64)))
+            yield _pairs(out)
+        if rows:
+            yield _pairs(links(rows, key[2] == key[3], key[1]))
+
+    return run
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _between_components(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of different components that share an index key.
+
+    Keys of one neighbourhood mostly have the same centre (the class of least hash), so every
+    candidate pair lies in the group of its key's centre, and a class joins each such group
+    once instead of once for every key. Groups are cut by size (a factor of the threshold; a
+    pair lies in one class of sizes or in two next to each other) and compared in pairs of blocks:
+    pairs are counted where the sets are, and only links leave the task.
+    """
+    centre = apart.groupBy("key").agg(F.min_by("cls", F.struct(F.xxhash64(F.lit(3), "cls"), "cls")).alias("centre"))
+    # A little more than the threshold's ratio, so that rounding never parts a pair by two classes.
+    ratio = 1.001 * max(float(np.log(100 / percent)), 0.01)
+    kind = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")
+    members = apart.join(centre, "key").select("centre", "cls", "root", kind.alias("kind")).distinct()
+    members = members.select("*", F.explode(F.array(F.col("kind") - 1, F.col("kind"))).alias("group"))
+    groups = members.groupBy("centre", "group").agg(
+        F.count("*").alias("size"), F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
+    x = members.join(groups, ["centre", "group"])
+    x = x.withColumn("blocks", F.expr(f"cast((size + {_BLOCK} - 1) div {_BLOCK} as int)"))
+    x = x.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "cls"), F.col("blocks")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x = x.select("centre", "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                 (F.col("block") <= F.col("other")).alias("left"), "cls", "root", "kind")
+    x = x.join(sets.select("cls", "tokens"), "cls").select("centre", "group", "i", "j", "left", "cls", "root", "kind", "tokens")
+    together = x.repartition("centre", "group", "i", "j").sortWithinPartitions("centre", "group", "i", "j")
+    return together.mapInArrow(_block_links(percent), "a long, b long").distinct()
+
+
 def link(docs: DataFrame, words: int = 4, percent: int = 85, first_share: float = 0.25, frequent: int = 200,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_shingles`` and ``component_id``.
@@ -269,18 +365,12 @@ def link(docs: DataFrame, words: int = 4, percent: int = 85, first_share: float
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-stars")
     links = saved(_verified(stars, sets, percent), "join-links")
     joined = components(links)
-    # What two stars left apart: every pair of a key across components, once.
+    # What two stars left apart.
     roots = keys.join(joined, keys["cls"] == joined["node"], "left").select(
         "key", "cls", "n", F.coalesce("root", "cls").alias("root"))
     mixed_keys = roots.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
     apart = saved(roots.join(mixed_keys, "key"), "join-apart")
-    other = apart.select("key", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    left = (
-        apart.withColumnRenamed("cls", "a").join(other, "key")
-        .where("a < b AND root <> other").where(_sizes_fit(percent, "n", "m"))
-        .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    )
-    more = saved(_verified(left, sets, percent), "join-links")
+    more = saved(_between_components(apart, sets, percent), "join-links")
     final = components(links.unionByName(more)) if more.head(1) else joined
 
     roots = classes.join(final, classes["cls"] == final["node"], "left").select(
