@@ -65,12 +65,16 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     n = F.size("words")
     lists = [x for lang, words in COMMON_WORDS.items() for x in (F.lit(lang), F.array(*map(F.lit, words)))]
     rows = rows.withColumns({
-        "grams": F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
-            F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))),
+        "grams": F.when(n >= 3, F.zip_with(
+            F.zip_with(F.slice("words", F.lit(1), n - 2), F.slice("words", F.lit(2), n - 2), lambda v, w: F.xxhash64(v, w)),
+            F.slice("words", F.lit(3), n - 2), lambda g, w: F.xxhash64(g, w))),
         "list": F.coalesce(F.try_element_at(F.create_map(*lists), F.col("lang")), F.array().cast("array<string>")),
         "lines": F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""),
     })
-    rows = rows.withColumn("common", F.filter("words", lambda w: F.array_contains(F.col("list"), w)))
+    # Bound by _let: as a column of its own it would be inlined, and filtered anew for each listed word.
+    common = F.filter("words", lambda w: F.array_contains(F.col("list"), w))
+    commons = _let(common, lambda c: F.transform(
+        F.col("list"), lambda w: F.size(F.filter(c, lambda x: x == w)).cast("long")))
     classes = [_length_of(F.col("text"), c) for c in _CLASSES]
     out = rows.select(
         "doc_id", "lang", n.cast("long").alias("n_words"),
@@ -81,7 +85,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.when(F.col("grams").isNull() | (F.size(F.array_distinct("grams")) == F.size("grams")), 0)
         .otherwise(_repeat_words(F.col("grams"))).cast("long").alias("n_repeat_words"),
         F.array(*classes).alias("chars"), F.length("text").cast("long").alias("n_chars"),
-        F.transform("list", lambda w: F.size(F.filter("common", lambda x: x == w)).cast("long")).alias("commons"),
+        commons.alias("commons"),
     )
     return out.withColumns({
         "chars": F.concat("chars", F.array(F.col("n_chars") - F.aggregate(
