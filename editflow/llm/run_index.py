@@ -38,7 +38,8 @@ from editflow.llm.shingles import mixed, text_blocks
 BROADCAST_ROWS = 400_000  # rows of about 60 bytes: a checked bound; beyond it the join shuffles
 _BYTE = np.random.default_rng(23).integers(1, 2**64, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C13)
-_SEGMENT = "doc_id long, text_id long, at long, starts int, anchor long, h1 long, h2 long, inner boolean"
+# Equal segments have equal anchors too: the two 64-bit hashes together tell their bytes apart.
+_SEGMENT = "doc_id long, text_id long, at long, starts int, anchor long, bytes_hash long, inner boolean"
 
 
 def _substring_hashes(data: np.ndarray, width: int) -> np.ndarray:
@@ -124,15 +125,14 @@ def _segment_rows(length: int, width: int):
                 block, offsets = data[base:int(offsets[-1])], offsets - base
                 text, start, starts, key, inner = segments(block, offsets, length, width)
                 raw = block.tobytes()
-                digests = b"".join([xxhash.xxh3_128_digest(raw[a:a + m + length - 1])
-                                    for a, m in zip(start.tolist(), starts.tolist(), strict=True)])
-                two = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
+                digests = [xxhash.xxh3_64_intdigest(raw[a:a + m + length - 1])
+                           for a, m in zip(start.tolist(), starts.tolist(), strict=True)]
                 who = row + text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(who)),
                      pa.array(tids[who]), pa.array(start - offsets[text]), pa.array(starts.astype(np.int32)),
-                     pa.array(key.view(np.int64)), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(inner)],
-                    names=["doc_id", "text_id", "at", "starts", "anchor", "h1", "h2", "inner"])
+                     pa.array(key.view(np.int64)), pa.array(np.array(digests, dtype=np.uint64).view(np.int64)), pa.array(inner)],
+                    names=["doc_id", "text_id", "at", "starts", "anchor", "bytes_hash", "inner"])
                 row += len(offsets) - 1
     return run
 
@@ -297,19 +297,20 @@ def repeated_spans(docs: DataFrame, length: int = 400, width: int | None = None,
     width = width or max(1, 2 * length // 5)
     rows = _rows(docs, id_col, text_col)
     found = saved(rows.mapInArrow(_segment_rows(length, width), _SEGMENT), "segments")
-    key = ["anchor", "h1", "h2"]
-    kinds = found.groupBy(*key).agg(
+    # Three quarters of all segments have an anchor of their own; they go before anything else.
+    shared = found.groupBy("anchor").agg(F.count("*").alias("total"), F.max("inner").alias("any_inner")).where(
+        "total > 1 OR any_inner").select("anchor")
+    found = saved(found.join(shared, "anchor"), "shared-segments")
+    key = ["anchor", "bytes_hash"]
+    kinds = saved(found.groupBy(*key).agg(
         F.count("*").alias("copies"), F.max("inner").alias("inner"),
-        F.min(F.struct("doc_id", "text_id", "at", "starts")).alias("first"))
-    kinds = saved(kinds, "segment-kinds")
-    per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total"),
-                                             F.max("inner").alias("any_inner")).where("total > 1 OR any_inner")
-    shared = kinds.join(per_anchor, "anchor")
+        F.min(F.struct("doc_id", "text_id", "at", "starts")).alias("first")), "segment-kinds")
+    per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
 
     whole = found.join(kinds.where("copies > 1").select(*key), key).select(
         "doc_id", "text_id", F.col("at").alias("a"), (F.col("at") + F.col("starts") - 1 + length).alias("b"))
 
-    wanted = shared.where("kinds > 1 OR inner").select(
+    wanted = kinds.join(per_anchor, "anchor").where("kinds > 1 OR inner").select(
         "first.doc_id", "first.text_id",
         F.struct("first.at", "first.starts", "anchor", (F.col("copies") == 1).alias("single"),
                  (F.col("kinds") > many).alias("many")).alias("w"))
@@ -374,10 +375,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_bytes, n_removed, n_spans, kept_sha256`` and the removed ``spans``, united."""
-    spans = saved(spans, "spans")
     marks = spans.select(F.col("doc_id").alias("s_doc"), F.col("text_id").alias("s_tid"), "spans")
-    if spans.agg(F.sum(F.size("spans"))).first()[0] in range(BROADCAST_ROWS):
-        marks = F.broadcast(marks)
     rows = _rows(docs, id_col, text_col)
     joined = rows.join(marks, rows["doc_id"].eqNullSafe(F.col("s_doc")) & (rows["text_id"] == F.col("s_tid")), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
