@@ -6,10 +6,12 @@ node's list and a bounded part of its reverse list meet with their vectors in on
 neighbours of a neighbour are compared; every node keeps its best ``k``. Edges at or above the
 threshold are links.
 
-A list whose last entry is a link is saturated: there may be more. Saturated lists are enlarged
-to the whole connected component of links that the node is in, which is compared in blocks and
-only counted, so that a group of thousands of near copies gives exact link counts but is never
-written out as pairs. Recall is audited by comparing a bounded sample of nodes with all vectors
+A list whose last entry is a link is saturated: there may be more, in and outside the component
+that the lists form. Every node of a component with a saturated list is therefore searched
+exactly among all vectors of its label, in blocks: links are counted and joined to spanning
+edges, never written out as pairs. Cells around pivots leave out vectors that are provably too far.
+
+Recall is audited by comparing a bounded sample of nodes with all vectors
 in blocks; below the target the refinement goes on with lists twice as long.
 """
 
@@ -26,7 +28,8 @@ from editflow.llm.common import own_columns, saved
 from editflow.llm.components import components
 
 SAMPLE = 256  # audited nodes; the broadcast sample is bounded by this
-_BLOCK = 512
+_HOMES, _STRIP, _STEP = 2_048, 8_192, 1_024  # vectors a task holds, meets, and compares at once
+_CELL, _PIVOTS_OF_PART, _PIVOTS = 8_192, 64, 4_096
 
 
 def _unit(vectors: list, as_type=np.float64) -> np.ndarray:
@@ -162,55 +165,163 @@ def _start(vectors: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
     return saved(_best(near, k), "neighbours")
 
 
-def _block_counts(threshold: float):
-    """Rows of one pair of blocks together (sorted by component, pair): links of each row, by copies."""
-
-    def count(rows: list[tuple], same: bool) -> tuple[list, list]:
-        first = [r for r in rows if r[0]]
-        second = first if same else [r for r in rows if not r[0]]
-        x, y = _unit([r[2] for r in first]), _unit([r[2] for r in second]) if second else np.zeros((0, 1))
-        if not len(x) or not len(y):
-            return [], []
-        linked = x @ y.T >= threshold
-        if same:
-            np.fill_diagonal(linked, False)
-        wx, wy = np.array([r[3] for r in first]), np.array([r[3] for r in second])
-        ids, sums = [r[1] for r in first], (linked @ wy).tolist()
-        if not same:
-            ids, sums = ids + [r[1] for r in second], sums + (wx @ linked).tolist()
-        return ids, sums
+class _Homes:
+    """Searched nodes of one block: link counts by copies, and their components by smallest place."""
+
+    def __init__(self):
+        self.ids, self.vecs, self.copies, self.x = [], [], [], None
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.ids.append(rows.column(0).to_numpy())
+        self.vecs.append(_matrix(rows.column(1)))
+        self.copies.append(rows.column(2).to_numpy())
+
+    def _ready(self) -> None:
+        if self.x is None:
+            self.x, self.node, self.weight = map(np.concatenate, (self.vecs, self.ids, self.copies))
+            self.linked, self.place = np.zeros(len(self.node), dtype=np.int64), np.arange(len(self.node))
+
+    def meet(self, rows: pa.RecordBatch, threshold: float) -> pa.RecordBatch:
+        """Counts and an edge for each linked visitor that isn't searched itself."""
+        self._ready()
+        other, weight = rows.column(0).to_numpy(), rows.column(2).to_numpy()
+        found = (self.x @ _matrix(rows.column(1)).T >= threshold) & (self.node[:, None] != other)
+        self.linked += found @ weight
+        mine, theirs = np.flatnonzero(found.any(1)), np.flatnonzero(found.any(0))
+        if not len(mine):
+            return _searched_rows([], [], [])
+        part = found[np.ix_(mine, theirs)]
+        while True:
+            least = np.where(part, self.place[mine][:, None], len(self.node)).min(0)
+            to = np.arange(len(self.node))
+            np.minimum.at(to, self.place[mine], np.where(part, least, len(self.node)).min(1))
+            place = to[self.place]
+            if (place == self.place).all():
+                break
+            self.place = place
+        counts = np.where(rows.column(3).to_numpy(zero_copy_only=False)[theirs], 0, self.weight[mine] @ part)
+        return _searched_rows(other[theirs], counts, self.node[mine[part.argmax(0)]])
+
+    def done(self) -> pa.RecordBatch:
+        self._ready()
+        return _searched_rows(self.node, self.linked, self.node[self.place])
+
+
+def _searched_rows(node, linked, near) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (node, linked, near)], names=["node", "linked", "near"])
+
+
+def _search(threshold: float):
+    """Rows sorted by block, its searched nodes first: ``node, linked, near``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, homes = None, None
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(5, 10)), strict=True))
+            start = 0
+            for stop in range(1, len(keys) + 1):
+                if stop < len(keys) and keys[stop] == keys[start]:
+                    continue
+                if keys[start] != at:
+                    if homes:
+                        yield homes.done()
+                    at, homes = keys[start], _Homes()
+                rows = batch.slice(start, stop - start)
+                held = int(np.sum(rows.column(4).to_numpy(zero_copy_only=False)))
+                if held:
+                    homes.add(rows.slice(0, held))
+                for k in range(held, len(rows), _STEP):
+                    yield homes.meet(rows.slice(k, min(_STEP, len(rows) - k)), threshold)
+                start = stop
+        if homes:
+            yield homes.done()
+
+    return run
+
+
+def _to_cells(pivots: dict[tuple, np.ndarray], threshold: float):
+    """A searched node goes to its nearest pivot's cell, every vector to all cells that can link with it.
+
+    For a node h nearest to pivot c and a vector v within the chord of the threshold,
+    v (p_b - p_c) <= (h - v) (p_c - p_b) <= chord * |p_c - p_b| for every pivot b.
+    """
+    chord = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    gaps = {key: chord * np.linalg.norm(p[:, None] - p[None], axis=2) + 1e-9 for key, p in pivots.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
         for batch in batches:
-            ids, sums = [], []
-            for root, i, j, left, node, vec, copies in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
-                if (root, i, j) != key:
-                    if rows:
-                        a, b = count(rows, key[1] == key[2])
-                        ids, sums = ids + a, sums + b
-                    key, rows = (root, i, j), []
-                rows.append((left, node, vec, copies))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sums, pa.int64())], names=["node", "linked"])
-        if rows:
-            a, b = count(rows, key[1] == key[2])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["node", "linked"])
+            by: dict[tuple, list[int]] = {}
+            for k, p in enumerate(batch.column(1).to_pylist()):
+                by.setdefault((p["label"], p["size"]), []).append(k)
+            searched = batch.column(4).to_numpy(zero_copy_only=False)
+            for key, where in by.items():
+                places = np.asarray(where)
+                if key in pivots:
+                    near = _matrix(batch.column(2).take(pa.array(places))) @ pivots[key].T
+                    need = np.ones(near.shape, dtype=bool)
+                    for b in range(near.shape[1]):
+                        need &= near[:, b:b + 1] - near <= gaps[key][:, b]
+                    own = near.argmax(1)
+                else:
+                    need, own = np.ones((len(places), 1), dtype=bool), np.zeros(len(places), dtype=np.int64)
+                visitor, cell = np.nonzero(need)
+                home = np.flatnonzero(searched[places])
+                held = np.repeat([True, False], [len(home), len(visitor)])
+                rows = batch.take(pa.array(places[np.concatenate([home, visitor])]))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(held), pa.array(np.concatenate([own[home], cell]), pa.int32())],
+                    names=["node", "part", "vec", "copies", "searched", "held", "cell"])
 
     return run
 
 
-def _enlarged(members: DataFrame, threshold: float) -> DataFrame:
-    """``root, node, vec, copies`` of saturated components -> ``node, linked`` over all their pairs of blocks."""
-    sizes = members.groupBy("root").agg(F.count("*").alias("size"))
-    x = members.join(sizes, "root").withColumn("blocks", F.expr(f"cast((size + {_BLOCK} - 1) div {_BLOCK} as int)"))
-    x = x.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A row goes to its block's pair with every block; the pair (i, j), i <= j, has i's rows left.
-    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = x.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     (F.col("block") <= F.col("other")).alias("left"), "node", "vec", "copies")
-    together = pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return together.mapInArrow(_block_counts(threshold), "node long, linked long").groupBy("node").agg(
-        F.sum("linked").alias("linked"))
+def _pivots(vectors: DataFrame, cell: int) -> dict[tuple, np.ndarray]:
+    """A few vectors of each part that is larger than a cell; at most ``_PIVOTS`` in all."""
+    large = vectors.groupBy("part").agg(F.count("*").alias("size")).where(F.col("size") > cell)
+    order = Window.partitionBy("part").orderBy(F.xxhash64(F.lit("pivot"), "node"))
+    wanted = F.least(F.ceil(F.col("size") / cell), F.lit(_PIVOTS_OF_PART))
+    first = vectors.select("node", "part").withColumn("r", F.row_number().over(order)).where(F.col("r") <= _PIVOTS_OF_PART)
+    few = first.join(large, "part").where(F.col("r") <= wanted).orderBy("r", "node").limit(_PIVOTS).select("node")
+    by: dict[tuple, list] = {}
+    for r in vectors.join(few, "node").select("part", "vec").collect():
+        by.setdefault((r["part"]["label"], r["part"]["size"]), []).append(r["vec"])
+    return {key: _unit(vecs) for key, vecs in by.items()}
+
+
+def _exact(homes: DataFrame, vectors: DataFrame, threshold: float, cell: int = _CELL) -> DataFrame:
+    """Every link of the nodes in ``homes`` with any vector of their part: ``node, linked, near``.
+
+    ``linked`` adds up to a home's links, and to the links that another node has with homes;
+    ``near`` are edges that join what these links join.
+    """
+    rows = vectors.join(homes.select("node").withColumn("searched", F.lit(True)), "node", "left").select(
+        "node", "part", "vec", "copies", F.coalesce("searched", F.lit(False)).alias("searched"))
+    of = {f.name: f.dataType.simpleString() for f in rows.schema}
+    dealt = rows.mapInArrow(
+        _to_cells(_pivots(vectors, cell), threshold),
+        f"node long, part {of['part']}, vec {of['vec']}, copies long, searched boolean, held boolean, cell int")
+    blocks = dealt.groupBy("part", "cell").agg(
+        F.sum(F.col("held").cast("long")).alias("n_held"), F.sum((~F.col("held")).cast("long")).alias("n_met")).where("n_held > 0")
+    blocks = blocks.select("part", "cell", F.ceil(F.col("n_held") / _HOMES).cast("int").alias("subs"),
+                           F.ceil(F.col("n_met") / _STRIP).cast("int").alias("strips"))
+    x = dealt.join(blocks, ["part", "cell"])
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("held"), F.col("subs")).otherwise(F.col("strips"))).cast("int")
+    x = x.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.when(F.col("held"), F.col("strips")).otherwise(F.col("subs")) - 1)))
+    key = ["label", "size", "cell", "sub", "strip"]
+    x = x.select("node", "vec", "copies", "searched", "held", F.col("part.label").alias("label"), F.col("part.size").alias("size"),
+                 "cell", F.when(F.col("held"), F.col("own")).otherwise(F.col("other")).alias("sub"),
+                 F.when(F.col("held"), F.col("other")).otherwise(F.col("own")).alias("strip"))
+    together = x.repartition(*key).sortWithinPartitions(*key, F.col("held").desc())
+    return saved(together.mapInArrow(_search(threshold), "node long, linked long, near long"), "searched")
+
+
+def _sums(searched: DataFrame) -> DataFrame:
+    return searched.groupBy("node").agg(F.sum("linked").alias("linked")).where("linked > 0")
+
+
+def _edges_of(searched: DataFrame) -> DataFrame:
+    return searched.where("node <> near").select(F.col("node").alias("a"), F.col("near").alias("b")).distinct()
 
 
 def _audit(vectors: DataFrame, counted: DataFrame, threshold: float) -> float:
@@ -266,17 +377,19 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, k: int = 6, table
             links.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct(), "links")
         roots = components(both.select(F.col("node").alias("a"), F.col("near").alias("b")))
         full = links.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= k).select("node")
-        saturated = roots.join(full, "node").select("root").distinct()
-        members = roots.join(saturated, "root").join(distinct.select("node", "vec", "copies"), "node")
-        enlarged = _enlarged(members.select("root", "node", "vec", "copies"), threshold)
-        others = roots.join(saturated, "root", "left_anti").select("node").join(both, "node").join(
-            distinct.select(F.col("node").alias("near"), "copies"), "near").groupBy("node").agg(F.sum("copies").alias("linked"))
-        counted = saved(enlarged.unionByName(others), "link-counts")
+        homes = saved(roots.join(roots.join(full, "node").select("root").distinct(), "root").select("node"), "homes")
+        searched = _exact(homes, distinct, threshold)
+        unsearched = both.join(homes, "node", "left_anti").join(homes.withColumnRenamed("node", "near"), "near", "left_anti")
+        listed = unsearched.join(distinct.select(F.col("node").alias("near"), "copies"), "near").select(
+            "node", F.col("copies").alias("linked"))
+        counted = saved(_sums(searched.select("node", "linked").unionByName(listed)), "link-counts")
         recall = _audit(distinct, counted, threshold)
         if recall >= target:
             break
         k *= 2
         graph = graph.unionByName(_start(distinct, k, tables, seed + turn + 1))
+    edges = both.select(F.col("node").alias("a"), F.col("near").alias("b"))
+    roots = components(edges.unionByName(_edges_of(searched)))
     placed = distinct.select("node", "copies", "least").join(roots, "node", "left").join(counted, "node", "left")
     placed = placed.select("node", "least", F.coalesce("root", "node").alias("root"),
                            (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))

@@ -49,6 +49,52 @@ def test_nn_descent_exact_on_small_data(spark):
     assert got.first()["recall"] >= 0.95
 
 
+def _brute(x, label, threshold=0.98):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (u @ u.T >= threshold) & (label[:, None] == label)
+    np.fill_diagonal(links, False)
+    root = np.arange(len(x))
+    while True:
+        least = np.minimum(root, np.where(links, root, len(x)).min(1))
+        if (least == root).all():
+            return links.sum(1), root
+        root = least
+
+
+def _clusters():
+    """Chains of tight clusters (cosine about 0.999) that link with the next cluster only, and noise."""
+    rng = np.random.default_rng(8)
+    rows, label = [], []
+    for chain in range(6):
+        basis = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        for step in range(5):
+            centre = np.cos(0.17 * step) * basis[0] + np.sin(0.17 * step) * basis[1]
+            rows += list(centre + 0.003 * rng.standard_normal((12, 32)))
+            label += [chain % 2] * 12
+    rows += list(rng.standard_normal((200, 32)))
+    return np.array(rows), np.array(label + [0, 1] * 100)
+
+
+def test_nn_descent_links_between_saturated_clusters(spark):
+    x, label = _clusters()
+    n_links, root = _brute(x, label)
+    df = spark.createDataFrame([(k, v.tolist(), int(c)) for k, (v, c) in enumerate(zip(x, label))],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(df).collect()}
+    assert got == {k: (n_links[k], root[k]) for k in range(len(x))}
+
+
+def test_exact_search_by_cells(spark, monkeypatch):
+    x, label = _clusters()
+    n_links, _ = _brute(x, label)
+    df = spark.createDataFrame([(k, (int(c), 32), v.tolist(), 1) for k, (v, c) in enumerate(zip(x, label))],
+                               "node long, part struct<label:int,size:int>, vec array<double>, copies long")
+    monkeypatch.setattr(nn_descent, "_HOMES", 16)
+    monkeypatch.setattr(nn_descent, "_STRIP", 50)
+    sums = nn_descent._sums(nn_descent._exact(df.select("node"), df, 0.98, cell=40))
+    assert {r["node"]: r["linked"] for r in sums.collect()} == {k: n for k, n in enumerate(n_links.tolist()) if n}
+
+
 def test_nn_descent_empty(spark):
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
