@@ -11,8 +11,10 @@ that the lists form. Every node of a component with a saturated list is therefor
 exactly among all vectors of its label, in blocks: links are counted and joined to spanning
 edges, never written out as pairs. Cells around pivots leave out vectors that are provably too far.
 
-Recall is audited by comparing a bounded sample of nodes with all vectors
-in blocks; below the target the refinement goes on with lists twice as long.
+Recall is audited by the same exact search for a sample over labels and group sizes that must
+hold enough true links, and judged by link, by vector and by group size; below the target the
+refinement goes on with lists twice as long, and after the last turn, or where the sample shows
+too few links to judge, every node is searched exactly.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 from editflow.llm.common import own_columns, saved
 from editflow.llm.components import components
 
-SAMPLE = 256  # audited nodes; the broadcast sample is bounded by this
+SAMPLES = (4_096, 16_384)  # audited nodes, and how many if those show too few links
+_LEAST_LINKED = 100  # audited nodes with links that a verdict needs
+_LEAST_GROUP = 20  # the same for nodes of one group size
 _HOMES, _STRIP, _STEP = 2_048, 8_192, 1_024  # vectors a task holds, meets, and compares at once
 _CELL, _PIVOTS_OF_PART, _PIVOTS = 8_192, 64, 4_096
 
@@ -324,37 +328,27 @@ def _edges_of(searched: DataFrame) -> DataFrame:
     return searched.where("node <> near").select(F.col("node").alias("a"), F.col("near").alias("b")).distinct()
 
 
-def _audit(vectors: DataFrame, counted: DataFrame, threshold: float) -> float:
-    """Found share of the links that a bounded sample of nodes has among all vectors."""
-    sample = vectors.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(SAMPLE).select("node", "part", "vec").collect()
-    groups: dict[tuple, tuple[list, np.ndarray]] = {}
-    for key in {(r["part"]["label"], r["part"]["size"]) for r in sample}:
-        own = [r for r in sample if (r["part"]["label"], r["part"]["size"]) == key]
-        groups[key] = ([r["node"] for r in own], _unit([r["vec"] for r in own]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
-        for batch in batches:
-            by: dict[tuple, list[int]] = {}
-            parts = batch.column(1).to_pylist()
-            for k, p in enumerate(parts):
-                by.setdefault((p["label"], p["size"]), []).append(k)
-            for key, places in by.items():
-                if key in groups:
-                    ids, x = groups[key]
-                    y = _matrix(batch.column(2).take(pa.array(places)))
-                    weight = batch.column(3).take(pa.array(places)).to_numpy()
-                    other = batch.column(0).take(pa.array(places)).to_numpy()
-                    for node, row in zip(ids, x @ y.T >= threshold, strict=True):
-                        total[node] = total.get(node, 0) + int(weight[row & (other != node)].sum())
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
-                                         names=["node", "truth"])
-
-    truth = vectors.select("node", "part", "vec", "copies").mapInArrow(run, "node long, truth long").groupBy("node").agg(
-        F.sum("truth").alias("truth"))
-    both = truth.join(counted, "node", "left").agg(
-        F.sum("truth"), F.sum(F.least("truth", F.coalesce("linked", F.lit(0))))).first()
-    return 1.0 if not both[0] else both[1] / both[0]
+def _audit(vectors: DataFrame, counted: DataFrame, threshold: float) -> float | None:
+    """Found share of true links: the least by link, by vector and by group size; None if too few were seen."""
+    found = vectors.select("node", "part").join(counted, "node", "left").select(
+        "node", "part", F.coalesce("linked", F.lit(0)).alias("linked"))
+    group = F.floor(F.log2(F.col("linked") + 1))
+    order = Window.partitionBy("part", group).orderBy(F.xxhash64(F.lit("audit"), "node"))
+    ranked = found.withColumn("r", F.row_number().over(order))
+    total = vectors.count()
+    for size in SAMPLES:
+        # Every label and group size in turn; ties by hash, so no label comes first.
+        sample = saved(ranked.where(F.col("r") <= size).orderBy("r", F.xxhash64("node")).limit(size).select("node", "linked"), "audited")
+        truth = _sums(_exact(sample, vectors, threshold)).withColumnRenamed("linked", "truth")
+        both = sample.join(truth, "node").withColumn("hit", F.least("linked", "truth"))
+        by = both.groupBy(F.floor(F.log2("truth")).alias("g")).agg(
+            F.count("*").alias("n"), F.sum("truth").alias("truth"), F.sum("hit").alias("hit"),
+            F.sum(F.col("hit") / F.col("truth")).alias("shares")).collect()  # a row for each power of two
+        n = sum(r["n"] for r in by)
+        if n >= _LEAST_LINKED or size >= total:
+            judged = [sum(r["hit"] for r in by) / sum(r["truth"] for r in by), sum(r["shares"] for r in by) / n] if n else [1.0]
+            return min(judged + [r["shares"] / r["n"] for r in by if r["n"] >= _LEAST_GROUP])
+    return None
 
 
 def near_duplicates(table: DataFrame, threshold: float = 0.98, k: int = 6, tables: int = 4, rounds: int = 3,
@@ -384,11 +378,14 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, k: int = 6, table
             "node", F.col("copies").alias("linked"))
         counted = saved(_sums(searched.select("node", "linked").unionByName(listed)), "link-counts")
         recall = _audit(distinct, counted, threshold)
-        if recall >= target:
+        if recall is None or recall >= target:
             break
         k *= 2
         graph = graph.unionByName(_start(distinct, k, tables, seed + turn + 1))
     edges = both.select(F.col("node").alias("a"), F.col("near").alias("b"))
+    if recall is None or recall < target:
+        searched, recall = _exact(distinct, distinct, threshold), 1.0
+        counted = saved(_sums(searched), "link-counts")
     roots = components(edges.unionByName(_edges_of(searched)))
     placed = distinct.select("node", "copies", "least").join(roots, "node", "left").join(counted, "node", "left")
     placed = placed.select("node", "least", F.coalesce("root", "node").alias("root"),

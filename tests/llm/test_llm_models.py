@@ -84,6 +84,21 @@ def test_nn_descent_links_between_saturated_clusters(spark):
     assert got == {k: (n_links[k], root[k]) for k in range(len(x))}
 
 
+def test_nn_descent_lost_links_are_searched(spark, monkeypatch):
+    """A start that finds hardly any link, in a table of which few vectors are linked."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((1500, 24))
+    x[1:40:2] = x[0:40:2] + 0.01 * rng.standard_normal((20, 24))
+    label = np.zeros(len(x), dtype=int)
+    n_links, root = _brute(x, label)
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(nn_descent, "_start", lambda vectors, *_: spark.createDataFrame([], nn_descent._EDGE))
+    monkeypatch.setattr(nn_descent, "_refined", lambda graph, *_: graph)
+    monkeypatch.setattr(nn_descent, "SAMPLES", (64, 256), raising=False)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(df).collect()}
+    assert n_links.sum() >= 40 and got == {k: (n_links[k], root[k]) for k in range(len(x))}
+
+
 def test_exact_search_by_cells(spark, monkeypatch):
     x, label = _clusters()
     n_links, _ = _brute(x, label)
