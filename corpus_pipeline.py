@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from editflow.llm import knn_quality, line_dedup, mixing, ngram_join, packing
 from editflow.llm.common import saved, table, text_id
-from editflow.llm.queries import MIX_LEVELS, MIX_WEIGHTS, domain, vocabulary
+from editflow.llm.queries import MIX_LEVELS, MIX_WEIGHTS, SPECIALS, domain, vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 QUALITY_FLOOR = 0.3
@@ -72,7 +72,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document's pieces with their place in sequences of at most ``CAPACITY`` tokens."""
-    cut = saved(packing.pieces(docs, *vocabulary(), capacity=CAPACITY), "pack-pieces")
+    cut = saved(packing.pieces(docs, *vocabulary(), capacity=CAPACITY, specials=SPECIALS), "pack-pieces")
     return packing.pack(cut, CAPACITY).drop("uid")
 
 

@@ -27,9 +27,9 @@ from editflow.llm.tokens import ChunkEncoder
 _PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _cut(ranks_path: str, pattern: str, capacity: int, end_id: int):
+def _cut(ranks_path: str, pattern: str, capacity: int, end_id: int, specials: dict[str, int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(ranks_path, pattern)
+        encoder = ChunkEncoder(ranks_path, pattern, specials=specials)
         uid = TaskContext.get().partitionId() << 36
         end = np.asarray([end_id], dtype="<u4").tobytes()
         width = 4 * capacity
@@ -52,14 +52,15 @@ def _cut(ranks_path: str, pattern: str, capacity: int, end_id: int):
 
 
 def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = 2048, end_id: int = 0,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", specials: dict[str, int] | None = None) -> DataFrame:
     """Token pieces of every row: ``uid, doc_id, piece, start, length, ids_crc32``.
 
     A text's ids are followed by ``end_id``; null is the empty text (one token). Only longer
     texts are cut, into full pieces but for the first. ``uid`` tells rows apart, repeated ones too.
+    ``specials`` are strings with an id of their own; without it all text is ordinary.
     """
     rows = own_columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_cut(ranks_path, pattern, capacity, end_id), _PIECES)
+    return rows.mapInArrow(_cut(ranks_path, pattern, capacity, end_id, specials), _PIECES)
 
 
 class _Bins:

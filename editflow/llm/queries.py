@@ -21,6 +21,10 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+# Added tokens of the vocabulary's JSON form, which its default encode finds in text.
+SPECIALS = {"<|endoftext|>": 50256}
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -209,7 +213,7 @@ def op10_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_genetic_packing")
 def op8_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary()
-    cut = saved(packing.pieces(table(spark, sf_dir, "documents"), ranks, pattern), "pack-pieces")
+    cut = saved(packing.pieces(table(spark, sf_dir, "documents"), ranks, pattern, specials=SPECIALS), "pack-pieces")
     return packing.pack(cut).drop("uid")
 
 

@@ -166,6 +166,33 @@ def test_packing_round_trip(docs):
     assert len(places) <= -(-total // capacity) * 1.05 + 1
 
 
+def test_special_tokens_as_default_tokenizer():
+    from tokenizers import Tokenizer
+    import numpy as np
+    import public_tokenizers
+
+    from editflow.llm.queries import SPECIALS
+    from editflow.llm.tokens import ChunkEncoder
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [t or "" for _, t, *_ in ROWS] + [end, f"a b{end}c d", f"x  {end}{end} y\n{end}", f"<|endoftext{end}|>", f"\t{end} "]
+    got = ChunkEncoder(*vocabulary(), specials=SPECIALS).encode(texts)
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_queries_and_pipeline_find_special_tokens(spark, tmp_path):
+    import corpus_pipeline
+    from editflow.llm.queries import QUERIES
+
+    rows = [(1, "one<|endoftext|>two", "en", "s", 19)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (QUERIES["op8_genetic_packing"](spark, str(tmp_path)), corpus_pipeline.sequences(spark, docs, str(tmp_path))):
+        assert [r["length"] for r in out.collect()] == [4]
+
+
 def test_evolve_never_gets_worse():
     rng = random.Random(2)
     sizes = [rng.randrange(1, 100) for _ in range(300)]
