@@ -4,18 +4,22 @@ A page becomes blocks of text. Menus, page headers and footers, asides, forms, s
 what an element's class, id or role marks as such (adverts, notices, comments, ...) are left
 out; if the page has an article or main element, only blocks inside count and are trusted.
 
-Pages are range partitioned by host and page, so a host of any size is spread over tasks and
-its pages stand together. Within a partition a host is read in chunks of bounded size. The
-token streams of a chunk's pages are concatenated (a mark between blocks, a mark of its own
-after each page) and the suffixes sorted by their first ``run`` tokens; neighbours that agree
-on all of them are a substring repeated across pages. Pages with equal streams count once, so
-copies of an article are no boilerplate. On pages without an article element the tokens that
-such substrings cover go and the unique runs stay; inside an article only whole blocks go that
-most pages of the chunk repeat, and never the larger part of the article.
+Parsed pages are range partitioned by host and token stream, so a host of any size is spread over
+tasks, its pages stand together and equal streams (copies, which count once) are neighbours. Within
+a partition a host's distinct streams are read in chunks of bounded size and concatenated (a mark
+between blocks, a mark of its own after each page), and the suffixes sorted by their first ``run``
+tokens: those that agree on all of them are one run. A chunk gives each run's number of pages,
+and the numbers are added over the whole host by the run's hash, so that no text depends on
+chunks or partitions. Runs that enough pages of the host hold go back to the pages.
+
+On pages without an article element the tokens that such runs cover go and the unique ones stay;
+if more than the larger part would go, only what many pages hold. Inside an article only whole
+blocks go that many pages hold, and never the larger part of the article.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.llm.common import own_columns
+from editflow.llm.common import own_columns, saved
 
 # Element names by treatment, and words of class, id and role that mark furniture.
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "template", "svg", "math", "xmp", "noembed",
@@ -159,118 +163,193 @@ def blocks(page: str) -> tuple[list[str], bool]:
     return [t for t, _ in found], False
 
 
-def boilerplate(streams: list[list[list[str]]], run: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
-    """For each page, each token's count of distinct pages that repeat its longest-known ``run``.
+BROADCAST_ROWS = 1_000_000  # 16 bytes a row: a checked bound; beyond it the join shuffles
+_WORDS = 500_000  # word hashes that a task keeps
+
+
+class _Hashes:
+    """64-bit hashes of words and of runs of words, the same in every task."""
+
+    def __init__(self, run: int):
+        self.run, self.known = run, {}
+        self.powers = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(run)], dtype=np.uint64)
+
+    def word(self, w: str) -> int:
+        h = self.known.get(w)
+        if h is None:
+            if len(self.known) >= _WORDS:
+                self.known.clear()
+            h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return h
+
+    def codes(self, blocks_: list[str]) -> np.ndarray:
+        """Word hashes of a page, 0 after each block."""
+        flat: list[int] = []
+        for block in blocks_:
+            flat.extend(map(self.word, block.split(" ")))
+            flat.append(0)
+        return np.array(flat, dtype=np.uint64)
+
+    def runs(self, codes: np.ndarray, host: str) -> np.ndarray:
+        """Hash of the run at each place that has a whole one, mixed with the host."""
+        n = len(codes) - self.run + 1
+        if n <= 0:
+            return np.zeros(0, dtype=np.int64)
+        h = np.full(n, self.word("host " + host), dtype=np.uint64)
+        for k in range(self.run):
+            h += codes[k:k + n] * self.powers[k]
+            h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return (h ^ (h >> np.uint64(32))).view(np.int64)
+
 
-    Returns per page the count per token (0: in no repeated run), the block number per token,
-    and the number of distinct pages. Marks between blocks are dropped from both arrays.
+def run_pages(pages: list[np.ndarray], run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array over distinct pages' codes: a place of each run, and its number of pages.
+
+    Places count whole runs only, page after page, as ``_Hashes.runs`` gives them.
     """
-    distinct: dict[tuple, int] = {}
-    page_no = [distinct.setdefault(tuple(map(tuple, s)), len(distinct)) for s in streams]
-    ids: dict[str, int] = {}
-    flat: list[int] = []
-    page_of: list[int] = []
-    starts = []
-    for k, s in enumerate(distinct):
-        starts.append(len(flat))
-        for block in s:
-            flat.extend([ids.setdefault(w, len(ids) + 1) for w in block])
-            flat.append(0)  # between blocks
-        flat.append(-1 - k)  # a mark of its own: no run crosses pages
-        page_of.extend([k] * (len(flat) - len(page_of)))
-    codes, pages = np.asarray(flat, dtype=np.int64), np.asarray(page_of, dtype=np.int64)
-    n = len(codes)
-    count = np.zeros(n, dtype=np.int64)
-    if n >= run and len(distinct) > 1:
-        # Ranks by the first 1, 2, 4, ... run tokens: suffix order, cut off at the run length.
-        rank = np.unique(codes, return_inverse=True)[1].astype(np.int64)
-        width = 1
-        while width < run:
-            step = min(width, run - width)
-            after = np.concatenate([rank[step:], np.full(step, -1)])
-            rank = np.unique(rank * (n + 2) + after + 1, return_inverse=True)[1].astype(np.int64)
-            width += step
-        # Suffix array, and its groups of suffixes that agree on run tokens.
-        suffixes = np.lexsort((pages, rank))
-        r, p = rank[suffixes], pages[suffixes]
-        new_group = np.concatenate([[True], r[1:] != r[:-1]])
-        new_page = new_group | np.concatenate([[True], p[1:] != p[:-1]])
-        group = np.cumsum(new_group) - 1
-        n_pages = np.bincount(group, weights=new_page).astype(np.int64)[group]
-        at_start = np.zeros(n, dtype=np.int64)
-        at_start[suffixes] = np.where(n_pages > 1, n_pages, 0)
-        for k in range(run):  # a token's best covering run
-            np.maximum(count[k:], at_start[:n - k], out=count[k:])
-    counts, numbers = [], []
-    starts.append(n)
-    for k in range(len(distinct)):
-        own = codes[starts[k]:starts[k + 1]]
-        token = own > 0
-        counts.append(count[starts[k]:starts[k + 1]][token])
-        numbers.append(np.cumsum(own == 0)[token])
-    return [counts[k] for k in page_no], [numbers[k] for k in page_no], len(distinct)
-
-
-def clean(parsed: list[tuple[list[str], bool]], run: int, least_pages: int, plain_share: float,
-          article_share: float) -> list[str]:
-    """Texts of one chunk of a host's pages, without what its pages repeat."""
-    streams = [[b.split(" ") for b in found] for found, _ in parsed]
-    counts, numbers, n_distinct = boilerplate(streams, run)
-    plain = max(least_pages, plain_share * n_distinct)
-    article = max(4 * least_pages, article_share * n_distinct)
-    texts = []
-    for (found, trusted), blocks_, count, number in zip(parsed, streams, counts, numbers, strict=True):
-        if trusted:
-            n = len(found)
-            size = np.bincount(number, minlength=n)
-            gone = np.bincount(number, weights=count >= article, minlength=n) >= size
-            if size[gone].sum() * 2 > size.sum():
-                gone[:] = False
-            texts.append(" ".join(b for b, g in zip(found, gone, strict=True) if not g))
-        else:
-            words = [w for b in blocks_ for w in b]
-            texts.append(" ".join(w for w, c in zip(words, count, strict=True) if c < plain))
-    return texts
-
-
-def _extract(run: int, least_pages: int, plain_share: float, article_share: float, chunk_pages: int, chunk_chars: int):
-    def rows(held: list[tuple]) -> pa.RecordBatch:
-        texts = clean([x[2] for x in held], run, least_pages, plain_share, article_share)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.string()),
-             pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-            names=["page_id", "url", "text", "n_chars"])
+    words, inverse = np.unique(np.concatenate(pages), return_inverse=True)
+    sizes = np.array([len(p) for p in pages])
+    owner = np.repeat(np.arange(len(pages)), sizes)
+    # A mark of its own after each page: no run crosses pages.
+    n = len(inverse) + len(pages)
+    places = np.arange(len(inverse)) + owner
+    rank = np.empty(n, dtype=np.int64)
+    rank[places] = inverse
+    rank[np.cumsum(sizes + 1) - 1] = len(words) + np.arange(len(pages))
+    # Ranks by the first 1, 2, 4, ... run tokens: suffix order, cut off at the run length.
+    width = 1
+    while width < run:
+        step = min(width, run - width)
+        after = np.concatenate([rank[step:], np.full(min(step, n), -1)])[:n]
+        rank = np.unique(rank * (n + 2) + after + 1, return_inverse=True)[1].astype(np.int64)
+        width += step
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(inverse))
+    whole = left >= run
+    rank, page = rank[places][whole], owner[whole]
+    suffixes = np.lexsort((page, rank))
+    r, p = rank[suffixes], page[suffixes]
+    new = np.ones(len(r), dtype=bool)
+    new[1:] = r[1:] != r[:-1]
+    new_page = new.copy()
+    new_page[1:] |= p[1:] != p[:-1]
+    starts = np.flatnonzero(new)
+    return suffixes[starts], np.add.reduceat(new_page.astype(np.int64), starts) if len(starts) else starts
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [blocks(page or "") for page in batch.column(4).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], pa.array([f for f, _ in found], pa.list_(pa.string())), pa.array([t for _, t in found], pa.bool_())],
+            names=["uid", "page_id", "url", "host", "found", "trusted"])
+
+
+def _count_runs(run: int, chunk_pages: int, chunk_chars: int):
+    """Rows sorted by host and stream: ``key, n`` of each run of a chunk of distinct pages."""
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, held, chars = None, [], 0
+        hashes = _Hashes(run)
+        host, last, held, chars = None, None, [], 0
+
+        def rows() -> pa.RecordBatch:
+            first, n = run_pages(held, run)
+            keys = np.concatenate([hashes.runs(p, host) for p in held])[first]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+
         for batch in batches:
-            for page_id, url, page, h in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for h, stream, found in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if held and (h != host or len(held) >= chunk_pages or chars >= chunk_chars):
-                    yield rows(held)
+                    yield rows()
                     held, chars = [], 0
-                host = h
-                found = blocks(page or "")
-                held.append((page_id, url, found))
-                chars += sum(map(len, found[0]))
+                if (h, stream) != (host, last):
+                    host, last = h, stream
+                    held.append(hashes.codes(found))
+                    chars += sum(map(len, found))
         if held:
-            yield rows(held)
+            yield rows()
+
+    return run_
+
+
+def _page_runs(run: int):
+    """``uid, key`` of each distinct run of each page."""
+
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes(run)
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                uids, keys = [], []
+                for uid, host, found in zip(*(batch.slice(at, 64).column(k).to_pylist() for k in range(3)), strict=True):
+                    own = np.unique(hashes.runs(hashes.codes(found), host))
+                    uids.append(np.full(len(own), uid, dtype=np.int64))
+                    keys.append(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (uids, keys)], names=["uid", "key"])
+
+    return run_
+
+
+def clean(found: list[str], trusted: bool, runs: np.ndarray, known: dict[int, int], run: int, least_pages: int) -> str:
+    """A page's text without what its host repeats; ``known`` has the host's pages of each repeated run."""
+    streams = [b.split(" ") for b in found]
+    sizes = np.array([len(b) for b in streams], dtype=np.int64)
+    count = np.zeros(int((sizes + 1).sum()), dtype=np.int64)
+    at_start = np.array([known.get(k, 0) for k in runs.tolist()], dtype=np.int64)
+    for k in range(run):  # a token's best covering run
+        np.maximum(count[k:k + len(at_start)], at_start, out=count[k:k + len(at_start)])
+    word = np.ones(len(count), dtype=bool)
+    word[np.cumsum(sizes + 1) - 1] = False
+    count, number = count[word], np.repeat(np.arange(len(found)), sizes)
+    many = 4 * least_pages
+    if trusted:
+        gone = np.bincount(number, weights=count >= many, minlength=len(found)) >= sizes
+        if sizes[gone].sum() * 2 > sizes.sum():
+            gone[:] = False
+        return " ".join(b for b, g in zip(found, gone, strict=True) if not g)
+    gone = count >= least_pages
+    if gone.sum() * 2 > len(gone):
+        gone = count >= many
+    return " ".join(w for w, g in zip((w for b in streams for w in b), gone, strict=True) if not g)
+
+
+def _clean(run: int, least_pages: int):
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes(run)
+        for batch in (whole.slice(at, 256) for whole in batches for at in range(0, len(whole), 256)):
+            texts = []
+            for host, found, trusted, repeated in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                if repeated:
+                    known = {r["key"]: r["n"] for r in repeated}
+                    texts.append(clean(found, trusted, hashes.runs(hashes.codes(found), host), known, run, least_pages))
+                else:
+                    texts.append(" ".join(found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"])
 
     return run_
 
 
-def extract(pages: DataFrame, run: int = 12, least_pages: int = 3, plain_share: float = 0.1, article_share: float = 0.5,
-            chunk_pages: int = 512, chunk_chars: int = 6_000_000,
+def extract(pages: DataFrame, run: int = 12, least_pages: int = 3, chunk_pages: int = 512, chunk_chars: int = 6_000_000,
             id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: ``page_id, url, text, n_chars``.
 
     Null and empty pages have an empty text. A null url is a host of its own; repeated rows are
-    each answered. Shares count the distinct pages of a chunk.
+    each answered. A run counts by the distinct pages of its whole host; chunks bound memory only.
     """
     rows = own_columns(pages, page_id=id_col, url=url_col, html=html_col)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
-    rows = rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"),
-                       F.xxhash64("page_id", "url").alias("order"))
-    ranged = rows.repartitionByRange("host", "order").sortWithinPartitions("host", "order")
-    return ranged.select("page_id", "url", "html", "host").mapInArrow(
-        _extract(run, least_pages, plain_share, article_share, chunk_pages, chunk_chars),
-        "page_id long, url string, text string, n_chars long")
+    rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url",
+                       host.alias("host"), "html")
+    parsed = saved(rows.mapInArrow(
+        _parsed, "uid long, page_id long, url string, host string, found array<string>, trusted boolean"), "pages-parsed")
+    streams = parsed.where(F.size("found") > 0).select("host", F.xxhash64("found").alias("stream"), "found")
+    ranged = streams.repartitionByRange("host", "stream").sortWithinPartitions("host", "stream")
+    counted = ranged.mapInArrow(_count_runs(run, chunk_pages, chunk_chars), "key long, n long")
+    repeated = saved(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pages), "host-runs")
+    few = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    of_page = parsed.select("uid", "host", "found").mapInArrow(_page_runs(run), "uid long, key long").join(few, "key").groupBy(
+        F.col("uid").alias("of")).agg(F.collect_list(F.struct("key", "n")).alias("repeated"))
+    both = parsed.join(of_page, F.col("uid") == F.col("of"), "left")
+    return both.select("page_id", "url", "host", "found", "trusted", "repeated").mapInArrow(
+        _clean(run, least_pages), "page_id long, url string, text string, n_chars long")

@@ -301,6 +301,32 @@ def test_html_boilerplate(spark):
     assert got[100] == "" and got[101] == "" and got[102] == "only one"
 
 
+def _own(k, n):
+    return " ".join(f"w{k}x{i}" for i in range(n))
+
+
+def test_html_counts_over_the_whole_host(spark):
+    """Boilerplate on few pages of each chunk, and the same texts whatever the chunks."""
+    notice = " ".join(f"notice{i}" for i in range(14))
+    rows = [(k, f"https://h.example/{k}", f"<p>{_own(k, 40)}</p>" + (f"<div>{notice}</div>" if k % 10 == 0 else "")) for k in range(200)]
+    rows += [(k, f"https://h.example/{k}", f"<article><p>{_own(k, 40)}</p>" + (f"<div>{notice}</div>" if k % 10 == 0 else "") + "</article>")
+             for k in range(200, 300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {k: _own(k, 40) for k in range(300)}
+    for chunk, partitions in ((512, 1), (16, 7)):
+        out = html_text.extract(df.repartition(partitions, "page_id"), chunk_pages=chunk)
+        assert {r["page_id"]: r["text"] for r in out.collect()} == want
+
+
+def test_html_near_copies_stay(spark):
+    """Three near copies of an article on a plain host keep it; copies count as one page."""
+    article = _own("a", 200)
+    rows = [(k, f"https://h.example/{k}", f"<p>{article} end{k}</p>") for k in range(3)]
+    rows += [(k, f"https://c.example/{k}", f"<p>{article}</p>") for k in range(3, 30)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"{article} end{k}" if k < 3 else article for k in range(30)}
+
+
 def test_empty_tables(spark, empty, docs):
     assert line_dedup.apply_bitmaps(empty, line_dedup.keep_bitmaps(empty)).count() == 0
     assert ngram_join.link(empty).count() == 0
