@@ -34,6 +34,7 @@ from editflow.llm.common import own_columns, saved
 # Element names by treatment, and words of class, id and role that mark furniture.
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "template", "svg", "math", "xmp", "noembed",
        "noframes", "object", "canvas", "video", "audio"}
+TO_THE_END = {"script", "style", "title", "textarea"}  # unclosed, they take the rest of the page
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
@@ -133,11 +134,15 @@ def blocks(page: str) -> tuple[list[str], bool]:
                     pop_to(k)
                     break
             continue
+        if name in ("svg", "math") and attributes.endswith("/"):
+            continue
         if name in RAW:
             lower = page.lower() if lower is None else lower
             # lower() can change the length of a text only for non-ASCII characters; search again then
             close = lower.find("</" + name, at) if len(lower) == end else (
                 c.start() if (c := re.compile("</" + name, re.IGNORECASE).search(page, at)) else -1)
+            if close < 0 and name not in TO_THE_END:
+                continue
             gt = page.find(">", close) if close >= 0 else -1
             at = end if gt < 0 else gt + 1
             continue

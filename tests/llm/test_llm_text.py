@@ -290,6 +290,16 @@ def test_html_structure():
         assert " ".join(html_text.blocks(page)[0]) == text, page
 
 
+def test_html_raw_elements_without_end():
+    cases = {
+        '<p>a <svg class="x"/> b <math/> c': "a b c", "a<svg/>b<svg><path/>no</svg>c": "a b c",
+        "a<noscript>b <p>c": "a b c", "<object>a": "a", "<video src=x>a": "a", "<canvas>a": "a",
+        "a<script>no <p>no": "a", "a<style>no": "a", "a<textarea>no": "a",
+    }
+    for page, text in cases.items():
+        assert " ".join(html_text.blocks(page)[0]) == text, page
+
+
 def test_html_boilerplate(spark):
     notice = "we use little files to remember what you read here and there all day long"
     rows = [(k, f"https://h.example/{k}", f"<div>{notice}</div><p>{k} page has words of its own {k * k} and more {k + 7}") for k in range(20)]
