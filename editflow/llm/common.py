@@ -18,7 +18,7 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(TABLE.format(sf_dir.rstrip("/"), name))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 
     The written table cuts the lineage: a lost executor costs only the reader's own stage, and
@@ -26,7 +26,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

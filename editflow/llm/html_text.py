@@ -4,13 +4,13 @@ A page becomes blocks of text. Menus, page headers and footers, asides, forms, s
 what an element's class, id or role marks as such (adverts, notices, comments, ...) are left
 out; if the page has an article or main element, only blocks inside count and are trusted.
 
-Parsed pages are range partitioned by host and token stream, so a host of any size is spread over
-tasks, its pages stand together and equal streams (copies, which count once) are neighbours. Within
-a partition a host's distinct streams are read in chunks of bounded size and concatenated (a mark
-between blocks, a mark of its own after each page), and the suffixes sorted by their first ``run``
-tokens: those that agree on all of them are one run. A chunk gives each run's number of pages,
-and the numbers are added over the whole host by the run's hash, so that no text depends on
-chunks or partitions. Runs that enough pages of the host hold go back to the pages.
+Pages with equal token streams count once. The distinct streams of a host that a task reads
+together are concatenated in chunks of bounded size (a mark between blocks, a mark of its own
+after each page), and the suffixes sorted by their first ``run`` tokens: those that agree on all
+of them are one run. Most runs are on one page only, so first only 40 bits of each run's hash are
+dealt out, sorted and as differences, and counted over the whole host: no run that enough pages
+hold is left out. What remains is counted exactly by the whole hash and goes back to the pages,
+so that no text depends on chunks or partitions.
 
 On pages without an article element the tokens that such runs cover go and the unique ones stay;
 if more than the larger part would go, only what many pages hold. Inside an article only whole
@@ -170,6 +170,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
 
 BROADCAST_ROWS = 1_000_000  # 16 bytes a row: a checked bound; beyond it the join shuffles
 _WORDS = 500_000  # word hashes that a task keeps
+_SHORT, _BUCKET = 40, 10  # bits of a run's hash that are dealt out first, and of them the bucket's
 
 
 class _Hashes:
@@ -250,29 +251,64 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["uid", "page_id", "url", "host", "found", "trusted"])
 
 
-def _count_runs(run: int, chunk_pages: int, chunk_chars: int):
-    """Rows sorted by host and stream: ``key, n`` of each run of a chunk of distinct pages."""
+def _short_runs(run: int, least_pages: int, chunk_pages: int, chunk_chars: int):
+    """``bucket, width, gaps``: each page's runs as sorted short hashes, a row for each bucket of a batch."""
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes(run)
-        host, last, held, chars = None, None, [], 0
 
-        def rows() -> pa.RecordBatch:
+        def keys(host: str, held: list[np.ndarray]) -> np.ndarray:
             first, n = run_pages(held, run)
-            keys = np.concatenate([hashes.runs(p, host) for p in held])[first]
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+            return np.repeat(np.concatenate([hashes.runs(p, host) for p in held])[first], np.minimum(n, least_pages))
 
         for batch in batches:
-            for h, stream, found in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if held and (h != host or len(held) >= chunk_pages or chars >= chunk_chars):
-                    yield rows()
-                    held, chars = [], 0
-                if (h, stream) != (host, last):
-                    host, last = h, stream
-                    held.append(hashes.codes(found))
-                    chars += sum(map(len, found))
+            of: dict[str, tuple[list, list]] = {}
+            out = []
+            for host, found in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                held, chars = of.setdefault(host, ([], []))
+                held.append(hashes.codes(found))
+                chars.append(sum(map(len, found)))
+                if len(held) >= chunk_pages or sum(chars) >= chunk_chars:
+                    out.append(keys(host, held))
+                    del of[host]
+            out += [keys(host, held) for host, (held, _) in of.items()]
+            short = np.sort(np.concatenate(out).view(np.uint64) >> np.uint64(64 - _SHORT)) if out else np.zeros(0, dtype=np.uint64)
+            bucket = (short >> np.uint64(_SHORT - _BUCKET)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            rows = []
+            for one in np.split(short, cuts[1:]) if len(short) else []:
+                low = (one & np.uint64((1 << _SHORT - _BUCKET) - 1)).astype("<u4")
+                gaps = np.diff(low, prepend=np.uint32(0)).astype("<u4")
+                width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+                rows.append((int(one[0]) >> _SHORT - _BUCKET, width, gaps.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.binary()))],
+                names=["bucket", "width", "gaps"])
+
+    return run_
+
+
+def _suspects(least_pages: int):
+    """Rows sorted by bucket: the short hashes that enough pages hold."""
+
+    def many(bucket: int, held: list[np.ndarray]) -> pa.RecordBatch:
+        low, n = np.unique(np.concatenate(held), return_counts=True)
+        short = (bucket << _SHORT - _BUCKET) + low[n >= least_pages].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(short, pa.int64())], names=["short"])
+
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for bucket, width, gaps in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if bucket != at:
+                    if held:
+                        yield many(at, held)
+                    at, held = bucket, []
+                wide = np.zeros((len(gaps) // width, 4), dtype=np.uint8)
+                wide[:, :width] = np.frombuffer(gaps, dtype=np.uint8).reshape(-1, width)
+                held.append(np.cumsum(wide.view("<u4").ravel(), dtype=np.uint32))
         if held:
-            yield rows()
+            yield many(at, held)
 
     return run_
 
@@ -347,14 +383,25 @@ def extract(pages: DataFrame, run: int = 12, least_pages: int = 3, chunk_pages:
     rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url",
                        host.alias("host"), "html")
     parsed = saved(rows.mapInArrow(
-        _parsed, "uid long, page_id long, url string, host string, found array<string>, trusted boolean"), "pages-parsed")
-    streams = parsed.where(F.size("found") > 0).select("host", F.xxhash64("found").alias("stream"), "found")
-    ranged = streams.repartitionByRange("host", "stream").sortWithinPartitions("host", "stream")
-    counted = ranged.mapInArrow(_count_runs(run, chunk_pages, chunk_chars), "key long, n long")
-    repeated = saved(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pages), "host-runs")
-    few = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
-    of_page = parsed.select("uid", "host", "found").mapInArrow(_page_runs(run), "uid long, key long").join(few, "key").groupBy(
-        F.col("uid").alias("of")).agg(F.collect_list(F.struct("key", "n")).alias("repeated"))
+        _parsed, "uid long, page_id long, url string, host string, found array<string>, trusted boolean"), "pages-parsed", "zstd")
+
+    def bounded(x: DataFrame) -> DataFrame:
+        return F.broadcast(x) if x.count() <= BROADCAST_ROWS else x
+
+    streams = parsed.select("uid", F.xxhash64("host", "found").alias("stream"))
+    groups = streams.groupBy("stream").agg(F.min("uid").alias("least"), F.count("*").alias("n")).where("n > 1")
+    copies = bounded(saved(streams.join(groups, "stream").where("uid <> least").select("uid"), "page-copies"))
+    distinct = parsed.where(F.size("found") > 0).select("uid", "host", "found").join(copies, "uid", "left_anti").select("host", "found")
+    short = distinct.mapInArrow(_short_runs(run, least_pages, chunk_pages, chunk_chars), "bucket int, width int, gaps binary")
+    suspects = saved(short.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_suspects(least_pages), "short long"),
+                     "run-suspects")
+    of_page = parsed.select("uid", "host", "found").mapInArrow(_page_runs(run), "uid long, key long")
+    of_page = saved(of_page.withColumn("short", F.shiftrightunsigned("key", 64 - _SHORT)).join(bounded(suspects), "short", "left_semi")
+                    .select("uid", "key"), "page-runs")
+    repeated = saved(of_page.join(copies, "uid", "left_anti").groupBy("key").agg(F.count("*").alias("n")).where(
+        F.col("n") >= least_pages), "host-runs")
+    of_page = of_page.join(bounded(repeated), "key").groupBy(F.col("uid").alias("of")).agg(
+        F.collect_list(F.struct("key", "n")).alias("repeated"))
     both = parsed.join(of_page, F.col("uid") == F.col("of"), "left")
     return both.select("page_id", "url", "host", "found", "trusted", "repeated").mapInArrow(
         _clean(run, least_pages), "page_id long, url string, text string, n_chars long")
