@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editflow.llm import divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, nn_descent, packing, run_index
+from editflow.llm import (
+    divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, nn_descent, packing, pii_anchors,
+    run_index,
+)
 from editflow.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -245,3 +248,13 @@ def op3_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_nn_descent")
 def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings")).drop("recall")
+
+
+@query("op11_anchor_expansion")
+def op11_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_anchors.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("pii_spans")
+    return found.select(
+        "doc_id", *(pii_anchors.count_of(spans, k).alias(f"n_{k}") for k in pii_anchors.BASE_KINDS),
+        F.sha2(pii_anchors.joined(spans, pii_anchors.BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
+        pii_anchors.joined(spans).alias("spans"))
