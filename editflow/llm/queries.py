@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editflow.llm import (
-    divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, nn_descent, packing, pii_anchors,
-    run_index,
+    conversation_repair, divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, nn_descent, packing,
+    pii_anchors, run_index,
 )
 from editflow.llm.common import saved, table
 
@@ -258,3 +258,19 @@ def op11_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(pii_anchors.count_of(spans, k).alias(f"n_{k}") for k in pii_anchors.BASE_KINDS),
         F.sha2(pii_anchors.joined(spans, pii_anchors.BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
         pii_anchors.joined(spans).alias("spans"))
+
+
+@query("op13_interval_repair")
+def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations")
+    repair = conversation_repair.Repair(conversation_repair.damage(convs))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # One union and one grouping instead of two joins: every id, what is known of it, its digest.
+    parts = convs.select("conv_id").unionByName(
+        repair.report().withColumnRenamed("conv", "conv_id").drop("n"), allowMissingColumns=True
+    ).unionByName(repair.digests().withColumnRenamed("conv", "conv_id"), allowMissingColumns=True)
+    whole = parts.groupBy("conv_id").agg(*(F.max(c).alias(c) for c in [*counts, "audit", "sha256"]))
+    return whole.select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
