@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from editflow.llm import (
     conversation_repair, divergence, html_text, knn_quality, license_scan, line_dedup, mixing, ngram_join, nn_descent, packing,
-    pii_anchors, run_index,
+    pii_anchors, run_index, spelling_kdtree,
 )
 from editflow.llm.common import saved, table
 
@@ -274,3 +274,8 @@ def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query("op12_letter_kdtree")
+def op12_letter_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_kdtree.group(spelling_kdtree.seeded_words(table(spark, sf_dir, "documents")))
