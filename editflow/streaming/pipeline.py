@@ -25,6 +25,8 @@ from editflow.operators.topics import encode_parsed
 from editflow.schemas import ENVELOPE, EDIT, EDIT_FIELDS
 from editflow.session import ROCKSDB_PROVIDER, scratch_path
 from editflow.sources.files import write_batch, write_raw_table, write_scored_table
+from editflow.streaming import commits
+from editflow.streaming.tables import SnapshotTable
 
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
 LOG = logging.getLogger("editflow.streaming")
@@ -97,10 +99,11 @@ def start_parse_to_topic(
 
 
 def start_counts(
-    edits: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None
+    edits: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None, fold_every: int = 8, buckets: int = 32
 ) -> StreamingQuery:
     """Running edit count per user, emitted in update mode (one row per changed user per
-    batch), each batch written to ``sink_path/batch_id=<n>``.
+    batch), each batch written to ``sink_path/batch_id=<n>`` and, every ``fold_every`` batches,
+    folded into a snapshot (``SnapshotTable``) so that readers don't scan old changes.
 
     The state holds one row per user ever seen and is never dropped (the counts are
     unbounded by definition), so it lives in RocksDB.
@@ -109,7 +112,9 @@ def start_counts(
     counts = agg.edits_by_user(edits)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, sink_path, batch_id)
+        table = SnapshotTable(batch.sparkSession, sink_path, buckets=buckets, fold_every=fold_every)
+        table.write(batch, batch_id)
+        table.commit(batch_id)
 
     writer = (
         counts.writeStream.outputMode("update")
@@ -120,9 +125,12 @@ def start_counts(
 
 
 def read_counts(spark: SparkSession, sink_path: str) -> DataFrame:
-    """Current table from the written changelog: the latest count per user."""
-    changes = spark.read.parquet(sink_path)
-    return agg.compact_changelog(changes, seq="batch_id")
+    """Current table: the snapshot and the complete batches after it, the latest count per user.
+
+    A changelog written without a snapshot or markers is compacted as a whole.
+    """
+    table = SnapshotTable(spark, sink_path).read()
+    return table if table is not None else agg.compact_changelog(spark.read.parquet(sink_path), seq="batch_id")
 
 
 def _stream_bound(history: DataFrame, max_bytes: int | None) -> int:
@@ -277,6 +285,7 @@ def start_scoring(
     trigger: dict | None = None,
     label: str = "isBotEdit",
     reload_every: int = 0,
+    after_sink: Callable[[str, int], None] | None = None,
 ) -> StreamingQuery:
     """Per micro-batch: raw table, scored table and batch metrics, each idempotent per batch.
 
@@ -284,7 +293,10 @@ def start_scoring(
     ``predicted`` column. Each row is parsed and scored once: the batch is persisted and feeds
     the raw, reject and scored sinks, and the metrics are observed during the scored write and
     logged. ``paths`` has keys ``raw`` and ``scored``, and optionally ``metrics`` (a table of
-    per-batch metrics) and ``rejects`` (malformed JSON keeps its text in ``_corrupt_record``).
+    per-batch metrics), ``rejects`` (malformed JSON keeps its text in ``_corrupt_record``) and
+    ``commits``: a folder of markers, one written when all of a batch's sinks are complete.
+    Readers that go through ``commits.read_committed`` never see a batch that is in some sinks only.
+    ``after_sink(name, batch_id)`` is called when a sink has its batch.
 
     When the history fits the broadcast bound, parse, features, join and model are declared
     once on the stream (``scoring_frame``), so a micro-batch builds no plan in Python and only
@@ -297,10 +309,14 @@ def start_scoring(
     out_cols = ["partition", "offset", "user", *feat.FEATURES, label]
     predicted = F.col("predicted").cast("int").alias("predicted")
 
+    done = after_sink or (lambda name, batch_id: None)
+
     def write_outputs(edits: DataFrame, rejects: DataFrame, scored: DataFrame, batch_id: int) -> None:
         write_raw_table(edits, paths["raw"], batch_id)
+        done("raw", batch_id)
         if "rejects" in paths:
             write_batch(rejects, paths["rejects"], batch_id)
+            done("rejects", batch_id)
         # Metrics are observed while the scored rows are written (no second job over them).
         seen = Observation(f"scored_{batch_id}")
         wrong = F.col(label) != F.col("predicted")
@@ -309,6 +325,7 @@ def start_scoring(
             paths["scored"],
             batch_id,
         )
+        done("scored", batch_id)
         got = seen.get
         rows, errors = int(got["rows"]), int(got["errors"])
         rate = round(errors / rows, 6) if rows else None
@@ -319,6 +336,9 @@ def start_scoring(
                 "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
             ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
             write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
+            done("metrics", batch_id)
+        if "commits" in paths:
+            commits.mark(scored.sparkSession, paths["commits"], batch_id)
 
     if join.static:
         wide = scoring_frame(decoded, join, scorer, label)
