@@ -4,11 +4,11 @@ Training and scoring are Spark ML (distributed fit, JVM-side transform). Scoring
 per-row projection, so it works unchanged on a streaming DataFrame.
 
 Spark ML's forest adds up per-tree class probabilities, while a classic forest model combines
-trees by **majority vote**. ``vote`` reproduces the vote exactly: the forest reports the leaf
-each row reaches in every tree (``leafCol``), and a lookup table leaf -> class built from the
-saved forest turns that into per-tree classes, counted per row with higher-order functions. The
-table has at most trees x 2^maxDepth entries (bounded by the model, not by the data), and no
-row is exploded or shuffled.
+trees by **majority vote**. ``vote`` reproduces the vote exactly with a copy of the saved forest whose
+nodes carry the unit vector of their class as statistics (``operators.forests``): Spark ML's own sum
+is then the number of votes. ``voter`` computes the same from the leaves that a row reaches
+(``leafCol``) and a lookup table leaf -> class; it needs no second copy of the model but is interpreted,
+and serves as a check.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editflow.operators.forests import voting_copy
 from editflow.schemas import FEATURES, LABEL
 
 # --- Fixed values: the shape of the source system's model --------------------------------
@@ -152,6 +153,26 @@ def voter(model: PipelineModel, table: list[list[int]], prediction: str = "predi
     return apply
 
 
+def forest_voter(model: PipelineModel, voting: RandomForestClassificationModel, prediction: str = "predicted"):
+    """A ``DataFrame -> DataFrame`` that adds the majority class of a voting forest (``operators.forests``)
+    on top of the pipeline's assembler and PCA."""
+    rf = voting.copy()
+    rf.setFeaturesCol(PCA_COL)
+    rf.setPredictionCol("prediction")
+    assemble, pca = model.stages[0], model.stages[1]
+
+    def apply(df: DataFrame) -> DataFrame:
+        voted = rf.transform(pca.transform(assemble.transform(df)))
+        return voted.withColumn(prediction, F.col("prediction").cast("int")).drop(FEATURES_COL, PCA_COL, "prediction")
+
+    return apply
+
+
+def saved_voter(spark: SparkSession, model: PipelineModel, model_path: str, prediction: str = "predicted"):
+    """The voter of a saved pipeline: its forest is copied into the voting form once."""
+    return forest_voter(model, voting_copy(spark, _stage_path(model_path, model)), prediction)
+
+
 def vote(model: PipelineModel, model_path: str, df: DataFrame, prediction: str = "predicted") -> DataFrame:
     """Majority-vote prediction of the forest (equal tree weights)."""
-    return voter(model, leaf_classes(df.sparkSession, model_path, model), prediction)(df)
+    return saved_voter(df.sparkSession, model, model_path, prediction)(df)

@@ -105,7 +105,7 @@ def q_ml_vote(spark, sf_dir):
 def q_stream_score(spark, sf_dir):
     """Streaming scorer: per micro-batch raw table, majority-vote scored table and metrics."""
     model, path = fitted(spark, sf_dir)
-    scorer = M.voter(model, M.leaf_classes(spark, path, model))
+    scorer = M.saved_voter(spark, model, path)
 
     base = scratch_path(spark, "stream-score")
     paths = {k: f"{base}/{k}" for k in ("raw", "scored", "metrics")}
@@ -188,6 +188,27 @@ def q_ml_vote_mismatch(spark, sf_dir):
     return voted.join(counted, "event_id", "full").agg(*_mismatches(F.col("predicted") == F.col("majority")))
 
 
+@register("ml_vote_lookup_mismatch", _NO_MISMATCH)
+def q_ml_vote_lookup_mismatch(spark, sf_dir):
+    """The voting copy of the forest against the vote looked up leaf by leaf."""
+    model, path = fitted(spark, sf_dir)
+    rows = M.vote(model, path, model_rows(spark, sf_dir)).withColumnRenamed("predicted", "voted")
+    both = M.voter(model, M.leaf_classes(spark, path, model))(rows)
+    return both.agg(*_mismatches(F.col("predicted") == F.col("voted")))
+
+
+@register("ml_old_layout_mismatch", _NO_MISMATCH)
+def q_ml_old_layout_mismatch(spark, sf_dir):
+    """The forest written in the older per-node layout and read back, against the vote of the first one."""
+    from editflow.operators import forests
+
+    model, path = fitted(spark, sf_dir)
+    old = forests.write_old(spark, M._stage_path(path, model), scratch_path(spark, "forest-old"))
+    rows = M.vote(model, path, model_rows(spark, sf_dir)).withColumnRenamed("predicted", "voted")
+    again = M.forest_voter(model, forests.read_old(spark, old, num_features=M.PCA_K))(rows)
+    return again.agg(*_mismatches(F.col("predicted") == F.col("voted")))
+
+
 @register("stream_score_mismatch", _NO_MISMATCH)
 def q_stream_score_mismatch(spark, sf_dir):
     """The scored stream against the batch vote of the same saved model."""

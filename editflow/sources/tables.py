@@ -93,7 +93,9 @@ def edit_messages(events: DataFrame) -> DataFrame:
 
 
 def read_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """Raw notices from ``events``. ``partitions`` spreads a small single-split table on purpose
-    (the benchmark does); by default the scan's own splits stay as they are."""
+    """Raw notices from ``events``. ``partitions`` (or the session setting ``editflow.messages.partitions``,
+    which the benchmark sets) spreads a table that has fewer splits than the cluster has cores; by
+    default the scan's own splits stay as they are."""
     events = read_table(spark, sf_dir, "events")
+    partitions = partitions or int(spark.conf.get("editflow.messages.partitions", "0"))
     return edit_messages(events.repartition(partitions, "event_id") if partitions else events)
