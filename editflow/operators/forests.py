@@ -49,12 +49,14 @@ def _silent(path: str) -> RandomForestClassificationModel:
 
 
 def voting_copy(spark: SparkSession, forest_path: str, path: str | None = None) -> RandomForestClassificationModel:
-    """The majority-voting form of a forest in Spark ML's layout, written to ``path`` and loaded."""
+    """The majority-voting form of a forest in Spark ML's layout, written to ``path`` and loaded.
+
+    Every task reads its own copy of the model, so nodes that no vote depends on are left out first.
+    """
     path = path or scratch_path(spark, "voting-forest")
     metadata = json.loads(_text(spark, f"{forest_path}/metadata"))
-    nodes = spark.read.parquet(f"{forest_path}/data")
-    stats = one_hot(F.col("nodeData.prediction"), int(metadata["numClasses"]))
-    nodes.withColumn("nodeData", F.col("nodeData").withField("impurityStats", stats)).write.mode("overwrite").parquet(f"{path}/data")
+    nodes = spark.read.parquet(f"{forest_path}/data").select("treeID", "nodeData.*")
+    _old_nodes(pruned(_heap_nodes(nodes)), int(metadata["numClasses"])).write.mode("overwrite").parquet(f"{path}/data")
     spark.read.parquet(f"{forest_path}/treesMetadata").write.mode("overwrite").parquet(f"{path}/treesMetadata")
     _write_metadata(spark, f"{path}/metadata", metadata)
     return _silent(path)
@@ -127,7 +129,7 @@ def read_old(spark: SparkSession, old_path: str, num_features: int | None = None
     if trees != len(about["treeWeights"]):
         raise ValueError(f"{trees} trees in the data, {len(about['treeWeights'])} weights in the metadata")
     classes = max(2, int(top) + 1)
-    _old_nodes(old, classes).write.mode("overwrite").parquet(f"{path}/data")
+    _old_nodes(pruned(old), classes).write.mode("overwrite").parquet(f"{path}/data")
     forest, tree, columns = _template(spark)
     rows = [(t, json.dumps(tree | {"uid": f"{tree['uid']}_{t}"}), 1.0) for t in range(trees)]
     names = ", ".join(f"`{c}` {k}" for c, k in zip(columns, ("int", "string", "double"), strict=True))
@@ -138,13 +140,12 @@ def read_old(spark: SparkSession, old_path: str, num_features: int | None = None
     return _silent(path)
 
 
-def write_old(spark: SparkSession, forest_path: str, old_path: str) -> str:
-    """A saved Spark ML forest in the older layout: the way back, for readers that know only that one.
+def _heap_nodes(nodes: DataFrame) -> DataFrame:
+    """Spark ML's node records (treeID and the record's fields) in the older layout's columns.
 
     Node numbers come down from the root, one round a level (the depth is a bound of the model). Numbers
     are 32 bits wide there, which holds thirty levels.
     """
-    nodes = spark.read.parquet(f"{forest_path}/data").select("treeID", "nodeData.*")
     level = nodes.where("id = 0").withColumn("nodeId", F.lit(1))
     numbered, depth = level, 0
     while not level.isEmpty():
@@ -165,11 +166,37 @@ def write_old(spark: SparkSession, forest_path: str, old_path: str) -> str:
         F.when(categorical, F.col("split.leftCategoriesOrThreshold")).otherwise(F.array().cast("array<double>")).alias("categories"))
     total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
     share = F.try_divide(F.element_at("impurityStats", F.col("prediction").cast("int") + 1), total)
-    numbered.select(
-        F.col("treeID").alias("treeId"), "nodeId", F.struct(F.col("prediction").alias("predict"), F.coalesce(share, F.lit(1.0)).alias("prob")).alias("predict"),
+    return numbered.select(
+        F.col("treeID").alias("treeId"), "nodeId",
+        F.struct(F.col("prediction").alias("predict"), F.coalesce(share, F.lit(1.0)).alias("prob")).alias("predict"),
         "impurity", (~inner).alias("isLeaf"), F.when(inner, split).alias("split"), F.when(inner, 2 * F.col("nodeId")).alias("leftNodeId"),
-        F.when(inner, 2 * F.col("nodeId") + 1).alias("rightNodeId"), F.when(inner, F.col("gain")).alias("infoGain"),
-    ).write.mode("overwrite").parquet(f"{old_path}/data")
+        F.when(inner, 2 * F.col("nodeId") + 1).alias("rightNodeId"), F.when(inner, F.col("gain")).alias("infoGain"))
+
+
+def pruned(old: DataFrame) -> DataFrame:
+    """The same votes from fewer nodes: a subtree whose leaves all have one class becomes a leaf.
+
+    Every leaf counts for each of its ancestors (halving its number leads up); nodes below a uniform one go.
+    """
+    up = F.explode(F.sequence(F.lit(0), F.floor(F.log2("nodeId")).cast("int"))).alias("k")
+    above = old.where("isLeaf").select("treeId", "nodeId", F.col("predict.predict").alias("class"), up)
+    uniform = above.groupBy("treeId", F.expr("shiftright(nodeId, k)").alias("nodeId")).agg(
+        F.min("class").alias("low"), (F.min("class") == F.max("class")).alias("uniform"))
+    parents = uniform.where("not uniform").select("treeId", F.col("nodeId").alias("parent"))
+    kept = old.join(uniform, ["treeId", "nodeId"]).withColumn("parent", F.expr("shiftright(nodeId, 1)")).join(
+        parents.withColumn("open", F.lit(True)), ["treeId", "parent"], "left").where("nodeId = 1 or open")
+    inner = ~F.col("uniform")
+    return kept.select(
+        "treeId", "nodeId", F.struct(F.when(inner, F.col("predict.predict")).otherwise(F.col("low")).alias("predict"),
+                                     F.col("predict.prob").alias("prob")).alias("predict"),
+        "impurity", F.col("uniform").alias("isLeaf"),
+        *(F.when(inner, F.col(c)).alias(c) for c in ("split", "leftNodeId", "rightNodeId", "infoGain")))
+
+
+def write_old(spark: SparkSession, forest_path: str, old_path: str) -> str:
+    """A saved Spark ML forest in the older layout: the way back, for readers that know only that one."""
+    nodes = spark.read.parquet(f"{forest_path}/data").select("treeID", "nodeData.*")
+    _heap_nodes(nodes).write.mode("overwrite").parquet(f"{old_path}/data")
     trees = nodes.agg(F.count_distinct("treeID")).first()[0]
     _write_metadata(spark, f"{old_path}/metadata", {"class": OLD_CLASS, "version": OLD_VERSION, "metadata": {
         "algo": "Classification", "treeAlgo": "Classification", "combiningStrategy": "Vote", "treeWeights": [1.0] * trees}})

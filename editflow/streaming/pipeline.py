@@ -286,6 +286,7 @@ def start_scoring(
     label: str = "isBotEdit",
     reload_every: int = 0,
     after_sink: Callable[[str, int], None] | None = None,
+    spread: int | None = None,
 ) -> StreamingQuery:
     """Per micro-batch: raw table, scored table and batch metrics, each idempotent per batch.
 
@@ -296,7 +297,9 @@ def start_scoring(
     per-batch metrics), ``rejects`` (malformed JSON keeps its text in ``_corrupt_record``) and
     ``commits``: a folder of markers, one written when all of a batch's sinks are complete.
     Readers that go through ``commits.read_committed`` never see a batch that is in some sinks only.
-    ``after_sink(name, batch_id)`` is called when a sink has its batch.
+    ``after_sink(name, batch_id)`` is called when a sink has its batch. ``spread`` deals a batch's
+    rows over that many tasks before they are parsed and scored, for topics with fewer partitions
+    than the job has cores.
 
     When the history fits the broadcast bound, parse, features, join and model are declared
     once on the stream (``scoring_frame``), so a micro-batch builds no plan in Python and only
@@ -304,6 +307,8 @@ def start_scoring(
     a count of the batch, so that part of the plan is built per batch; so it is when
     ``history`` is a loader function read again every ``reload_every`` batches.
     """
+    if spread:
+        records = records.repartition(spread, "partition", "offset")
     decoded = decode_raw(records)
     join = _history_joiner(history, reload_every=reload_every)
     out_cols = ["partition", "offset", "user", *feat.FEATURES, label]
@@ -331,11 +336,12 @@ def start_scoring(
         rate = round(errors / rows, 6) if rows else None
         LOG.info("batch %d: %d scored rows, %d errors, error rate %s", batch_id, rows, errors, rate)
         if "metrics" in paths:
-            metrics = scored.sparkSession.createDataFrame(
-                [(int(batch_id), rows, errors, rate)],
-                "batch_id LONG, rows LONG, errors LONG, error_rate DOUBLE",
-            ).select("batch_id", F.current_timestamp().alias("batch_time"), "rows", "errors", "error_rate")
-            write_batch(metrics.coalesce(1), paths["metrics"], batch_id)
+            # One row made in the JVM: a local Python table would start Python workers in every batch.
+            metrics = scored.sparkSession.range(0, 1, 1, 1).select(
+                F.lit(int(batch_id)).cast("long").alias("batch_id"), F.current_timestamp().alias("batch_time"),
+                F.lit(rows).cast("long").alias("rows"), F.lit(errors).cast("long").alias("errors"),
+                F.lit(rate).cast("double").alias("error_rate"))
+            write_batch(metrics, paths["metrics"], batch_id)
             done("metrics", batch_id)
         if "commits" in paths:
             commits.mark(scored.sparkSession, paths["commits"], batch_id)
