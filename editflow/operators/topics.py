@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editflow.operators.joins import fits_broadcast
 from editflow.schemas import EDIT_FIELDS
 
 
@@ -59,6 +60,62 @@ def topic_fingerprint(records: DataFrame) -> DataFrame:
     )
 
 
+def _digest_number(records: DataFrame) -> Column:
+    """60 bits of a record's MD5 over key, value and place, as a decimal; NULLs count as a mark of their own."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    digest = F.md5(F.concat_ws("|", part("key"), part("value"), F.col("partition"), F.col("offset")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
+
+
+def _differing(both: DataFrame, size: int) -> DataFrame:
+    """Ranges of ``size`` offsets of a partition whose signed sums over both copies aren't zero."""
+    ranges = both.groupBy("partition", F.floor(F.col("offset") / F.lit(size)).alias("range")).agg(
+        F.sum("_d").alias("_n"), F.sum(F.col("_d") * F.col("_h")).alias("_s"))
+    return ranges.where("_n <> 0 or _s <> 0").select("partition", "range")
+
+
+def _within(records: DataFrame, ranges: DataFrame, size: int) -> DataFrame:
+    """The records of some ranges. Each partition's span of ranges is a filter of its own (one for each
+    partition of the topic), which reaches the files of a topic that is stored in order."""
+    spans = ranges.groupBy("partition").agg(F.min("range").alias("low"), F.max("range").alias("high")).collect()
+    span = F.lit(False)
+    for s in spans:
+        span = span | ((F.col("partition") == s["partition"]) & (F.col("offset") >= s["low"] * size)
+                       & (F.col("offset") < (s["high"] + 1) * size))
+    wanted = ranges.withColumnsRenamed({"partition": "_p", "range": "_r"})
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    at = (F.col("partition") == F.col("_p")) & (F.floor(F.col("offset") / F.lit(size)) == F.col("_r"))
+    return records.where(span).join(wanted, at, "left_semi")
+
+
+def topic_diff_ranges(left: DataFrame, right: DataFrame, fan: int = 1024, leaf: int = 1024) -> DataFrame:
+    """Where two copies of a topic differ: (partition, offset, key, value, side), found by descending a
+    tree of range fingerprints.
+
+    The first pass sums a fingerprint of every record (+ on the left, - on the right) over wide ranges of
+    each partition's offsets; equal copies end here after one partially aggregated pass. Every further
+    pass reads only ranges that differ, ``fan`` times narrower, down to ``leaf`` offsets, where the records
+    themselves are compared. Records without partition or offset are compared directly. A difference goes
+    unseen only if sums of 60-bit hashes agree by chance.
+    """
+    cols = ["partition", "offset", "key", "value"]
+    placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    sides = [df.select(*cols) for df in (left, right)]
+    loose = topic_diff(*(s.where(~placed) for s in sides), cols=cols)
+    sides = [s.where(placed) for s in sides]
+    top = max(s.agg(F.max("offset")).first()[0] or 0 for s in sides) + 1
+    size = leaf
+    while size * fan < top:
+        size *= fan
+    while True:
+        signed = [s.withColumns({"_h": _digest_number(s), "_d": F.lit(d)}) for s, d in zip(sides, (1, -1), strict=True)]
+        ranges = _differing(signed[0].unionByName(signed[1]), size).checkpoint()
+        sides = [_within(s, ranges, size) for s in sides]
+        if size <= leaf:
+            return topic_diff(*sides, cols=cols).unionByName(loose)
+        size = max(leaf, size // fan)
+
+
 def topic_lag(records: DataFrame, committed: DataFrame) -> DataFrame:
     """Per partition: end offset (last + 1), committed position and their difference.
 

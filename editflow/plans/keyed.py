@@ -225,3 +225,96 @@ def q_topic_lag_committed(spark, sf_dir):
     write_topic(records.where(by_source(records) == BATCHES - 1), topic)
     now = read_topic(spark, topic)
     return topic_lag(now, positions.file_positions(now, checkpoint))
+
+
+# ------------------------------------------------------------------------------ unique keys
+
+
+@register("stream_append_if_absent", ORACLE["append_if_absent"])
+def q_stream_append_if_absent(spark, sf_dir):
+    """Append edits to a table keyed by user, which starts from the history's users, over four batches."""
+    out, checkpoint = scratch_path(spark, "keyed-table"), scratch_path(spark, "ckpt")
+    past = history(spark, sf_dir)
+
+    def run(raw):
+        rows = P.raw_to_edits(raw).select("user", _event_id(), "title", "byteDiff")
+        P.run_to_end(keyed.start_append_if_absent(
+            rows, past, out, checkpoint, order=("event_id",), trigger=P.AVAILABLE_NOW, fold_every=2))
+
+    staged_runs(spark, sf_dir, by_time, run)
+    return keyed.read_appended(spark, out)
+
+
+# ------------------------------------------------------------------------------ differing ranges
+
+_LOST = ("2024-01-10 00:00:00", "2024-01-10 06:00:00")
+_CHANGED = ("2024-01-20 00:00:00", "2024-01-20 03:00:00")
+
+
+@register(
+    "topic_diff_ranges",
+    f"""WITH rec AS (SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset", epoch_us(ts) // 1000 AS ms FROM events),
+        marked AS (SELECT *, ms >= epoch_us(TIMESTAMP '{_LOST[0]}') // 1000 AND ms < epoch_us(TIMESTAMP '{_LOST[1]}') // 1000 AS lost,
+          ms >= epoch_us(TIMESTAMP '{_CHANGED[0]}') // 1000 AND ms < epoch_us(TIMESTAMP '{_CHANGED[1]}') // 1000 AS changed FROM rec)
+     SELECT "partition", "offset", 'left_only' AS side FROM marked WHERE lost OR changed
+     UNION ALL SELECT "partition", "offset", 'right_only' FROM marked WHERE changed""",
+)
+def q_topic_diff_ranges(spark, sf_dir):
+    """Locate the differences of a replica that lost one span of time and has other values in a second."""
+    from editflow.operators.topics import topic_diff_ranges
+    from editflow.sources.topics import read_stored_topic, store_topic
+
+    records = raw_topic_records(spark, sf_dir)
+    between = lambda span: (F.col("timestamp") >= F.lit(span[0]).cast("timestamp")) & (F.col("timestamp") < F.lit(span[1]).cast("timestamp"))
+    changed = F.when(between(_CHANGED), F.upper("value")).otherwise(F.col("value"))
+    replica = records.where(~between(_LOST)).withColumn("value", changed)
+    copies = [read_stored_topic(spark, store_topic(r, scratch_path(spark, "topic-stored"))) for r in (records, replica)]
+    return topic_diff_ranges(*copies, fan=16, leaf=64).select("partition", "offset", "side")
+
+
+# ------------------------------------------------------------------------------ pace
+
+
+@register(
+    "stream_paced_log",
+    f"""SELECT event_id % {BATCHES} AS batch_id, count(*) AS input_rows, true AS on_time FROM events GROUP BY 1""",
+)
+def q_stream_paced_log(spark, sf_dir):
+    """The log of a stream under the two-second trigger: rows of each batch, and whether it started in a later
+    interval than the batch before (triggers fall on multiples of the interval)."""
+    from pyspark.sql import Window
+
+    from editflow.sources.files import write_batch
+    from editflow.streaming.pacing import PaceLog, read_pace, run_paced
+
+    records, topic, out = raw_topic_records(spark, sf_dir), scratch_path(spark, "topic-raw"), scratch_path(spark, "paced")
+    for k in range(BATCHES):  # one file for each batch, in order
+        write_topic(records.where(by_source(records) == k).coalesce(1), topic)
+    log = PaceLog(spark, scratch_path(spark, "pace"))
+    spark.streams.addListener(log)
+    try:
+        stream = P.raw_to_edits(read_topic(spark, topic, stream=True, max_files_per_trigger=1))
+        writer = stream.writeStream.foreachBatch(lambda batch, n: write_batch(batch, out, n)).option(
+            "checkpointLocation", scratch_path(spark, "ckpt"))
+        run_paced(P._trigger(writer, None).start(), log)
+    finally:
+        spark.streams.removeListener(log)
+    pace = read_pace(spark, log.path)
+    before = F.lag("started").over(Window.partitionBy("run").orderBy("batch_id"))  # one row a batch
+    slot = lambda t: F.floor(F.unix_millis(t) / F.col("interval_ms"))
+    return pace.select("batch_id", "input_rows", F.coalesce(slot("started") > slot(before), F.lit(True)).alias("on_time"))
+
+
+# ------------------------------------------------------------------------------ files of envelopes
+
+
+@register("envelope_lines", "SELECT ".join(ORACLE["envelope_build"].rsplit("SELECT event_id, ", 1)))
+def q_envelope_lines(spark, sf_dir):
+    """Envelopes written as JSON lines and read back with the fixed schema."""
+    from editflow.plans.catalog import envelopes
+    from editflow.sources.files import read_envelopes
+
+    path = scratch_path(spark, "envelopes")
+    envelopes(spark, sf_dir).select("envelope.*").write.json(path)
+    read = read_envelopes(spark, path)
+    return read.select("timestamp", "channel", "message", "user.nick", "user.username", "user.host")

@@ -7,7 +7,7 @@ over every edit. The label is ``isBotEdit``, as in the source pipeline.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from editflow.operators import model as M
@@ -188,6 +188,52 @@ def q_ml_vote_mismatch(spark, sf_dir):
     return voted.join(counted, "event_id", "full").agg(*_mismatches(F.col("predicted") == F.col("majority")))
 
 
+@register("ml_score_mismatch", _NO_MISMATCH)
+def q_ml_score_mismatch(spark, sf_dir):
+    """Predictions against the trees' class shares summed from the saved nodes, joined by tree and leaf.
+    Rows whose two sums are equal but for rounding may have either class."""
+    model, path = fitted(spark, sf_dir)
+    rows = model_rows(spark, sf_dir)
+    nodes = spark.read.parquet(f"{M._stage_path(path, model)}/data").where("nodeData.leftChild < 0")
+    share = F.col("nodeData.impurityStats")
+    # A leaf's number is its place among its tree's leaves in pre-order.
+    place = F.row_number().over(Window.partitionBy("treeID").orderBy("nodeData.id")) - 1
+    leaves = nodes.select(F.col("treeID").alias("tree"), place.alias("leaf"),
+                          (F.element_at(share, 2) / (F.element_at(share, 1) + F.element_at(share, 2))).alias("one"))
+    rf = M.forest(model).copy()
+    rf.setLeafCol(M.LEAF_COL)
+    at = rf.transform(model.stages[1].transform(model.stages[0].transform(rows)))
+    each = at.select("event_id", F.posexplode(vector_to_array(F.col(M.LEAF_COL))).alias("tree", "leaf")).select(
+        "event_id", "tree", F.col("leaf").cast("int").alias("leaf"))
+    # The table of leaves is bounded by the model.
+    summed = each.join(F.broadcast(leaves), ["tree", "leaf"]).groupBy("event_id").agg(
+        (F.sum("one") - F.count("one") / 2).alias("lead"))
+    scored = M.score(model, rows).select("event_id", "predicted")
+    right = (F.col("predicted") == (F.col("lead") > 0).cast("int")) | (F.abs("lead") < 1e-6)
+    return scored.join(summed, "event_id", "full").agg(*_mismatches(right))
+
+
+@register(
+    "ml_fit_facts",
+    S.parsed_query(
+        f"""SELECT {M.NUM_TREES} AS num_trees, {M.PCA_K} AS pca_k, {len(FEATURES)} AS num_features, 2 AS classes,
+              count(*) AS train_rows, count_if(l = 1) AS positives, count_if(l = 0) AS negatives
+            FROM (SELECT "isBotEdit" AS l FROM enr JOIN events USING (event_id) WHERE ts < TIMESTAMP '{TRAIN_CUTOFF}')""",
+        S.FEATURES, S.HISTORY, S.ENRICHED,
+    ),
+)
+def q_ml_fit_facts(spark, sf_dir):
+    """What the fit saw and made: its labelled rows by class, and the shape of the saved and loaded model."""
+    _, path = fitted(spark, sf_dir)
+    model = M.load(path)
+    rows = M.with_label(training_rows(spark, sf_dir))
+    return rows.agg(
+        F.lit(len(M.forest(model).trees)).alias("num_trees"), F.lit(model.stages[1].pc.numCols).alias("pca_k"),
+        F.lit(model.stages[1].pc.numRows).alias("num_features"), F.lit(M.forest(model).numClasses).alias("classes"),
+        F.count(F.lit(1)).alias("train_rows"), F.count_if(F.col("label") == 1.0).alias("positives"),
+        F.count_if(F.col("label") == 0.0).alias("negatives"))
+
+
 @register("ml_vote_lookup_mismatch", _NO_MISMATCH)
 def q_ml_vote_lookup_mismatch(spark, sf_dir):
     """The voting copy of the forest against the vote looked up leaf by leaf."""

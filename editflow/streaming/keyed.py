@@ -114,3 +114,39 @@ def start_running_changelog(
 def read_changes(spark, path: str) -> DataFrame:
     """The changes of complete batches."""
     return commits.read_committed(spark, f"{path}/changes", f"{path}/table/_commits")
+
+
+def start_append_if_absent(
+    rows: DataFrame, existing: DataFrame, path: str, checkpoint: str, key: str = "user",
+    order: tuple[str, ...] = ("partition", "offset"), trigger: dict | None = None, buckets: int = 32, fold_every: int = 8,
+) -> StreamingQuery:
+    """Append under a unique key: a record is stored only if its key is neither in ``existing`` nor came before.
+
+    The keyed table is the state. It starts from ``existing`` (taken once, when the query first
+    starts) and each batch adds the first row in ``order`` of every key that it lacks. Rows are reduced
+    to one for each key before the shuffle, so a key with most of a batch moves one row a task, and nothing
+    is kept beside the table. A replay compares with the table as it was before the batch.
+    ``read_appended`` gives the appended rows.
+    """
+    spark = rows.sparkSession
+    values = [c for c in rows.columns if c != key]
+    row = F.struct(*values)
+    kind = rows.select(row.alias("r")).schema["r"].dataType
+    table = SnapshotTable(spark, path, key=key, value="row", buckets=buckets, fold_every=fold_every)
+    table.seed(existing.where(F.col(key).isNotNull()).select(key).distinct().withColumn("row", F.lit(None).cast(kind)))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        here = SnapshotTable(batch.sparkSession, path, key=key, value="row", buckets=buckets, fold_every=fold_every)
+        first = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(row, F.struct(*order)).alias("row"))
+        held = here.read(before=batch_id)
+        here.write(first if held is None else first.join(held.select(key), key, "left_anti"), batch_id)
+        here.commit(batch_id)
+
+    writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def read_appended(spark, path: str, key: str = "user") -> DataFrame:
+    """The rows appended by complete batches, without those that the table started from."""
+    table = SnapshotTable(spark, path, key=key, value="row").read()
+    return table.where("row is not null").select(key, "row.*")

@@ -108,6 +108,18 @@ class SnapshotTable:
             self.fold(batch_id - 1)
         write_batch(changes.select(self.key, self.value), self.path, batch_id)
 
+    def seed(self, rows: DataFrame) -> None:
+        """Start from an existing table of (key, value), one row for each key, as if written before batch
+        0. A table that has been started keeps what it has."""
+        if store.names(self.spark, f"{self.path}/_manifest") or commits.last(self.spark, self.commits) >= 0:
+            return
+        dealt = rows.select(self.key, self.value, F.lit(-1).cast("long").alias("batch_id"), self._bucket(self.buckets))
+        dealt.withColumn("upto", F.lit(-1)).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy(
+            "bucket", "upto").parquet(f"{self.path}/_snapshot")
+        there = [n.split("=")[1] for n in store.names(self.spark, f"{self.path}/_snapshot") if n.startswith("bucket=")]
+        store.put(self.spark, f"{self.path}/_manifest/{-1:012d}",
+                  json.dumps({"upto": -1, "versions": dict.fromkeys(there, -1), "buckets": self.buckets}))
+
     def commit(self, batch_id: int) -> None:
         commits.mark(self.spark, self.commits, batch_id)
 
