@@ -9,12 +9,16 @@ and two among the first ``n - ceil(percent n) + 2`` (extended prefix).
    that no other class has come first in the order, so a class with a whole prefix of them has
    no partner at all and leaves. This drops what has text enough of its own.
 3. The survivors' sets are written, all their tokens are counted, and the order is by class
-   frequency, rarest first: single tokens that at most ``frequent`` classes hold are indexed
-   one by one; for more frequent ones the prefix is extended and their pairs are indexed.
-4. Candidates are verified on the sets. Only connection matters, so each index key first links
-   its classes to one of them (a star, twice with different centres); then the classes of a
-   key that are still in different components are compared in blocks, where their sets are.
-   No link between components is left out, and no group is ever written out as pairs.
+   frequency, rarest first. The extended prefixes are written, one row a token.
+4. Candidates are verified on the sets. Only connection matters, so each prefix token first links
+   its classes to one of them (a star, twice with different centres).
+5. Tokens whose classes are all in one component are done; of a pair between components every shared
+   token is left. For those the classes are indexed by single tokens where a token is rare and by
+   the pairs of the extended prefix's frequent tokens otherwise. Where rare ends is chosen by cost: as low
+   as the pairs are no more rows than the single tokens they stand for, so the index grows with its input.
+6. Stars over that index are repeated while they find links; then the classes of a key that are still
+   in different components are compared in blocks, where their sets are. No link between components
+   is left out, and no group is ever written out as pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ from editflow.llm.components import components
 from editflow.llm.shingles import fingerprint, mixed, shingle_sets
 
 _BLOCK, _COLUMNS = 256, 8192
+COUNTED = 65_536  # class counts are exact up to here; more frequent tokens stand last, in hash order
+STAR_ROUNDS = 8  # at most; what they leave is compared in blocks
 BROADCAST_ROWS = 1_000_000  # 16 bytes a row: a checked bound; beyond it the join shuffles
 
 
@@ -156,38 +162,81 @@ def _set_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _token_rows(parts, owners)
 
 
-def _index_keys(percent: int, frequent: int):
-    """(cls, n, held) -> (key, cls, n); ``held`` are the class's shared tokens as (df, token), in order."""
+def _prefixes(percent: int):
+    """(cls, n, held) -> (token, cls, n, df, extra); ``held`` are the class's shared tokens as (df, token), in order.
+
+    ``extra`` marks the one token by which the extended prefix is longer.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owners, sizes = [], [], []
             lists = batch.column(2)
             ends = lists.offsets.to_numpy()
-            pairs = lists.values
-            all_df = pairs.field("df").to_numpy()
-            all_tokens = pairs.field("token").to_numpy().view(np.uint64)
+            all_df = lists.values.field("df").to_numpy()
+            all_tokens = lists.values.field("token").to_numpy()
+            at, owners, sizes, extra = [], [], [], []
             for k, (cls, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                df, tokens = all_df[ends[k]:ends[k + 1]], all_tokens[ends[k]:ends[k + 1]]
-                length = prefix_length(n, percent) - (n - len(tokens))  # unique tokens come first
+                held = int(ends[k + 1] - ends[k])
+                length = prefix_length(n, percent) - (n - held)  # unique tokens come first
                 if length <= 0:
                     continue
-                single = tokens[:length][df[:length] <= frequent]
-                many = tokens[:length + 1][df[:length + 1] > frequent]
-                i, j = np.triu_indices(len(many), 1)
-                # the pair in token order, whatever the order by frequency
-                low, high = np.minimum(many[i], many[j]), np.maximum(many[i], many[j])
-                found = np.concatenate([single, mixed(low * np.uint64(3) + mixed(high))])
-                keys.append(found)
-                owners.append(np.full(len(found), cls, dtype=np.int64))
-                sizes.append(np.full(len(found), n, dtype=np.int64))
-            rows = _token_rows(keys, owners)
+                m = min(length + 1, held)
+                at.append(np.arange(ends[k], ends[k] + m))
+                owners.append(np.full(m, cls, dtype=np.int64))
+                sizes.append(np.full(m, n, dtype=np.int64))
+                extra.append(np.arange(m) >= length)
+            none = np.zeros(0, dtype=np.int64)
+            at = np.concatenate(at) if at else none
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64))],
-                names=["key", "cls", "n"])
+                [pa.array(all_tokens[at]), pa.array(np.concatenate(owners) if owners else none),
+                 pa.array(np.concatenate(sizes) if sizes else none), pa.array(all_df[at]),
+                 pa.array(np.concatenate(extra) if extra else none.astype(bool))], names=["token", "cls", "n", "df", "extra"])
     return run
 
 
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, n, root, tokens) -> (key, cls, n, root): a key for each pair of a class's tokens."""
+    for batch in batches:
+        for cls, n, root, tokens in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            t = np.sort(np.asarray(tokens, dtype=np.int64).view(np.uint64))
+            i, j = np.triu_indices(len(t), 1)
+            key = mixed(t[i] * np.uint64(3) + mixed(t[j])).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), *(pa.array(np.full(len(key), x, dtype=np.int64)) for x in (cls, n, root))],
+                names=["key", "cls", "n", "root"])
+
+
+def _rare_end(apart: DataFrame) -> int:
+    """The class count up to which tokens are indexed one by one: the least power of two for which the
+    pairs of the more frequent ones aren't more rows than those tokens themselves."""
+    ends = [1 << k for k in range(1, 40)]
+    counts = apart.groupBy("cls").agg(*(F.count_if(F.col("df") > e).alias(f"m{e}") for e in ends))
+    costs = counts.agg(*(F.sum(F.col(f"m{e}") * (F.col(f"m{e}") - 1) / 2).alias(f"p{e}") for e in ends),
+                       *(F.sum(f"m{e}").alias(f"t{e}") for e in ends)).first()
+    return next(e for e in ends if (costs[f"p{e}"] or 0) <= (costs[f"t{e}"] or 0))
+
+
+def _between_keys(apart: DataFrame, frequent: int | None) -> DataFrame:
+    """(key, cls, n, root) over the tokens between components: rare ones singly, frequent ones in pairs."""
+    end = frequent or _rare_end(apart)
+    single = apart.where((F.col("df") <= end) & ~F.col("extra")).select(F.col("token").alias("key"), "cls", "n", "root")
+    many = apart.where(F.col("df") > end).groupBy("cls").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.collect_list("token").alias("tokens")).where(F.size("tokens") > 1)
+    pairs = many.select("cls", "n", "root", "tokens").mapInArrow(_combined, "key long, cls long, n long, root long")
+    return single.unionByName(pairs)
+
+
+def _apart(keys: DataFrame, key: str = "key") -> DataFrame:
+    """The rows of keys whose classes are in different components."""
+    split = keys.groupBy(key).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select(key)
+    return keys.join(split, key)
+
+
+def _rooted(keys: DataFrame, joined: DataFrame) -> DataFrame:
+    return keys.drop("root").join(joined, keys["cls"] == joined["node"], "left").withColumn(
+        "root", F.coalesce("root", "cls")).drop("node")
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,11 +267,11 @@ def _sizes_fit(percent: int, n: str, m: str):
 
 
 def _star(keys: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Pairs of each class with its key's centre: as many as rows at most."""
+    """Pairs of each class with its key's centre, but for those in one component: as many as rows at most."""
     centre = keys.groupBy("key").agg(
-        F.min_by(F.struct("cls", "n"), F.struct(F.xxhash64(F.lit(seed), "cls"), "cls")).alias("c"))
-    near = keys.join(centre, "key").where(F.col("cls") != F.col("c.cls")).where(_sizes_fit(percent, "n", "c.n"))
-    return near.select(F.col("cls").alias("a"), F.col("c.cls").alias("b")).distinct()
+        F.min_by(F.struct("cls", "n", "root"), F.struct(F.xxhash64(F.lit(seed), "cls"), "cls")).alias("c"))
+    near = keys.join(centre, "key").where(F.col("root") != F.col("c.root")).where(_sizes_fit(percent, "n", "c.n"))
+    return near.select(F.least("cls", "c.cls").alias("a"), F.greatest("cls", "c.cls").alias("b")).distinct()
 
 
 def _block_links(percent: int):
@@ -320,13 +369,15 @@ def _between_components(apart: DataFrame, sets: DataFrame, percent: int) -> Data
     return together.mapInArrow(_block_links(percent), "a long, b long").distinct()
 
 
-def link(docs: DataFrame, words: int = 4, percent: int = 85, first_share: float = 0.25, frequent: int = 200,
+def link(docs: DataFrame, words: int = 4, percent: int = 85, first_share: float = 0.25, frequent: int | None = None,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_shingles`` and ``component_id``.
 
     ``component_id`` is the smallest id reachable by links, the row's own included. Null texts
     are empty; texts without words link with nothing. A null id stays alone and has a null
-    component. Rows that share an id are one node as far as ids go; each row is returned.
+    component. Components are formed over texts: rows that share an id and differ in text each follow
+    their own text, and each row is returned. ``frequent`` fixes the class count above which tokens are
+    indexed in pairs; by default cost decides.
     """
     rows = own_columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     summary = saved(
@@ -351,26 +402,27 @@ def link(docs: DataFrame, words: int = 4, percent: int = 85, first_share: float
 
     every = sets.select("cls", "tokens").mapInArrow(_set_tokens, "token long, cls long")
     every = every.repartition("token").sortWithinPartitions("token", "cls")
-    counted = every.mapInArrow(_frequencies(frequent), "cls long, token long, df int")
+    counted = every.mapInArrow(_frequencies(COUNTED), "cls long, token long, df int")
     held = counted.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
-    keys = (
+    prefixes = saved(
         held.join(sets.select("cls", "n").distinct(), "cls").select("cls", "n", "held")
-        .mapInArrow(_index_keys(percent, frequent), "key long, cls long, n long")
-    )
-    keys = saved(keys, "join-keys")
-    several = keys.groupBy("key").agg(F.count("*").alias("held_by")).where("held_by > 1").drop("held_by")
-    keys = saved(keys.join(several, "key"), "join-index")
-
-    stars = saved(_star(keys, 1, percent).unionByName(_star(keys, 2, percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-stars")
-    links = saved(_verified(stars, sets, percent), "join-links")
+        .mapInArrow(_prefixes(percent), "token long, cls long, n long, df int, extra boolean"), "join-prefixes")
+
+    single = prefixes.where("not extra").select(F.col("token").alias("key"), "cls", "n", F.col("cls").alias("root"))
+    stars = _star(single, 1, percent).unionByName(_star(single, 2, percent)).distinct()
+    links = saved(_verified(saved(stars, "join-stars"), sets, percent), "join-links")
     joined = components(links)
-    # What two stars left apart.
-    roots = keys.join(joined, keys["cls"] == joined["node"], "left").select(
-        "key", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    mixed_keys = roots.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
-    apart = saved(roots.join(mixed_keys, "key"), "join-apart")
-    more = saved(_between_components(apart, sets, percent), "join-links")
+    # What two stars left apart: the tokens between components, indexed anew.
+    apart = saved(_apart(_rooted(prefixes, joined), "token"), "join-apart")
+    keys = saved(_apart(_between_keys(apart, frequent)), "join-keys")
+    for seed in range(3, 3 + STAR_ROUNDS):
+        more = saved(_verified(_star(keys, seed, percent), sets, percent), "join-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        joined = components(links)
+        keys = saved(_apart(_rooted(keys, joined)), "join-keys")
+    more = saved(_between_components(keys, sets, percent), "join-links")
     final = components(links.unionByName(more)) if more.head(1) else joined
 
     roots = classes.join(final, classes["cls"] == final["node"], "left").select(

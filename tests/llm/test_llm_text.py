@@ -100,7 +100,23 @@ def _sets():
     return out
 
 
-@pytest.mark.parametrize("frequent", [1, 200])
+def test_ngram_join_of_many_near_copies(spark):
+    """Index rows follow the tokens, however many copies hold them: no pairs of all prefix tokens."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(4000)}" for _ in range(1200)]
+    rows = []
+    for k in range(1500):
+        words = list(base)
+        for _ in range(5):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(50)}"
+        rows.append((k, " ".join(words)))
+    rows += [(2000 + k, " ".join(f"u{rng.randrange(300)}" for _ in range(40)) + " " + " ".join(base[:12])) for k in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in ngram_join.link(table).collect()}
+    assert got == {d: 0 if d < 2000 else d for d, _ in rows}
+
+
+@pytest.mark.parametrize("frequent", [1, 200, None])
 def test_ngram_join(docs, frequent):
     sets = _sets()
     parent = {d: d for d, _ in sets if d is not None}
