@@ -4,8 +4,9 @@ Words are maximal runs of ASCII letters and digits and of non-ASCII characters,
 text is kept as one string in which each word stands between two spaces of its own, so that a
 phrase is a plain substring and phrase places never share a character.
 
-The join finds every block (line) that holds at least ``threshold`` of a template's distinct
-words. Template words are ordered by the number of documents that hold them, rarest first. A
+The join finds every block (paragraph: lines up to a blank one, so that a wrapped notice is whole)
+that holds at least ``threshold`` of a template's distinct words and all words that tell the template
+from other notices. Template words are ordered by the number of documents that hold them, rarest first. A
 block that holds ``alpha`` of a template's ``n`` words must hold one of its ``n - alpha + 1``
 rarest (prefix filter); it needs ``alpha`` template words at all (length filter), and the words
 that are left after the shared one must suffice (positional filter). What passes is verified by
@@ -32,30 +33,36 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Templates of the set join: label and wording, as public licence notices state it.
+# Templates of the set join: label, wording as public licence notices state it, and the words that tell
+# it from other notices: without them no share of the rest suffices.
 TEMPLATES = (
-    ("all-rights-reserved", "all rights reserved"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
+    ("all-rights-reserved", "all rights reserved", "all rights reserved"),
+    ("apache-2.0", "licensed under the apache license version 2 0", "apache 2"),
     ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file "
-                   "except in compliance with the license"),
+                   "except in compliance with the license", "apache compliance"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
-            "provided that the following conditions are met"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
+            "provided that the following conditions are met", "redistribution source binary modification"),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license",
+     "creative commons attribution"),
+    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu public 3"),
     ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the "
-                "gnu general public license as published by the free software foundation"),
-    ("mit-notice", "released under the mit license"),
+                "gnu general public license as published by the free software foundation", "gnu redistribute modify"),
+    ("mit-notice", "released under the mit license", "mit license"),
     ("mit-notice", "permission is hereby granted free of charge to any person obtaining a copy of this software "
-                   "and associated documentation files to deal in the software without restriction"),
+                   "and associated documentation files to deal in the software without restriction",
+     "permission granted charge software"),
 )
+# Fixed value: the end of a block, at least one blank line.
+BLOCK_BREAK = "\\n[\\x20\\x09-\\x0D]*\\n"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
 def spaced(text: Column) -> Column:
     """`` w1  w2  w3 ``; empty for null and for texts without a word."""
-    inner = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _BREAK, "  "))
+    inner = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _BREAK, "  "))
     return F.when(inner == "", "").otherwise(F.concat(F.lit(" "), inner, F.lit(" ")))
 
 
@@ -102,20 +109,21 @@ def _alpha(n: int, threshold: float) -> int:
     return max(1, math.ceil(round(threshold * n, 9)))
 
 
-def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, block_break: str = "\n") -> DataFrame:
+def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, block_break: str = BLOCK_BREAK) -> DataFrame:
     """Every (document, label) with a block that holds enough of a template: ``doc_id, text_id, label, share``.
 
+    ``templates`` are (label, wording, own words); a template's own words all have to be in the block.
     ``docs`` has ``doc_id`` and ``text``. ``share`` is the largest containment found. Rows that
     share id and text are one document here.
     """
     spark = docs.sparkSession
-    sets = [(label, sorted(set(text.split(" ")))) for label, text in templates]
-    vocabulary = sorted({w for _, words in sets for w in words})
+    sets = [(label, sorted(set(text.split(" "))), own.split(" ")) for label, text, own in templates]
+    vocabulary = sorted({w for _, words, _ in sets for w in words})
     literal = F.array(*map(F.lit, vocabulary))
     blocks = docs.select(
         "doc_id", text_id(F.col("text")).alias("text_id"),
         F.explode(F.split(F.coalesce("text", F.lit("")), block_break, -1)).alias("block"))
-    least = min(_alpha(len(words), threshold) for _, words in sets)
+    least = min(_alpha(len(words), threshold) for _, words, _ in sets)
     held = (
         blocks.select("doc_id", "text_id", F.array_intersect(literal, _words(spaced(F.col("block")))).alias("held"))
         .where(F.size("held") >= least)
@@ -127,13 +135,14 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.
     rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
 
     index = []
-    for t, (label, words) in enumerate(sets):
+    for t, (_, words, _) in enumerate(sets):
         ordered = sorted(words, key=rank.__getitem__)
         alpha = _alpha(len(words), threshold)
         index += [(ordered[i], t, i, alpha) for i in range(len(words) - alpha + 1)]
     prefixes = F.broadcast(spark.createDataFrame(index, "w string, t int, i int, alpha int"))
     catalogue = F.broadcast(spark.createDataFrame(
-        [(t, label, words) for t, (label, words) in enumerate(sets)], "t int, label string, words array<string>"))
+        [(t, label, words, own) for t, (label, words, own) in enumerate(sets)],
+        "t int, label string, words array<string>, own array<string>"))
     ranked = F.array(*map(F.lit, sorted(vocabulary, key=rank.__getitem__)))
     ordered = held.select("doc_id", "text_id", F.array_intersect(ranked, F.col("held")).alias("b"))
     size = F.size("b")
@@ -144,7 +153,7 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.
         .join(catalogue, "t")
         .where(F.least("i", "j") + 1 + F.least(template_size - 1 - F.col("i"), size - 1 - F.col("j")) >= F.col("alpha"))
         .withColumn("common", F.size(F.array_intersect("b", "words")))
-        .where("common >= alpha")
+        .where("common >= alpha").where(F.size(F.array_except("own", "b")) == 0)
     )
     return candidates.groupBy("doc_id", "text_id", "label").agg(
         F.max(F.col("common") / template_size).alias("share"))

@@ -187,16 +187,17 @@ def _license_sql() -> str:
         f"WHERE words[i:i + {len(p.split()) - 1}] = {_list(p.split())}"
         for p, label in license_scan.PHRASES.items())
     templates = ", ".join(
-        f"('{label}', {_list(sorted(set(text.split())))})" for label, text in license_scan.TEMPLATES)
+        f"('{label}', {_list(sorted(set(text.split())))}, {_list(own.split())})" for label, text, own in license_scan.TEMPLATES)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, {split.format(lower)} AS words FROM documents),
 places AS ({places}),
 base AS (SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM places GROUP BY rid),
-templates(label, t) AS (VALUES {templates}),
+templates(label, t, own) AS (VALUES {templates}),
 blocks AS (SELECT rid, {split.format(lower.replace("coalesce(text, '')", "block"))} AS b
-           FROM (SELECT rid, unnest(string_split(coalesce(text, ''), chr(10))) AS block FROM d)),
+           FROM (SELECT rid, unnest(regexp_split_to_array(coalesce(text, ''), '{license_scan.BLOCK_BREAK}')) AS block FROM d)),
 found AS (SELECT rid, label, max(len(list_intersect(t, list_distinct(b))) / len(t)) AS share FROM blocks, templates
-          WHERE len(list_intersect(t, list_distinct(b))) >= ceil(round(0.8 * len(t), 9)) GROUP BY rid, label),
+          WHERE len(list_intersect(t, list_distinct(b))) >= ceil(round(0.8 * len(t), 9))
+            AND len(list_intersect(own, list_distinct(b))) = len(own) GROUP BY rid, label),
 labels AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
            FROM (SELECT rid, label FROM places UNION SELECT rid, label FROM found) GROUP BY rid),
 base_labels AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY rid),
