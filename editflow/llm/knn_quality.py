@@ -150,11 +150,16 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def clipped(raw: np.ndarray) -> np.ndarray:
+    """Counts as fitting and scoring both see them: at most what two bytes hold."""
+    return np.minimum(raw, 65535)
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [counts(d, o) for d, o in _blocks(batch.column(0))]
+        parts = [clipped(counts(d, o)) for d, o in _blocks(batch.column(0))]
         flat = np.concatenate(parts) if parts else np.zeros((0, N_FEATURES), dtype=np.float32)
-        packed = [np.minimum(r, 65535).astype("<u2").tobytes() for r in flat]
+        packed = [r.astype("<u2").tobytes() for r in flat]
         yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1)], names=["raw", "label"])
 
 
@@ -162,20 +167,23 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1024, id_col: str =
         label_col: str = "quality", rank: int = 64, neighbours: int = 25) -> Model:
     """Fit on at most ``per_class`` labelled rows of each class, chosen by a hash of the id.
 
-    Rows of the held-out fold, null labels and labels without a document are not used.
+    Rows of the held-out fold, null labels and labels without a document are not used. An id that is
+    labelled several times counts once, with its least label; of documents that share an id the least
+    text (in code-point order) is taken. So one row for each chosen id reaches the driver.
     """
     marks = own_columns(labels, id=id_col, label=label_col)
     marks = marks.where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
+    marks = marks.groupBy("id").agg(F.min("label").alias("label"))
     share = marks.agg(F.avg(F.col("label").cast("double"))).first()[0]
     order = F.md5(F.concat(F.lit("quality|"), F.col("id").cast("string")))
     chosen = marks.where("label = 0").orderBy(order, "id").limit(per_class).unionByName(
         marks.where("label = 1").orderBy(order, "id").limit(per_class))
     rows = own_columns(docs, doc=id_col, text=text_col)
     # The limits above bound the broadcast.
-    sample = rows.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("text", F.col("label").cast("int").alias("label"))
+    sample = rows.join(F.broadcast(chosen), F.col("doc") == F.col("id")).groupBy("id").agg(
+        F.min("text").alias("text"), F.min(F.col("label").cast("int")).alias("label")).select("text", "label")
     got = sample.mapInArrow(_count_rows, "raw binary, label int").collect()
-    # Texts that share an id could pass the bound; equal inputs come in any order, so sort.
-    got = sorted(((bytes(r["raw"]), r["label"]) for r in got))[: 4 * per_class]
+    got = sorted((bytes(r["raw"]), r["label"]) for r in got)  # equal inputs come in any order
     raw = np.array([np.frombuffer(r, dtype="<u2") for r, _ in got], dtype=np.float32).reshape(-1, N_FEATURES)
     return train(raw, np.array([y for _, y in got], dtype=np.int64), 0.5 if share is None else float(share), rank, neighbours)
 
@@ -183,18 +191,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1024, id_col: str =
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` plus ``quality_score`` (0 to 1). Texts without any feature get the labels' average.
 
-    Without ``keep_text`` the text itself isn't sent back from the workers.
+    Without ``keep_text`` the text itself isn't sent back from the workers. A column that is called
+    ``quality_score`` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(**shared.value)
         for batch in batches:
-            parts = [m.vote(counts(d, o)) for d, o in _blocks(batch.column(0))]
+            parts = [m.vote(clipped(counts(d, o))) for d, o in _blocks(batch.column(0))]
             scores = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], schema=out)
 
-    rest = [c for c in docs.columns if keep_text or c != text_col]
+    rest = [c for c in docs.columns if (keep_text or c != text_col) and c != "quality_score"]
     rows = docs.select(F.col(text_col).alias("__text"), *rest)
     schema = StructType(rows.schema.fields[1:]).add("quality_score", DoubleType())
     out = to_arrow_schema(schema)

@@ -148,6 +148,33 @@ def test_classifier_edges(spark):
     assert knn_quality.score(docs.where("false"), model).count() == 0
 
 
+def test_vote_equals_a_plain_loop():
+    rng = np.random.default_rng(4)
+    raw = rng.poisson(0.2, (80, knn_quality.N_FEATURES)).astype(np.float32)
+    labels = rng.integers(0, 2, 80)
+    model = knn_quality.train(raw, labels, 0.4, rank=16, neighbours=7)
+    asked = np.concatenate([rng.poisson(0.2, (30, knn_quality.N_FEATURES)).astype(np.float32), raw[:5], raw[:1] * 0])
+    got = model.vote(asked)
+    for row, share in zip(asked, got, strict=True):
+        v = model.project(row[None])[0]
+        near = sorted(((float(np.dot(v, w)), int(y)) for w, y in zip(model.vectors, labels)), reverse=True)[:7]
+        weights = [max(c, 0.0) ** 8 for c, _ in near]
+        want = sum(w * y for w, (_, y) in zip(weights, near)) / sum(weights) if sum(weights) > 1e-6 else 0.4
+        assert share == pytest.approx(want, abs=1e-4)
+
+
+def test_classifier_repeated_rows_and_clashing_column(spark):
+    rows = [(k, f"good clean words number {k} " * 9 if k % 2 else f"### $$$ {k} junk ### " * 9) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("quality_score", F.lit("x"))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    once = knn_quality.fit(docs, labels)
+    again = knn_quality.fit(docs.unionByName(docs), labels.unionByName(labels))
+    assert len(once.labels) == len(again.labels) and (once.vectors == again.vectors).all()
+    out = knn_quality.score(docs, once)
+    assert out.columns == ["doc_id", "text", "quality_score"] and out.schema["quality_score"].dataType.simpleString() == "double"
+    assert all((r.quality_score >= 0.5) == (r.doc_id % 2 == 1) for r in out.collect())
+
+
 def test_counts_do_not_cross_texts():
     def one(texts):
         raw = [t.encode() for t in texts]
