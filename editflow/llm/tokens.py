@@ -1,10 +1,10 @@
-"""Token ids of a public byte-level BPE vocabulary, with a cache over space-delimited chunks.
+"""Token ids of a public byte-level BPE vocabulary, with a cache over chunks.
 
-The vocabulary's pattern never joins characters across the place before a single space that
-stands between two non-space characters, so a text's ids are the concatenated ids of its chunks
-(a word with the space before it). Chunks repeat, texts hardly do: ids are cached by chunk in
-two generations of bounded size. Texts with any other white space than single spaces and single
-line breaks between words are encoded whole.
+The vocabulary's pattern cuts a text at white space: a run of it before a word gives its last space to
+the word (any other last character stands alone) and is a piece by itself otherwise. So a text's ids are the
+concatenated ids of its chunks (a word with the space before it, or a piece of white space). Chunks
+repeat, texts hardly do: ids of short chunks are cached in two generations of bounded size in bytes. Texts
+with white space beyond ASCII are encoded whole, and neither they nor long chunks are ever cached.
 """
 
 from __future__ import annotations
@@ -12,6 +12,12 @@ from __future__ import annotations
 import re
 from array import array
 
+LONG = 64  # characters of a chunk that is not cached
+ENTRY_BYTES = 200  # of a cached chunk beside its text and ids
+# A word with the space before it; white space up to the character before a word, or to the end; that character.
+CHUNK = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]")
+OTHER_SPACE = re.compile(r"[^\S \t\n\r\x0b\x0c]")
+
 
 def rank_encoder(path: str, pattern: str):
     """Encoder over a vocabulary in rank form; special tokens' strings are ordinary text."""
@@ -32,11 +38,12 @@ class ChunkEncoder:
     ``specials`` gives ids of strings that are found in text before anything else.
     """
 
-    def __init__(self, path: str, pattern: str, max_entries: int = 400_000, specials: dict[str, int] | None = None):
+    def __init__(self, path: str, pattern: str, max_bytes: int = 64_000_000, specials: dict[str, int] | None = None):
         self.one = rank_encoder(path, pattern).encode_ordinary
         self.specials = specials or {}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
-        self.max_entries = max_entries
+        self.max_bytes = max_bytes
+        self.held_bytes = 0  # of the young generation; the old one has at most as many
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -48,12 +55,16 @@ class ChunkEncoder:
         unseen = set().union(*chunked).difference(self.young)
         known = {c: self.old[c] for c in unseen if c in self.old}
         fresh = list(unseen.difference(known))
-        self.young.update(known)
-        self.young.update(zip(fresh, self._ids(fresh), strict=True))
-        get = self.young.__getitem__
+        found = known | dict(zip(fresh, self._ids(fresh), strict=True))
+        long = {c: ids for c, ids in found.items() if len(c) > LONG}
+        for c, ids in found.items():
+            if c not in long:
+                self.young[c] = ids
+                self.held_bytes += ENTRY_BYTES + len(c) + len(ids)
+        get = (lambda c: long[c] if c in long else self.young[c]) if long else self.young.__getitem__
         out = [b"".join(map(get, chunks)) for chunks in chunked]
-        if len(self.young) > self.max_entries:
-            self.old, self.young = self.young, {}
+        if self.held_bytes > self.max_bytes:
+            self.old, self.young, self.held_bytes = self.young, {}, 0
         return out
 
     def _parts(self, text: str) -> list[str]:
@@ -63,16 +74,6 @@ class ChunkEncoder:
 
     @staticmethod
     def _chunks(text: str) -> list[str]:
-        if not text:
-            return []
-        chunks: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            # A blank word means doubled or outer white space; split() finds all other kinds.
-            if "" in words or len(line.split()) != len(words):
-                return [text]
-            if k:
-                chunks.append("\n")
-            chunks.append(words[0])
-            chunks.extend([" " + w for w in words[1:]])
-        return chunks
+        if OTHER_SPACE.search(text):
+            return [text]
+        return CHUNK.findall(text)

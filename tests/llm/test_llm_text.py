@@ -254,11 +254,11 @@ def test_license_scan(docs):
         found = [(k, label) for p, label in license_scan.PHRASES.items() for k in range(len(w)) if w[k:k + len(p.split())] == p.split()]
         labels = {x for _, x in found}
         share = 0.0
-        for line in (t or "").split("\n"):
-            have = set(word.findall(line.translate(LOWER)))
-            for label, text in license_scan.TEMPLATES:
+        for block in re.split(r"\n[\x20\x09-\x0D]*\n", t or ""):
+            have = set(word.findall(block.translate(LOWER)))
+            for label, text, own in license_scan.TEMPLATES:
                 need = set(text.split())
-                if len(have & need) >= 0.8 * len(need) - 1e-9:
+                if len(have & need) >= 0.8 * len(need) - 1e-9 and set(own.split()) <= have:
                     labels.add(label)
                     share = max(share, len(have & need) / len(need))
         at = [k for k, _ in found]
@@ -268,6 +268,24 @@ def test_license_scan(docs):
     assert got == want
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("Released under the Apache License", "apache"),
+    ("Distributed under the license it was released under", ""),
+    ("Released under the MIT License", "mit,mit-notice"),
+    ("intro\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+     "documentation files (the \"Software\"), to deal\nin the Software without restriction, including\n\nmore", "mit-notice"),
+    ("* Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the\n"
+     " * following conditions are met:", "bsd"),
+    ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License "
+     "as published by\n# the Free Software Foundation", "gpl,gpl-3.0"),
+    ("Permission is hereby granted, free of charge, to any person\n \t\nobtaining a copy of this software", ""),
+    ("Released under the MIT li\u212aense", ""),
+])
+def test_license_labels(spark, text, labels):
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.labels for r in license_scan.scan(rows).collect()] == [labels]
+
+
 def test_divergence_base_figures(docs):
     want = collections.Counter()
     for d, t, *_ in ROWS:
@@ -362,3 +380,27 @@ def test_empty_tables(spark, empty, docs):
     assert license_scan.scan(empty).count() == 0
     assert divergence.judge(empty).count() == 0
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_token_chunks_with_any_white_space():
+    """Ids of texts with blank lines, tabs and other white space, within the cache's bytes."""
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    from editflow.llm.tokens import ChunkEncoder
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = ChunkEncoder(*vocabulary(), max_bytes=200_000)
+    rng = random.Random(9)
+    parts = ["word", "it's", "über", "42", "!?", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", " \n ", "\x0b", "\x0c", "\u00a0", "\u3000",
+             "\x1c", "\x85", "\u200b", "x" * 90, "日本", "'ll"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 25))) for _ in range(3000)]
+    texts += [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) + "\n\nend " * 3 for _ in range(2000)]
+    for k in range(0, len(texts), 500):
+        some = texts[k:k + 500]
+        for text, ids in zip(some, encoder.encode(some), strict=True):
+            assert list(memoryview(ids).cast("I")) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert encoder.held_bytes <= encoder.max_bytes + 25_000_000
+    for held in (encoder.young, encoder.old):
+        assert all(len(c) <= 64 for c in held)
+    assert sum(map(len, encoder.young)) + sum(map(len, encoder.old)) < 2_000_000
