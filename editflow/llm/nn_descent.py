@@ -36,16 +36,22 @@ _HOMES, _STRIP, _STEP = 2_048, 8_192, 1_024  # vectors a task holds, meets, and
 _CELL, _PIVOTS_OF_PART, _PIVOTS = 8_192, 64, 4_096
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, zero rows as they are; first divided by their largest component, so that neither
+    squares nor sums of very large or very small ones leave the range of a double."""
+    peak = np.abs(x).max(axis=1, keepdims=True) if x.size else np.ones((len(x), 1))
+    x = x / np.where(peak > 0, peak, 1)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
 def _unit(vectors: list, as_type=np.float64) -> np.ndarray:
-    x = np.array(vectors, dtype=np.float64)
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(as_type)
+    return _scaled(np.array(vectors, dtype=np.float64)).astype(as_type)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Unit vectors of a list column whose lists have one length."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    return _scaled(flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1)))
 
 
 def nodes(vectors: DataFrame) -> DataFrame:
@@ -65,18 +71,24 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _signatures(tables: int, bits: int, seed: int):
+    """A row for each vector and table; planes are drawn once for each length, signs are one product."""
+    planes: dict[int, np.ndarray] = {}
+    weights = 1 << np.arange(bits - 1, -1, -1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(len(batch)):
-                one = batch.slice(row, 1)
-                x = _matrix(one.column(2))[0]
-                planes = np.random.default_rng(seed + len(x)).standard_normal((tables, bits, len(x)))
-                signs = (planes @ x > 0).astype(np.int64)
-                values = signs @ (1 << np.arange(bits - 1, -1, -1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(tables, dtype=np.int32)), pa.array(values)]
-                    + [one.column(k).take(pa.array([0] * tables)) for k in range(3)],
-                    names=["turn", "signature", "node", "part", "vec"])
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            for size in np.unique(sizes).tolist():
+                if size not in planes:
+                    planes[size] = np.random.default_rng(seed + size).standard_normal((tables * bits, size))
+                rows = np.flatnonzero(sizes == size)
+                for k in range(0, len(rows), _STEP):
+                    one = [batch.column(c).take(pa.array(rows[k:k + _STEP])) for c in range(3)]
+                    signs = (_matrix(one[2]) @ planes[size].T > 0).reshape(-1, tables, bits).astype(np.int64)
+                    again = pa.array(np.repeat(np.arange(len(signs)), tables))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.tile(np.arange(tables, dtype=np.int32), len(signs))), pa.array((signs @ weights).ravel())]
+                        + [c.take(again) for c in one], names=["turn", "signature", "node", "part", "vec"])
     return run
 
 

@@ -110,6 +110,14 @@ def test_exact_search_by_cells(spark, monkeypatch):
     assert {r["node"]: r["linked"] for r in sums.collect()} == {k: n for k, n in enumerate(n_links.tolist()) if n}
 
 
+def test_nn_descent_extreme_magnitudes(spark):
+    rows = [(1, "a", [1e200, 2e200, 0.0]), (2, "a", [1e-200, 2e-200, 0.0]), (3, "a", [1.0, 2.0, 0.0]), (4, "a", [-1e200, 2e200, 0.0]),
+            (5, "a", [5e-324, 1e-323, 0.0]), (6, "a", [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1), 6: (0, 6)}
+
+
 def test_nn_descent_empty(spark):
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
