@@ -49,6 +49,8 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
          "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
          "sponsored", "subscribe", "toolbar", "widget", "widgets", "alert", "complementary", "contentinfo", "header"}
 CONTENT = {"article", "body", "content", "entry", "main", "page", "post", "story", "text", "wrapper"}
+LAYOUT = {"has", "with", "no", "without", "is"}  # first words of classes that tell of other elements
+OWN_HEADER = {"article", "entry", "post", "story"}  # whose header holds a text's title
 # An element that starts closes an open one of these names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -67,19 +69,27 @@ def _furniture(name: str, attributes: str, in_main: bool) -> bool:
         return True
     if name in ("html", "body") or "=" not in attributes and "hidden" not in attributes.lower():
         return False
-    words: set[str] = set()
+    kinds: set[str] = set()
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
             return True
         if key in ("class", "id", "role"):
-            words.update(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
-    if not words or words & CONTENT and name not in ("p", "span", "ul", "li"):
+            kinds.update(_kind(token, in_main) for token in value.split())
+    if "content" in kinds and name not in ("p", "span", "ul", "li"):
         return False
-    marks = words & MARKS
-    if in_main:
-        marks -= {"header"}
-    return bool(marks)
+    return "furniture" in kinds
+
+
+def _kind(token: str, in_main: bool) -> str:
+    """What a class, id or role says of its element. Its last word is what the element is, the others
+    say whose: ``main-menu`` is a menu, ``menu-content`` content. ``has-sidebar`` tells of another element."""
+    words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token).lower()) if w]
+    if not words or words[0] in LAYOUT:
+        return ""
+    if words[-1] in CONTENT or words[-1] == "header" and (in_main or words[0] in OWN_HEADER):
+        return "content" if words[-1] in CONTENT else ""
+    return "furniture" if MARKS.intersection(words) - ({"header"} if in_main else set()) else ""
 
 
 def blocks(page: str) -> tuple[list[str], bool]:

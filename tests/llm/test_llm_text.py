@@ -324,6 +324,23 @@ def test_html_structure():
         assert " ".join(html_text.blocks(page)[0]) == text, page
 
 
+@pytest.mark.parametrize("element", [
+    '<div class="main-menu">', '<div id="page-header">', '<div class="post-comments">', '<div class="content-sidebar">',
+    '<div class="story-newsletter">', '<article><div class="entry-comments">', '<article><footer class="post-footer">',
+    '<div class="commentList">', '<section id="cookie_notice">'])
+def test_html_furniture_by_its_last_word(element):
+    page = f"<body>{element}not this</div></footer></section></article><div class='main-text has-sidebar'>this stays</div></body>"
+    text = " ".join(html_text.blocks(page)[0])
+    assert "not this" not in text and ("this stays" in text or element.startswith("<article>"))
+
+
+@pytest.mark.parametrize("element", [
+    '<div class="post-content">', '<div class="menu-content">', '<div id="main-article">', '<div class="entry-header">',
+    '<article><div class="post-header">', '<div class="with-nav">', '<div class="page no-sidebar">'])
+def test_html_content_by_its_last_word(element):
+    assert html_text.blocks(f"<body>{element}stays</div></article></body>")[0] == ["stays"]
+
+
 def test_html_raw_elements_without_end():
     cases = {
         '<p>a <svg class="x"/> b <math/> c': "a b c", "a<svg/>b<svg><path/>no</svg>c": "a b c",
