@@ -261,7 +261,70 @@ def op11_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii_anchors.joined(spans).alias("spans"))
 
 
-@query("op13_interval_repair")
+# CRC-32 as DuckDB lacks it: a table of 256 remainders, then a fold over bytes.
+_CRC_SQL = """crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, n)) AS tab)"""
+
+
+def _crc_of(text: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes; needs ``crc`` in the FROM clause."""
+    return (f"xor(list_reduce(list_transform(range(1, length(hex({text})), 2), lambda i: ('0x' || hex({text})[i:i + 1])::BIGINT), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+@query("op13_interval_repair", f"""
+WITH RECURSIVE {_CRC_SQL},
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hashed AS (
+  SELECT keyed.*, {_crc_of("k")} % 20 AS h FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text)) AS pos,
+    left(role, 1) AS x, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN last = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+    WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(x) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 1) AS blank,
+    count_if(fault = 2) AS duplicate, count_if(fault = 3) AS truncated,
+    count_if(before IS NOT NULL AND before || x NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM faulty GROUP BY conv_id),
+moves(p, x, q) AS (VALUES ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+edits AS (
+  SELECT p, x, q, 'K' AS e, 0 AS price FROM moves UNION ALL SELECT p, x, q, 'R', 1 FROM moves WHERE x <> 's'
+  UNION ALL SELECT p, '', p, 'D', 2 FROM (VALUES ('0'), ('s'), ('u'), ('a')) AS d(p)),
+puts(q, z, more, i) AS (VALUES ('0', '0', 0, ''), ('s', 's', 0, ''), ('u', 'u', 0, ''), ('a', 'a', 0, ''), ('0', 'u', 5, 'I'),
+  ('0', 'a', 10, 'II'), ('s', 'u', 5, 'I'), ('s', 'a', 10, 'II'), ('u', 'a', 5, 'I'), ('a', 'u', 5, 'I')),
+cells AS (
+  SELECT conv_id, 0::BIGINT AS pos, z AS place, {{'c': more, 'a': i}} AS best FROM counts, puts WHERE q = '0'
+  UNION ALL
+  SELECT f.conv_id, f.pos, z, min({{'c': best.c + price + more + CASE WHEN f.fault = 3 AND e <> 'D' THEN 5 ELSE 0 END, 'a': best.a || e || i}})
+  FROM cells JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM cells.conv_id AND f.pos = cells.pos + 1
+    JOIN edits ON p = place AND (e <> 'K' OR edits.x = f.x) AND (e = 'D' OR f.fault NOT IN (1, 2)) JOIN puts USING (q)
+  GROUP BY f.conv_id, f.pos, z),
+parsed AS (
+  SELECT c.conv_id, min(best) AS best FROM cells c JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id AND c.pos = n.n
+  WHERE place IN ('0', 'a') GROUP BY c.conv_id),
+letters AS (
+  SELECT conv_id, i, best.a[i] AS e, count_if(best.a[i] <> 'D') OVER w AS total,
+    count_if(best.a[i] <> 'I') OVER (w ORDER BY i) AS pos, count_if(best.a[i] <> 'D') OVER (w ORDER BY i) - 1 AS spot
+  FROM parsed, unnest(range(1, length(best.a) + 1)) AS u(i) WINDOW w AS (PARTITION BY conv_id)),
+lines AS (
+  SELECT l.conv_id, string_agg(CASE WHEN e = 'K' THEN f.role WHEN (spot - total % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN e = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY i) AS body
+  FROM letters l LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.pos = l.pos WHERE e <> 'D' GROUP BY l.conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN parsed ON parsed.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN lines ON lines.conv_id IS NOT DISTINCT FROM ids.conv_id
+""")
 def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = table(spark, sf_dir, "conversations")
     repair = conversation_repair.Repair(conversation_repair.damage(convs))
@@ -277,6 +340,32 @@ def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
-@query("op12_letter_kdtree")
+@query("op12_letter_kdtree", f"""
+WITH RECURSIVE {_CRC_SQL},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL HAVING length(run) >= 7),
+hashed AS (
+  SELECT run, n, {_crc_of("(doc || ':' || run)")} AS h FROM runs, crc),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cuts AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM places),
+masks AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS mask FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM masks a JOIN masks b ON a.mask = b.mask AND a.word <> b.word
+  UNION ALL SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.less = w.word
+  UNION ALL SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.less = w.word),
+best AS (SELECT word, count(*) AS n_near, min({{'m': -m, 'w': other}}) AS b FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 10 * w.n THEN b.w END AS form, CASE WHEN -b.m >= 10 * w.n THEN -b.m END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS step FROM formed
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM formed JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word) USING (word)
+""")
 def op12_letter_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_kdtree.group(spelling_kdtree.seeded_words(table(spark, sf_dir, "documents")))
