@@ -16,7 +16,7 @@ and two among the first ``n - ceil(percent n) + 2`` (extended prefix).
    token is left. For those the classes are indexed by single tokens where a token is rare and by
    the pairs of the extended prefix's frequent tokens otherwise. Where rare ends is chosen by cost: as low
    as the pairs are no more rows than the single tokens they stand for, so the index grows with its input.
-6. Stars over that index are repeated while they find links; then the classes of a key that are still
+6. Stars over that index are repeated (``STAR_ROUNDS``) while they find links; then the classes of a key that are still
    in different components are compared in blocks, where their sets are. No link between components
    is left out, and no group is ever written out as pairs.
 """
@@ -36,7 +36,7 @@ from editflow.llm.shingles import fingerprint, mixed, shingle_sets
 
 _BLOCK, _COLUMNS = 256, 8192
 COUNTED = 65_536  # class counts are exact up to here; more frequent tokens stand last, in hash order
-STAR_ROUNDS = 8  # at most; what they leave is compared in blocks
+STAR_ROUNDS = 2  # at most; what they leave is compared in blocks
 BROADCAST_ROWS = 1_000_000  # 16 bytes a row: a checked bound; beyond it the join shuffles
 
 
