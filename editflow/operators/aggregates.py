@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from editflow.functions.text import CHANGELOG_FORMAT
 from editflow.operators.parse import only_edits
 from editflow.session import checkpoint_root
 
@@ -23,7 +24,7 @@ def edits_by_user(edits: DataFrame, key: str = "user") -> DataFrame:
 def changelog_text(counts: DataFrame, key: str = "user", value: str = "num_edits") -> DataFrame:
     """One printable line per change, ``USER: <user> num.edits: <n>``."""
     return counts.select(
-        F.format_string("USER: %s num.edits: %d", F.col(key), F.col(value)).alias("line")
+        F.format_string(CHANGELOG_FORMAT, F.col(key), F.col(value)).alias("line")
     )
 
 

@@ -9,7 +9,7 @@ the rows are split out and joined against a broadcast of just their partner rows
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editflow.session import checkpoint_root
@@ -28,30 +28,46 @@ def _broadcast_bound(df: DataFrame, default: int) -> int:
     return int(conf) if conf else default
 
 
-def data_bytes(df: DataFrame) -> int:
-    """Bytes of the rows: the lengths of text and binary values, 8 for any other value and 8 a row.
-
-    A distributed sum (partial sums per task, one number to the driver).
-    """
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the lengths of text and binary values, 8 for any other value and 8 a row."""
     wide = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
     fixed = 8 * (len(df.columns) - len(wide) + 1)
     size = F.lit(fixed).cast("long")
     for c in wide:
         size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
-    return df.agg(F.sum(size)).first()[0] or 0
+    return size
+
+
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of the rows, a distributed sum (partial sums per task, one number to the driver)."""
+    return df.agg(F.sum(_row_bytes(df))).first()[0] or 0
+
+
+def _bound(df: DataFrame, max_bytes: int | None) -> int:
+    return max_bytes if max_bytes is not None else _broadcast_bound(df, BROADCAST_MAX_BYTES)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     """Size check before a broadcast: the bytes of ``df`` against the bound (0: never)."""
-    bound = max_bytes if max_bytes is not None else _broadcast_bound(df, BROADCAST_MAX_BYTES)
+    bound = _bound(df, max_bytes)
     return bound > 0 and data_bytes(df) <= bound
 
 
+def unique_bytes(df: DataFrame, key: str) -> int:
+    """Bytes of the rows; raises if a key repeats, since a join would then multiply rows.
+
+    Both come from one pass over ``df``, which matters where it is derived and not stored.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(_row_bytes(df)).alias("_b"))
+    most, which, size = per_key.agg(F.max("_n"), F.max_by(F.struct(key), "_n"), F.sum("_b")).first()
+    if most and most > 1:
+        raise ValueError(f"{key} is not unique: {which[0]!r} has {most} rows")
+    return size or 0
+
+
 def require_unique(df: DataFrame, key: str) -> DataFrame:
-    """``df`` itself; raises if a key repeats, since a join would then multiply rows."""
-    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).head(1)
-    if twice:
-        raise ValueError(f"{key} is not unique: {twice[0][0]!r} has {twice[0][1]} rows")
+    """``df`` itself; raises if a key repeats."""
+    unique_bytes(df, key)
     return df
 
 
@@ -115,8 +131,8 @@ def left_join_checked(
 ) -> DataFrame:
     """``left LEFT JOIN right USING (key)``, ``right`` unique by key, with the broadcast decided
     by a size check."""
-    require_unique(right, key)
-    if fits_broadcast(right, max_bytes):
+    size, bound = unique_bytes(right, key), _bound(right, max_bytes)
+    if bound > 0 and size <= bound:
         return left.join(F.broadcast(right), key, "left")
     return skew_split_left_join(left, right, key)
 
