@@ -2,7 +2,7 @@
 and identifier cues; local parsers grow each anchor to its boundaries and validate it.
 
 Everything happens within a row: no shuffle, one pass over each text, and work that is linear in its
-length (every parser keeps a cursor and never reads a character twice from two anchors of a kind).
+length (parsers of base kinds keep a cursor; the values of cues and schemes end where the next could start).
 """
 
 from __future__ import annotations
@@ -122,10 +122,10 @@ def _free(text: str, at: int) -> bool:
     return at == 0 or not (text[at - 1].isalnum() or text[at - 1] == "_")
 
 
-def _cued(text: str, spans: list, start: int, end: int, parser: str) -> int:
-    """Identifiers behind a cue at [start, end); returns where the value ends."""
+def _cued(text: str, spans: list, start: int, end: int, parser: str) -> None:
+    """Identifiers behind a cue at [start, end)."""
     if not _free(text, start):
-        return end
+        return
     if parser == "key":
         m = KEY_ID.match(text, start)
         span = m and m.span()
@@ -140,23 +140,19 @@ def _cued(text: str, spans: list, start: int, end: int, parser: str) -> int:
         value = m.group(1).rstrip(".-") if m else ""
         good = len(value) >= 6 and any(c in DIGITS for c in value)
         span = good and (m.start(1), m.start(1) + len(value))
-    if not span:
-        return end
-    spans.append((span[0], "account", span[1]))
-    return span[1]
+    if span:
+        spans.append((span[0], "account", span[1]))
 
 
-def _scheme(text: str, spans: list, start: int, end: int) -> int:
+def _scheme(text: str, spans: list, start: int, end: int) -> None:
     if not _free(text, start):
-        return end
+        return
     name = text[start:end].lower()
     shape = MAILBOX if name == "mailto:" else TELEPHONE if name == "tel:" else USER_HOST
     m = shape.match(text, end)
     if m is None or (name == "tel:" and not 7 <= sum(c in DIGITS for c in m.group()) <= 15):
-        return end
-    stop = start + len(text[start:m.end()].rstrip(".,;:-("))
-    spans.append((start, "address", stop))
-    return stop
+        return
+    spans.append((start, "address", start + len(text[start:m.end()].rstrip(".,;:-("))))
 
 
 def spans_of(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple[int, str, int]]:
@@ -164,7 +160,7 @@ def spans_of(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple[i
     if not text:
         return []
     spans: list[tuple[int, str, int]] = []
-    cursor = dict.fromkeys(("card", "ip", "phone", "email", "handle", "scheme", "cue", "key", "iban", "social"), 0)
+    cursor = dict.fromkeys(BASE_KINDS, 0)  # places of a base kind don't overlap
     last_at = -1
     for last, (parser, length) in automaton.iter(text):
         start = last - length + 1
@@ -176,18 +172,17 @@ def spans_of(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple[i
             if domain:
                 spans.append((start - local, "email", domain.end()))
                 cursor["email"] = domain.end()
-            elif not local and start >= cursor["email"] and _free(text, start):
+            elif start == 0 or text[start - 1] not in LOCAL and _free(text, start):
                 handle = HANDLE.match(text, start + 1)
                 if handle:
                     spans.append((start, "account", handle.end()))
             last_at = start
+        elif parser == "scheme":
+            _scheme(text, spans, start, last + 1)
+        elif parser not in cursor:
+            _cued(text, spans, start, last + 1, parser)
         elif start >= cursor[parser]:
-            if parser in BASE_KINDS:
-                cursor[parser] = _numbers(text, spans, start, parser, cursor[parser])
-            elif parser == "scheme":
-                cursor[parser] = _scheme(text, spans, start, start + length)
-            else:
-                cursor[parser] = _cued(text, spans, start, start + length, parser)
+            cursor[parser] = _numbers(text, spans, start, parser, cursor[parser])
     return sorted(set(spans), key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 

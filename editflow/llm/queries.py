@@ -251,7 +251,79 @@ def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings")).drop("recall")
 
 
-@query("op11_anchor_expansion")
+def _pii_sql() -> str:
+    P = pii_anchors
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    cases = lambda words: "|".join(sorted({c.replace(".", "\\.") for w in words for c in (w, w.upper(), w.capitalize())}))
+    schemes = "|".join(sorted({c for s in P.SCHEMES for c in (s, s.upper())}))
+    found = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "scheme": schemes, "at": "@", "cue": cases(P.CUES), "iban": cases(["iban"]), "social": cases(["ssn", "social security"]),
+        "key": "AKIA|ASIA",
+    }
+    hits = " UNION ALL ".join(
+        f"SELECT rid, t, '{k}' AS k, regexp_split_to_array(t, {q(r)}) AS parts, regexp_extract_all(t, {q(r)}) AS found FROM d WHERE regexp_matches(t, {q(r)})"
+        for k, r in found.items())
+    plain = lambda r: r.pattern.split("(?![")[0]
+    behind = lambda r: f"regexp_extract(rest, {q('^(?:' + r + ')')})"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+hits AS ({hits}),
+places AS (
+  SELECT rid, t, k, found[i] AS m, (list_sum(list_transform(parts[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+  FROM hits, unnest(range(1, len(found) + 1)) AS u(i)),
+near AS (
+  SELECT *, substr(t, s + 1 + length(m)) AS rest, regexp_replace(m, '[^0-9]+', '', 'g') AS digits,
+    s = 0 OR NOT regexp_matches(substr(t, s, 1), '[\\pL\\pN_]') AS free FROM places),
+spans AS (
+  SELECT rid, k, s, s + length(m) AS e FROM near WHERE k = 'email'
+    OR k = 'ip' AND list_bool_and(list_transform(string_split(m, '.'), lambda x: length(ltrim(x, '0')) < 3 OR (length(ltrim(x, '0')) = 3 AND ltrim(x, '0') <= '255')))
+    OR k = 'card' AND length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(digits)), lambda i:
+      CASE WHEN i % 2 = 0 THEN reverse(digits)[i + 1]::INT ELSE (2 * reverse(digits)[i + 1]::INT) // 10 + (2 * reverse(digits)[i + 1]::INT) % 10 END)) % 10 = 0
+    OR k = 'phone' AND length(digits) BETWEEN 9 AND 15
+  UNION ALL
+  SELECT rid, 'address', s, s + length(rtrim(m || v, '.,;:-(')) FROM (
+    SELECT *, CASE lower(m) WHEN 'mailto:' THEN {behind(P.MAILBOX.pattern)} WHEN 'tel:' THEN {behind(P.TELEPHONE.pattern)}
+      ELSE {behind(P.USER_HOST.pattern)} END AS v FROM near WHERE k = 'scheme' AND free)
+  WHERE v <> '' AND (lower(m) <> 'tel:' OR length(regexp_replace(v, '[^0-9]+', '', 'g')) BETWEEN 7 AND 15)
+  UNION ALL
+  SELECT rid, 'account', s, s + 1 + length(v) FROM (
+    SELECT *, regexp_extract(rest, {q('^(' + plain(P.HANDLE) + ')(?:[^A-Za-z0-9_@.-]|$)')}, 1) AS v FROM near
+    WHERE k = 'at' AND free AND (s = 0 OR NOT regexp_matches(substr(t, s, 1), '[A-Za-z0-9._%+-]'))) WHERE v <> ''
+  UNION ALL
+  SELECT rid, 'account', s + length(m) + length(lead), s + length(m) + length(lead) + length(v) FROM (
+    SELECT *, rtrim(regexp_extract(rest, {q('^' + P.CUE_VALUE.pattern)}, 1), '.-') AS v,
+      regexp_extract(rest, {q('^(' + P.CUE_VALUE.pattern.split('([A-Za-z0-9_+/.-]')[0] + ')')}, 1) AS lead FROM near WHERE k = 'cue' AND free)
+  WHERE length(v) >= 6 AND regexp_matches(v, '[0-9]')
+  UNION ALL
+  SELECT rid, 'account', s + length(m) + length(lead), s + length(m) + length(lead) + length(v) FROM (
+    SELECT *, regexp_extract(rest, {q('^' + plain(P.IBAN) + '(?:[^A-Za-z0-9]|$)')}, 1) AS v,
+      regexp_extract(rest, '^[ :=#.]{{0,4}}') AS lead FROM near WHERE k = 'iban' AND free)
+  WHERE v <> '' AND length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(
+    list_transform(string_split(replace(v, ' ', '')[5:] || v[1:4], ''), lambda c: CASE WHEN c <= '9' THEN c::INT ELSE ascii(c) - 55 END),
+    lambda r, x: (r * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97, 0) = 1
+  UNION ALL
+  SELECT rid, 'account', s + length(m) + length(lead), s + length(m) + length(lead) + length(v) FROM (
+    SELECT *, regexp_extract(rest, {q('^' + plain(P.SOCIAL) + '(?:[^0-9-]|$)')}, 1) AS v,
+      regexp_extract(rest, {q('^(' + P.SOCIAL.pattern.split('([0-9]')[0] + ')')}, 1) AS lead FROM near WHERE k = 'social' AND free) WHERE v <> ''
+  UNION ALL
+  SELECT rid, 'account', s, s + 20 FROM near WHERE k = 'key' AND free AND regexp_matches(rest, '^[A-Z0-9]{{16}}(?:[^A-Za-z0-9]|$)')),
+each AS (SELECT DISTINCT rid, k, s, e, list_position({[*P.KINDS]!r}, k) AS o FROM spans),
+joined AS (
+  SELECT rid, count_if(k = 'email') AS n_email, count_if(k = 'ip') AS n_ip, count_if(k = 'card') AS n_card, count_if(k = 'phone') AS n_phone,
+    string_agg(k || ':' || s || ':' || e, ',' ORDER BY s, o, e) FILTER (WHERE o <= {len(P.BASE_KINDS)}) AS base,
+    string_agg(k || ':' || s || ':' || e, ',' ORDER BY s, o, e) AS spans FROM each GROUP BY rid)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card,
+  coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN joined USING (rid)
+"""
+
+
+@query("op11_anchor_expansion", _pii_sql())
 def op11_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_anchors.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("pii_spans")
