@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 
 from editflow.operators.forests import voting_copy
 from editflow.schemas import FEATURES, LABEL
+from editflow.session import scratch_path
 
 # --- Fixed values: the shape of the source system's model --------------------------------
 PCA_K = 3
 NUM_TREES = 500
 FEATURES_COL, PCA_COL = "features", "pcaFeatures"
+# A fit keeps every row with a count of its draws for each tree: at most this many bytes a task.
+FIT_TASK_BYTES = 128 << 20
 # ------------------------------------------------------------------------------------------
 LEAF_COL = "leaf"
 
@@ -56,9 +59,36 @@ def build_pipeline(
     )
 
 
+def fit_tasks(rows: int, num_trees: int, task_bytes: int = FIT_TASK_BYTES) -> int:
+    """Tasks of a fit: a row takes four bytes for each tree and about a hundred of its own."""
+    return max(1, -(-rows * (4 * num_trees + 100) // task_bytes))
+
+
+def fit_rows(train: DataFrame, num_trees: int = NUM_TREES, task_bytes: int = FIT_TASK_BYTES) -> DataFrame:
+    """The inputs and the label of all rows, stored once under the shared checkpoint folder (a fit
+    reads its rows several times) and dealt evenly over as many tasks as their number asks for.
+
+    Each of several tasks sorts its rows, so a task that runs again draws the same for every row, in
+    whatever order a shuffle delivers. Rows that fit one task stay in the order of their source.
+    """
+    spark = train.sparkSession
+    columns = [*FEATURES, LABEL]
+    path = scratch_path(spark, "fit-rows")
+    train.select(*columns).write.parquet(path)
+    rows = spark.read.schema(train.select(*columns).schema).parquet(path)
+    tasks = fit_tasks(rows.count(), num_trees, task_bytes)
+    return rows.repartition(tasks).sortWithinPartitions(*columns) if tasks > 1 else rows.coalesce(1)
+
+
 def fit(train: DataFrame, num_trees: int = NUM_TREES, k: int = PCA_K, max_depth: int = 5, seed: int = 42) -> PipelineModel:
     """Fit the pipeline on model rows (features + ``isBotEdit``)."""
-    return build_pipeline(num_trees, k, max_depth, seed).fit(with_label(train))
+    return build_pipeline(num_trees, k, max_depth, seed).fit(with_label(fit_rows(train, num_trees)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt evenly over twice as many tasks as the cluster runs at once: hundreds of
+    trees a row cost far more than moving it, and a small file has few splits."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def save(model: PipelineModel, path: str) -> str:

@@ -28,6 +28,11 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched(spark, sf_dir)
 
 
+def scoring_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model rows spread evenly over the cluster, for the forest."""
+    return M.spread(model_rows(spark, sf_dir))
+
+
 def training_rows(spark: SparkSession, sf_dir: str, before: str = TRAIN_CUTOFF) -> DataFrame:
     """Model rows of the training period: events before ``before`` are the labelled rows to fit on."""
     from editflow.sources.tables import read_table
@@ -77,7 +82,7 @@ def q_ml_pca(spark, sf_dir):
 def q_ml_fit_summary(spark, sf_dir):
     """Fit on the history period; one row: trees, PCA k, features, training rows, training error."""
     model, _ = fitted(spark, sf_dir)
-    scored = M.score(model, training_rows(spark, sf_dir))
+    scored = M.score(model, M.spread(training_rows(spark, sf_dir)))
     return scored.agg(
         F.lit(len(M.forest(model).trees)).alias("num_trees"),
         F.lit(M.PCA_K).alias("pca_k"),
@@ -91,14 +96,14 @@ def q_ml_fit_summary(spark, sf_dir):
 def q_ml_score(spark, sf_dir):
     """Scored rows (Spark ML forest: summed tree probabilities)."""
     model, _ = fitted(spark, sf_dir)
-    return M.score(model, model_rows(spark, sf_dir)).select("event_id", *SCORED)
+    return M.score(model, scoring_rows(spark, sf_dir)).select("event_id", *SCORED)
 
 
 @register("ml_vote")
 def q_ml_vote(spark, sf_dir):
     """Scored rows with the forest combined by majority vote."""
     model, path = fitted(spark, sf_dir)
-    return M.vote(model, path, model_rows(spark, sf_dir)).select("event_id", *SCORED)
+    return M.vote(model, path, scoring_rows(spark, sf_dir)).select("event_id", *SCORED)
 
 
 @register("stream_score")
@@ -111,7 +116,7 @@ def q_stream_score(spark, sf_dir):
     paths = {k: f"{base}/{k}" for k in ("raw", "scored", "metrics")}
     query = P.start_scoring(
         _raw_stream(spark, sf_dir), history(spark, sf_dir), scorer, paths,
-        scratch_path(spark, "ckpt"), P.AVAILABLE_NOW,
+        scratch_path(spark, "ckpt"), P.AVAILABLE_NOW, spread=2 * spark.sparkContext.defaultParallelism,
     )
     P.run_to_end(query)
     return spark.read.parquet(paths["scored"]).select(_event_id(), *SCORED)
@@ -136,20 +141,20 @@ def _mismatches(wrong) -> list:
 def q_ml_score_rows(spark, sf_dir):
     """Every model row is scored, with its inputs and label unchanged and a class as prediction."""
     model, _ = fitted(spark, sf_dir)
-    return _checked(M.score(model, model_rows(spark, sf_dir)))
+    return _checked(M.score(model, scoring_rows(spark, sf_dir)))
 
 
 @register("ml_vote_rows", _ROWS_SQL)
 def q_ml_vote_rows(spark, sf_dir):
     model, path = fitted(spark, sf_dir)
-    return _checked(M.vote(model, path, model_rows(spark, sf_dir)))
+    return _checked(M.vote(model, path, scoring_rows(spark, sf_dir)))
 
 
 @register("ml_saved_score", _NO_MISMATCH)
 def q_ml_saved_score(spark, sf_dir):
     """Scores of the model loaded from its folder against those of the model in memory."""
     model, path = fitted(spark, sf_dir)
-    rows = model_rows(spark, sf_dir)
+    rows = scoring_rows(spark, sf_dir)
     here = M.score(model, rows).select("event_id", F.col("predicted").alias("here"))
     loaded = M.score(M.load(path), rows).select("event_id", "predicted")
     return here.join(loaded, "event_id", "full").agg(*_mismatches(F.col("here") == F.col("predicted")))
@@ -172,7 +177,7 @@ def q_ml_pca_mismatch(spark, sf_dir):
 def q_ml_vote_mismatch(spark, sf_dir):
     """The vote against a majority counted from the saved trees, joined row by tree and leaf."""
     model, path = fitted(spark, sf_dir)
-    rows = model_rows(spark, sf_dir)
+    rows = scoring_rows(spark, sf_dir)
     table = M.leaf_classes(spark, path, model)
     leaves = spark.createDataFrame(
         [(t, i, c) for t, classes in enumerate(table) for i, c in enumerate(classes)], "tree int, leaf int, class int")
@@ -193,7 +198,7 @@ def q_ml_score_mismatch(spark, sf_dir):
     """Predictions against the trees' class shares summed from the saved nodes, joined by tree and leaf.
     Rows whose two sums are equal but for rounding may have either class."""
     model, path = fitted(spark, sf_dir)
-    rows = model_rows(spark, sf_dir)
+    rows = scoring_rows(spark, sf_dir)
     nodes = spark.read.parquet(f"{M._stage_path(path, model)}/data").where("nodeData.leftChild < 0")
     share = F.col("nodeData.impurityStats")
     # A leaf's number is its place among its tree's leaves in pre-order.
@@ -238,7 +243,7 @@ def q_ml_fit_facts(spark, sf_dir):
 def q_ml_vote_lookup_mismatch(spark, sf_dir):
     """The voting copy of the forest against the vote looked up leaf by leaf."""
     model, path = fitted(spark, sf_dir)
-    rows = M.vote(model, path, model_rows(spark, sf_dir)).withColumnRenamed("predicted", "voted")
+    rows = M.vote(model, path, scoring_rows(spark, sf_dir)).withColumnRenamed("predicted", "voted")
     both = M.voter(model, M.leaf_classes(spark, path, model))(rows)
     return both.agg(*_mismatches(F.col("predicted") == F.col("voted")))
 
@@ -250,7 +255,7 @@ def q_ml_old_layout_mismatch(spark, sf_dir):
 
     model, path = fitted(spark, sf_dir)
     old = forests.write_old(spark, M._stage_path(path, model), scratch_path(spark, "forest-old"))
-    rows = M.vote(model, path, model_rows(spark, sf_dir)).withColumnRenamed("predicted", "voted")
+    rows = M.vote(model, path, scoring_rows(spark, sf_dir)).withColumnRenamed("predicted", "voted")
     again = M.forest_voter(model, forests.read_old(spark, old, num_features=M.PCA_K))(rows)
     return again.agg(*_mismatches(F.col("predicted") == F.col("voted")))
 
@@ -259,6 +264,6 @@ def q_ml_old_layout_mismatch(spark, sf_dir):
 def q_stream_score_mismatch(spark, sf_dir):
     """The scored stream against the batch vote of the same saved model."""
     model, path = fitted(spark, sf_dir)
-    voted = M.vote(model, path, model_rows(spark, sf_dir)).select("event_id", F.col("predicted").alias("batch"))
+    voted = M.vote(model, path, scoring_rows(spark, sf_dir)).select("event_id", F.col("predicted").alias("batch"))
     streamed = q_stream_score(spark, sf_dir).select("event_id", "predicted")
     return streamed.join(voted, "event_id", "full").agg(*_mismatches(F.col("predicted") == F.col("batch")))

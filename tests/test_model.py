@@ -76,3 +76,28 @@ def test_vote_beats_the_majority_class(spark, rows, fitted):
     baseline = min(stats.positive, 1 - stats.positive)
     assert baseline > 0.05  # the label is not trivial
     assert stats.error < baseline / 2
+
+
+def test_fit_rows_are_dealt_evenly_whatever_the_splits(spark, rows):
+    """A source of one split feeds as many tasks as its rows ask for, each with its share, no row lost."""
+    one = rows.coalesce(1).union(rows.coalesce(1)).coalesce(1)  # every row twice
+    n = one.count()
+    dealt = M.fit_rows(one, num_trees=500, task_bytes=n * 2100 // 6)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == dealt.rdd.getNumPartitions() == 6 and sum(sizes) == n and max(sizes) < 1.2 * n / 6
+    want = one.select(*FEATURES, "isBotEdit")
+    assert dealt.exceptAll(want).isEmpty() and want.exceptAll(dealt).isEmpty()
+
+
+def test_fit_tasks_grow_with_the_rows():
+    assert M.fit_tasks(0, 500) == M.fit_tasks(1, 500) == 1
+    # A task keeps at most 128 MB at 500 trees: 16 million rows of six gigabytes of tables take hundreds.
+    assert M.fit_tasks(16_000_000, 500) == 251 and M.fit_tasks(16_000_000, 500) * (128 << 20) >= 16_000_000 * 2100
+    assert M.fit_tasks(16_000_000, 10) < 20
+
+
+def test_spread_fills_the_cluster_from_one_split(spark, rows):
+    out = M.spread(rows.coalesce(1))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) <= 2 * min(sizes)
+    assert sum(sizes) == rows.count()
