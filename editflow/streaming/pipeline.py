@@ -276,6 +276,12 @@ def scoring_frame(
     return scorer(masked)
 
 
+def _dealt(records: DataFrame, tasks: int) -> DataFrame:
+    """Records dealt by position over ``tasks``, by a hash of their own: a file of a topic that was cut by
+    the plain hash of (partition, offset) holds one remainder of it and would fill few of the tasks."""
+    return records.repartition(tasks, F.xxhash64("partition", "offset"))
+
+
 def start_scoring(
     records: DataFrame,
     history: DataFrame | Callable[[], DataFrame],
@@ -308,7 +314,7 @@ def start_scoring(
     ``history`` is a loader function read again every ``reload_every`` batches.
     """
     if spread:
-        records = records.repartition(spread, "partition", "offset")
+        records = _dealt(records, spread)
     decoded = decode_raw(records)
     join = _history_joiner(history, reload_every=reload_every)
     out_cols = ["partition", "offset", "user", *feat.FEATURES, label]

@@ -257,3 +257,17 @@ def test_declared_scoring_plan_broadcasts_the_snapshot(spark, scratch):
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     # The stream's rows are not shuffled, and the history is read from the query's own snapshot.
     assert "Exchange hashpartitioning" not in plan and "lineitem" not in plan
+
+
+def test_spread_fills_every_task_from_a_file_of_the_topic(spark, scratch):
+    """One file of a topic cut by (partition, offset) is dealt over all tasks, not to those of its remainder."""
+    from editflow.schemas import TOPIC_RECORD
+
+    records = spark.range(4000).selectExpr(
+        "cast(null as string) as key", "cast(id as string) as value", "'t' as topic", "cast(id % 4 as int) as partition",
+        "id div 4 as offset", "timestamp_seconds(id) as timestamp")
+    path = write_topic(records, scratch("cut"), files=8)
+    one = spark.read.schema(TOPIC_RECORD).json(sorted(
+        r[0] for r in spark.read.text(path).select("_metadata.file_path").distinct().collect())[0])
+    sizes = [r["count"] for r in P._dealt(one, 16).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == one.count() > 300 and len(sizes) == 16 and max(sizes) < 4 * one.count() / 16
