@@ -22,22 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editflow.llm.common import own_columns, saved
-from editflow.llm.tokens import ChunkEncoder
+from editflow.llm.tokens import worker_encoder
 
 _PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cut(ranks_path: str, pattern: str, capacity: int, end_id: int, specials: dict[str, int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(ranks_path, pattern, specials=specials)
+        encoder = worker_encoder(ranks_path, pattern, tuple(sorted((specials or {}).items())))
         uid = TaskContext.get().partitionId() << 36
         end = np.asarray([end_id], dtype="<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
             rows = []
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(docs), 256):
-                for doc, ids in zip(docs[at:at + 256], encoder.encode([t or "" for t in texts[at:at + 256]]), strict=True):
+            for at in range(0, len(docs), 2048):
+                for doc, ids in zip(docs[at:at + 2048], encoder.encode([t or "" for t in texts[at:at + 2048]]), strict=True):
                     ids += end
                     first = len(ids) % width or width
                     cuts = [0, *range(first, len(ids) + 1, width)]

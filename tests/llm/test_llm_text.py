@@ -421,3 +421,29 @@ def test_token_chunks_with_any_white_space():
     for held in (encoder.young, encoder.old):
         assert all(len(c) <= 64 for c in held)
     assert sum(map(len, encoder.young)) + sum(map(len, encoder.old)) < 2_000_000
+
+
+def test_distinct_words_are_encoded_in_one_call():
+    """Chunks are those of the pattern's rule, and a group's distinct words cost one call of the encoder."""
+    import re
+
+    import numpy as np
+
+    from editflow.llm.tokens import ChunkEncoder, chunk_starts
+
+    chunk = re.compile(r" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]")
+    rng = random.Random(4)
+    texts = ["".join(rng.choice([" ", " ", "\t", "\n", "a", "bé", "zz"]) for _ in range(rng.randrange(9))) for _ in range(2000)]
+    raw = [t.encode() for t in texts]
+    starts = chunk_starts(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]))
+    cuts = [*starts.tolist(), sum(map(len, raw))]
+    assert [b"".join(raw)[a:b].decode() for a, b in zip(cuts, cuts[1:])] == [c for t in texts for c in chunk.findall(t)]
+
+    encoder, calls = ChunkEncoder(*vocabulary()), []
+    one = encoder.one
+    encoder.one = lambda text: calls.append(text) or one(text)
+    texts = [" ".join(f"word{k * j}" for j in range(30)) for k in range(500)]
+    got = encoder.encode(texts)
+    assert len(calls) == 1
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in got] == [one(t) for t in texts]
+    assert encoder.encode([]) == [] and encoder.encode(["", " "]) == [b"", np.array(one(" "), dtype="<u4").tobytes()]
