@@ -7,12 +7,14 @@ Spark ML's forest adds up per-tree class probabilities, while a classic forest m
 trees by **majority vote**. ``vote`` reproduces the vote exactly with a copy of the saved forest whose
 nodes carry the unit vector of their class as statistics (``operators.forests``): Spark ML's own sum
 is then the number of votes. ``voter`` computes the same from the leaves that a row reaches
-(``leafCol``) and a lookup table leaf -> class; it needs no second copy of the model but is interpreted,
-and serves as a check.
+(``leafCol``) and a lookup table leaf -> class, by whole arrays in Python tasks; it needs no second copy
+of the model and serves as a check.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -30,6 +32,7 @@ NUM_TREES = 500
 FEATURES_COL, PCA_COL = "features", "pcaFeatures"
 # A fit keeps every row with a count of its draws for each tree: at most this many bytes a task.
 FIT_TASK_BYTES = 128 << 20
+VOTE_ROWS = 1024  # rows whose leaves are looked up together
 # ------------------------------------------------------------------------------------------
 LEAF_COL = "leaf"
 
@@ -143,24 +146,25 @@ def leaf_classes(spark: SparkSession, model_path: str, model: PipelineModel) ->
     return [[int(leaf["prediction"]) for leaf in row["leaves"]] for row in leaves]
 
 
-def _is_class(k: int):
-    # One-argument lambda: a two-argument one would be read as (element, index).
-    return lambda c: c == F.lit(k)
-
-
 def vote_column(leaf: Column, table: list[list[int]], num_classes: int = 2) -> Column:
-    """Majority class over trees from the leaf-index vector; a tie goes to the lower class."""
-    lookup = F.lit(table)
-    classes = F.transform(
-        vector_to_array(leaf),
-        lambda l, i: F.element_at(F.element_at(lookup, i + 1), l.cast("int") + 1),
-    )
-    if num_classes == 2:
-        # One pass: votes for class 1 against the tree count; a tie stays 0.
-        ones = F.aggregate(classes, F.lit(0), lambda acc, c: acc + c)
-        return F.when(ones * 2 > F.size(classes), F.lit(1)).otherwise(F.lit(0))
-    counts = F.array(*[F.size(F.filter(classes, _is_class(k))) for k in range(num_classes)])
-    return (F.array_position(counts, F.array_max(counts)) - 1).cast("int")
+    """Majority class over trees from the leaf-index vector; a tie goes to the lower class.
+
+    The lookup takes whole arrays, some rows at a time: a higher-order function would be interpreted
+    once for each row and tree.
+    """
+    first = np.cumsum([0, *map(len, table)][:-1])
+    flat = np.array([c for classes in table for c in classes], dtype=np.int16)
+
+    @F.arrow_udf("int")
+    def majority(leaves: pa.Array) -> pa.Array:
+        at = leaves.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(first))
+        found = []
+        for k in range(0, len(at), VOTE_ROWS):
+            classes = flat[at[k:k + VOTE_ROWS] + first]
+            found.append(np.stack([(classes == c).sum(axis=1) for c in range(num_classes)]).argmax(axis=0))
+        return pa.array(np.concatenate(found) if found else [], pa.int32())
+
+    return majority(vector_to_array(leaf).cast("array<int>"))
 
 
 def voter(model: PipelineModel, table: list[list[int]], prediction: str = "predicted"):

@@ -101,3 +101,18 @@ def test_spread_fills_the_cluster_from_one_split(spark, rows):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) <= 2 * min(sizes)
     assert sum(sizes) == rows.count()
+
+
+def test_leaf_lookup_takes_whole_arrays(spark, fitted):
+    """The leaf vote calls no function once for each row and tree; ties go to the lower of any classes."""
+    from pyspark.ml.functions import array_to_vector
+
+    table = [[0, 2, 1], [1, 0], [2, 2, 0], [1]]  # 4 trees, 3 classes
+    rows = [(0, [0.0, 0.0, 1.0, 0.0]), (1, [1.0, 1.0, 0.0, 0.0]), (2, [2.0, 1.0, 2.0, 0.0]), (3, [0.0, 1.0, 2.0, 0.0]), (4, [0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id int, a array<double>").select("id", array_to_vector("a").alias("leaf"))
+    got = df.select("id", M.vote_column(F.col("leaf"), table, 3).alias("class"))
+    # classes: 0 1 2 1 -> 1; 2 0 2 1 -> 2; 1 0 0 1 -> 0 and 1 tie; 0 0 0 1 -> 0; 0 1 2 1 -> 1
+    assert [r["class"] for r in got.orderBy("id").collect()] == [1, 2, 0, 0, 1]
+    assert got.where("id < 0").count() == 0 and got.schema["class"].dataType.simpleString() == "int"
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambdafunction" not in plan.lower()
