@@ -22,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -190,28 +192,38 @@ class _Hashes:
         self.run, self.known = run, {}
         self.powers = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(run)], dtype=np.uint64)
 
-    def word(self, w: str) -> int:
+    def word(self, w: bytes) -> int:
         h = self.known.get(w)
         if h is None:
             if len(self.known) >= _WORDS:
                 self.known.clear()
-            h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+            h = self.known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
         return h
 
-    def codes(self, blocks_: list[str]) -> np.ndarray:
-        """Word hashes of a page, 0 after each block."""
-        flat: list[int] = []
-        for block in blocks_:
-            flat.extend(map(self.word, block.split(" ")))
-            flat.append(0)
-        return np.array(flat, dtype=np.uint64)
+    def pages(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Word hashes of each page's blocks (a line each), 0 after each block; equal words are hashed once."""
+        data = np.frombuffer(b"".join(t + b"\n" for t in texts if t), dtype=np.uint8).copy()
+        last = data == 10
+        data[last] = 32
+        ends = np.flatnonzero(data == 32) + 1
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(data)]).dictionary_encode()
+        of = np.array([self.word(w[:-1]) for w in words.dictionary.to_pylist()], dtype=np.uint64)
+        last = last[ends - 1]
+        after = np.cumsum(last)  # blocks that have ended with this word
+        codes = np.zeros(len(ends) + int(last.sum()), dtype=np.uint64)
+        codes[np.arange(len(ends)) + after - last] = of[words.indices.to_numpy()] if len(ends) else of
+        bounds = np.cumsum([0, *(len(t) + 1 if t else 0 for t in texts)])
+        n = np.searchsorted(ends, bounds, side="right")  # words before each page's end
+        cuts = n + np.concatenate([[0], after])[n]
+        return [codes[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def runs(self, codes: np.ndarray, host: str) -> np.ndarray:
         """Hash of the run at each place that has a whole one, mixed with the host."""
         n = len(codes) - self.run + 1
         if n <= 0:
             return np.zeros(0, dtype=np.int64)
-        h = np.full(n, self.word("host " + host), dtype=np.uint64)
+        h = np.full(n, self.word(b"host " + host.encode()), dtype=np.uint64)
         for k in range(self.run):
             h += codes[k:k + n] * self.powers[k]
             h ^= h >> np.uint64(29)
@@ -219,6 +231,21 @@ class _Hashes:
         return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
+@lru_cache(maxsize=2)
+def worker_hashes(run: int) -> _Hashes:
+    """One table of word hashes for all tasks that a Python worker runs."""
+    return _Hashes(run)
+
+
+def packed(found: list[str]) -> bytes:
+    """Blocks as compressed bytes, one a line (their white space is single spaces); none: empty."""
+    return zlib.compress("\n".join(found).encode(), 6) if found else b""
+
+
+def lines(found: bytes) -> bytes:
+    return zlib.decompress(found) if found else b""
+
+
 def run_pages(pages: list[np.ndarray], run: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array over distinct pages' codes: a place of each run, and its number of pages.
 
@@ -256,16 +283,19 @@ def run_pages(pages: list[np.ndarray], run: int) -> tuple[np.ndarray, np.ndarray
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [blocks(page or "") for page in batch.column(4).to_pylist()]
+        streams = [hashlib.blake2b("\n".join([str(len(h)), h, *f]).encode(), digest_size=8).digest()
+                   for h, (f, _) in zip(batch.column(3).to_pylist(), found, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:4], pa.array([f for f, _ in found], pa.list_(pa.string())), pa.array([t for _, t in found], pa.bool_())],
-            names=["uid", "page_id", "url", "host", "found", "trusted"])
+            [*batch.columns[:4], pa.array([packed(f) for f, _ in found], pa.binary()), pa.array([t for _, t in found], pa.bool_()),
+             pa.array(np.frombuffer(b"".join(streams), dtype="<i8"), pa.int64())],
+            names=["uid", "page_id", "url", "host", "found", "trusted", "stream"])
 
 
 def _short_runs(run: int, least_pages: int, chunk_pages: int, chunk_chars: int):
     """``bucket, width, gaps``: each page's runs as sorted short hashes, a row for each bucket of a batch."""
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(run)
+        hashes = worker_hashes(run)
 
         def keys(host: str, held: list[np.ndarray]) -> np.ndarray:
             first, n = run_pages(held, run)
@@ -274,13 +304,16 @@ def _short_runs(run: int, least_pages: int, chunk_pages: int, chunk_chars: int):
         for batch in batches:
             of: dict[str, tuple[list, list]] = {}
             out = []
-            for host, found in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
-                held, chars = of.setdefault(host, ([], []))
-                held.append(hashes.codes(found))
-                chars.append(sum(map(len, found)))
-                if len(held) >= chunk_pages or sum(chars) >= chunk_chars:
-                    out.append(keys(host, held))
-                    del of[host]
+            for at in range(0, len(batch), 256):
+                hosts, found = (batch.slice(at, 256).column(k).to_pylist() for k in range(2))
+                texts = [lines(f) for f in found]
+                for host, text, codes in zip(hosts, texts, hashes.pages(texts), strict=True):
+                    held, chars = of.setdefault(host, ([], []))
+                    held.append(codes)
+                    chars.append(len(text))
+                    if len(held) >= chunk_pages or sum(chars) >= chunk_chars:
+                        out.append(keys(host, held))
+                        del of[host]
             out += [keys(host, held) for host, (held, _) in of.items()]
             short = np.sort(np.concatenate(out).view(np.uint64) >> np.uint64(64 - _SHORT)) if out else np.zeros(0, dtype=np.uint64)
             bucket = (short >> np.uint64(_SHORT - _BUCKET)).astype(np.int64)
@@ -327,12 +360,13 @@ def _page_runs(run: int):
     """``uid, key`` of each distinct run of each page."""
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(run)
+        hashes = worker_hashes(run)
         for batch in batches:
             for at in range(0, len(batch), 64):
                 uids, keys = [], []
-                for uid, host, found in zip(*(batch.slice(at, 64).column(k).to_pylist() for k in range(3)), strict=True):
-                    own = np.unique(hashes.runs(hashes.codes(found), host))
+                of, hosts, found = (batch.slice(at, 64).column(k).to_pylist() for k in range(3))
+                for uid, host, codes in zip(of, hosts, hashes.pages([lines(f) for f in found]), strict=True):
+                    own = np.unique(hashes.runs(codes, host))
                     uids.append(np.full(len(own), uid, dtype=np.int64))
                     keys.append(own)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (uids, keys)], names=["uid", "key"])
@@ -365,15 +399,18 @@ def clean(found: list[str], trusted: bool, runs: np.ndarray, known: dict[int, in
 
 def _clean(run: int, least_pages: int):
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(run)
+        hashes = worker_hashes(run)
         for batch in (whole.slice(at, 256) for whole in batches for at in range(0, len(whole), 256)):
             texts = []
-            for host, found, trusted, repeated in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
-                if repeated:
-                    known = {r["key"]: r["n"] for r in repeated}
-                    texts.append(clean(found, trusted, hashes.runs(hashes.codes(found), host), known, run, least_pages))
+            hosts, found, trust, repeated = (batch.column(k).to_pylist() for k in range(2, 6))
+            found = [lines(f) for f in found]
+            codes = iter(hashes.pages([f for f, r in zip(found, repeated, strict=True) if r]))
+            for host, f, trusted, rows in zip(hosts, found, trust, repeated, strict=True):
+                if rows:
+                    known = {r["key"]: r["n"] for r in rows}
+                    texts.append(clean(f.decode().split("\n"), trusted, hashes.runs(next(codes), host), known, run, least_pages))
                 else:
-                    texts.append(" ".join(found))
+                    texts.append(f.decode().replace("\n", " "))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
@@ -393,15 +430,15 @@ def extract(pages: DataFrame, run: int = 12, least_pages: int = 3, chunk_pages:
     rows = rows.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url",
                        host.alias("host"), "html")
     parsed = saved(rows.mapInArrow(
-        _parsed, "uid long, page_id long, url string, host string, found array<string>, trusted boolean"), "pages-parsed", "zstd")
+        _parsed, "uid long, page_id long, url string, host string, found binary, trusted boolean, stream long"), "pages-parsed")
 
     def bounded(x: DataFrame) -> DataFrame:
         return F.broadcast(x) if x.count() <= BROADCAST_ROWS else x
 
-    streams = parsed.select("uid", F.xxhash64("host", "found").alias("stream"))
+    streams = parsed.select("uid", "stream")
     groups = streams.groupBy("stream").agg(F.min("uid").alias("least"), F.count("*").alias("n")).where("n > 1")
     copies = bounded(saved(streams.join(groups, "stream").where("uid <> least").select("uid"), "page-copies"))
-    distinct = parsed.where(F.size("found") > 0).select("uid", "host", "found").join(copies, "uid", "left_anti").select("host", "found")
+    distinct = parsed.where(F.length("found") > 0).select("uid", "host", "found").join(copies, "uid", "left_anti").select("host", "found")
     short = distinct.mapInArrow(_short_runs(run, least_pages, chunk_pages, chunk_chars), "bucket int, width int, gaps binary")
     suspects = saved(short.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_suspects(least_pages), "short long"),
                      "run-suspects")

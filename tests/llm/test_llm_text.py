@@ -447,3 +447,16 @@ def test_distinct_words_are_encoded_in_one_call():
     assert len(calls) == 1
     assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in got] == [one(t) for t in texts]
     assert encoder.encode([]) == [] and encoder.encode(["", " "]) == [b"", np.array(one(" "), dtype="<u4").tobytes()]
+
+
+def test_page_words_are_hashed_by_whole_arrays():
+    """Each page's hashes in order, 0 after each block; equal words are hashed once; blocks survive packing."""
+    rng = random.Random(5)
+    pages = [[" ".join(rng.choice(["a", "bé", "c", "日本", "dd"]) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(4))]
+             for _ in range(200)]
+    hashes = html_text._Hashes(3)
+    texts = [html_text.lines(html_text.packed(p)) for p in pages]
+    assert [t.decode().split("\n") if t else [] for t in texts] == pages
+    want = [[h for b in p for h in [*(hashes.word(w.encode()) for w in b.split(" ")), 0]] for p in pages]
+    assert [codes.tolist() for codes in hashes.pages(texts)] == want
+    assert len(hashes.known) == 5 and hashes.pages([]) == [] and hashes.pages([b""])[0].tolist() == []
