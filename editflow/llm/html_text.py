@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editflow.llm.common import own_columns, saved
+from editflow.llm.shingles import mixed
 
 # Element names by treatment, and words of class, id and role that mark furniture.
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "template", "svg", "math", "xmp", "noembed",
@@ -182,9 +183,33 @@ def blocks(page: str) -> tuple[list[str], bool]:
 
 BROADCAST_ROWS = 1_000_000  # 16 bytes a row: a checked bound; beyond it the join shuffles
 _WORDS = 500_000  # word hashes that a task keeps
+_LANES = 8  # a word of at most so many 8-byte lanes is hashed beside others; a longer one by itself
 _SHORT, _BUCKET = 40, 10  # bits of a run's hash that are dealt out first, and of them the bucket's
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte strings that stand in ``data``: lane after lane of eight bytes, all strings at once."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))  # the eight bytes from each place on
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+    h = mixed(sizes.astype(np.uint64))
+    at, left, of = starts, sizes, None
+    for _ in range(_LANES):
+        lane = lanes[at] & masks[np.minimum(left, 8)]
+        if of is None:
+            h = mixed(h ^ lane)
+        else:
+            h[of] = mixed(h[of] ^ lane)
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        of, at, left = more if of is None else of[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(sizes > 8 * _LANES).tolist():
+        w = data[starts[k]:starts[k] + sizes[k]].tobytes()
+        h[k] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+    return h
+
+
 class _Hashes:
     """64-bit hashes of words and of runs of words, the same in every task."""
 
@@ -197,38 +222,39 @@ class _Hashes:
         if h is None:
             if len(self.known) >= _WORDS:
                 self.known.clear()
-            h = self.known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+            data = np.frombuffer(w, dtype=np.uint8)
+            h = self.known[w] = int(_word_hashes(data, np.zeros(1, dtype=np.int64), np.array([len(w)]))[0])
         return h
 
     def pages(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Word hashes of each page's blocks (a line each), 0 after each block; equal words are hashed once."""
-        data = np.frombuffer(b"".join(t + b"\n" for t in texts if t), dtype=np.uint8).copy()
-        last = data == 10
-        data[last] = 32
-        ends = np.flatnonzero(data == 32) + 1
-        words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(data)]).dictionary_encode()
-        of = np.array([self.word(w[:-1]) for w in words.dictionary.to_pylist()], dtype=np.uint64)
-        last = last[ends - 1]
+        """Word hashes of each page's blocks (a line each), 0 after each block; all words are hashed together."""
+        data = np.frombuffer(b"".join(t + b"\n" for t in texts if t), dtype=np.uint8)
+        ends = np.flatnonzero((data == 32) | (data == 10)) + 1
+        starts = np.concatenate([np.zeros(1, dtype=np.int64), ends])[:len(ends)]
+        last = data[ends - 1] == 10
         after = np.cumsum(last)  # blocks that have ended with this word
         codes = np.zeros(len(ends) + int(last.sum()), dtype=np.uint64)
-        codes[np.arange(len(ends)) + after - last] = of[words.indices.to_numpy()] if len(ends) else of
+        codes[np.arange(len(ends)) + after - last] = _word_hashes(data, starts, ends - 1 - starts)
         bounds = np.cumsum([0, *(len(t) + 1 if t else 0 for t in texts)])
         n = np.searchsorted(ends, bounds, side="right")  # words before each page's end
         cuts = n + np.concatenate([[0], after])[n]
         return [codes[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def runs(self, codes: np.ndarray, host: str) -> np.ndarray:
-        """Hash of the run at each place that has a whole one, mixed with the host."""
-        n = len(codes) - self.run + 1
+    def runs(self, pages: list[np.ndarray], hosts: list[str]) -> list[np.ndarray]:
+        """Hash of the run at each place of each page that has a whole one, mixed with the page's host."""
+        sizes = np.array([len(p) for p in pages], dtype=np.int64)
+        n = int(sizes.sum()) - self.run + 1
         if n <= 0:
-            return np.zeros(0, dtype=np.int64)
-        h = np.full(n, self.word(b"host " + host.encode()), dtype=np.uint64)
+            return [np.zeros(0, dtype=np.int64) for _ in pages]
+        codes = np.concatenate(pages)
+        h = np.repeat(np.array([self.word(b"host " + x.encode()) for x in hosts], dtype=np.uint64), sizes)[:n]
         for k in range(self.run):
             h += codes[k:k + n] * self.powers[k]
             h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        return (h ^ (h >> np.uint64(32))).view(np.int64)
+        h = (h ^ (h >> np.uint64(32))).view(np.int64)
+        end = np.cumsum(sizes)
+        return [h[a:max(a, b - self.run + 1)] for a, b in zip((end - sizes).tolist(), end.tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -299,7 +325,7 @@ def _short_runs(run: int, least_pages: int, chunk_pages: int, chunk_chars: int):
 
         def keys(host: str, held: list[np.ndarray]) -> np.ndarray:
             first, n = run_pages(held, run)
-            return np.repeat(np.concatenate([hashes.runs(p, host) for p in held])[first], np.minimum(n, least_pages))
+            return np.repeat(np.concatenate(hashes.runs(held, [host] * len(held)))[first], np.minimum(n, least_pages))
 
         for batch in batches:
             of: dict[str, tuple[list, list]] = {}
@@ -365,8 +391,8 @@ def _page_runs(run: int):
             for at in range(0, len(batch), 64):
                 uids, keys = [], []
                 of, hosts, found = (batch.slice(at, 64).column(k).to_pylist() for k in range(3))
-                for uid, host, codes in zip(of, hosts, hashes.pages([lines(f) for f in found]), strict=True):
-                    own = np.unique(hashes.runs(codes, host))
+                for uid, whole in zip(of, hashes.runs(hashes.pages([lines(f) for f in found]), hosts), strict=True):
+                    own = np.unique(whole)
                     uids.append(np.full(len(own), uid, dtype=np.int64))
                     keys.append(own)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (uids, keys)], names=["uid", "key"])
@@ -404,11 +430,12 @@ def _clean(run: int, least_pages: int):
             texts = []
             hosts, found, trust, repeated = (batch.column(k).to_pylist() for k in range(2, 6))
             found = [lines(f) for f in found]
-            codes = iter(hashes.pages([f for f, r in zip(found, repeated, strict=True) if r]))
-            for host, f, trusted, rows in zip(hosts, found, trust, repeated, strict=True):
+            codes = hashes.pages([f for f, r in zip(found, repeated, strict=True) if r])
+            runs = iter(hashes.runs(codes, [host for host, r in zip(hosts, repeated, strict=True) if r]))
+            for f, trusted, rows in zip(found, trust, repeated, strict=True):
                 if rows:
                     known = {r["key"]: r["n"] for r in rows}
-                    texts.append(clean(f.decode().split("\n"), trusted, hashes.runs(next(codes), host), known, run, least_pages))
+                    texts.append(clean(f.decode().split("\n"), trusted, next(runs), known, run, least_pages))
                 else:
                     texts.append(f.decode().replace("\n", " "))
             yield pa.RecordBatch.from_arrays(

@@ -460,3 +460,22 @@ def test_page_words_are_hashed_by_whole_arrays():
     want = [[h for b in p for h in [*(hashes.word(w.encode()) for w in b.split(" ")), 0]] for p in pages]
     assert [codes.tolist() for codes in hashes.pages(texts)] == want
     assert len(hashes.known) == 5 and hashes.pages([]) == [] and hashes.pages([b""])[0].tolist() == []
+
+
+def test_page_words_take_no_call_each(monkeypatch):
+    """Words of any length are hashed without a call for each, whatever stands beside them; runs of many pages at once."""
+    import numpy as np
+
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abé\x00") for _ in range(n)) for n in (*range(1, 40), 64, 65, 200) for _ in range(6)})
+    hashes = html_text._Hashes(3)
+    alone = {w: hashes.word(w.encode()) for w in words}
+    assert len(set(alone.values())) == len(words)
+    pages = [[rng.choice(words) for _ in range(rng.randrange(9))] for _ in range(100)]
+    hosts = [rng.choice(["", "a.example"]) for _ in pages]
+    whole = [np.array([h for w in p for h in (alone[w], 0)], dtype=np.uint64) for p in pages]
+    want = [hashes.runs([codes], [host])[0].tolist() for codes, host in zip(whole, hosts)]
+    assert [len(r) for r in want] == [max(0, 2 * len(p) - 2) for p in pages]
+    assert [r.tolist() for r in hashes.runs(whole, hosts)] == want
+    monkeypatch.setattr(hashes, "word", None)
+    assert [c.tolist() for c in hashes.pages(["\n".join(p).encode() for p in pages])] == [c.tolist() for c in whole]
