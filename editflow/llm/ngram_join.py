@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editflow.llm.common import own_columns, saved
+from editflow.llm.common import few_files, own_columns, saved
 from editflow.llm.components import components
 from editflow.llm.shingles import fingerprint, mixed, shingle_sets
 
@@ -408,20 +408,23 @@ def link(docs: DataFrame, words: int = 4, percent: int = 85, first_share: float
         held.join(sets.select("cls", "n").distinct(), "cls").select("cls", "n", "held")
         .mapInArrow(_prefixes(percent), "token long, cls long, n long, df int, extra boolean"), "join-prefixes")
 
+    rows_held = prefixes.count()
     single = prefixes.where("not extra").select(F.col("token").alias("key"), "cls", "n", F.col("cls").alias("root"))
     stars = _star(single, 1, percent).unionByName(_star(single, 2, percent)).distinct()
-    links = saved(_verified(saved(stars, "join-stars"), sets, percent), "join-links")
+    stars = saved(few_files(stars, 2 * rows_held), "join-stars")
+    links = saved(few_files(_verified(stars, sets, percent), 2 * rows_held), "join-links")
     joined = components(links)
     # What two stars left apart: the tokens between components, indexed anew.
-    apart = saved(_apart(_rooted(prefixes, joined), "token"), "join-apart")
+    apart = saved(few_files(_apart(_rooted(prefixes, joined), "token"), rows_held), "join-apart")
     keys = saved(_apart(_between_keys(apart, frequent)), "join-keys")
     for seed in range(3, 3 + STAR_ROUNDS):
-        more = saved(_verified(_star(keys, seed, percent), sets, percent), "join-links")
+        n_keys = keys.count()
+        more = saved(few_files(_verified(_star(keys, seed, percent), sets, percent), n_keys), "join-links")
         if more.isEmpty():
             break
         links = links.unionByName(more)
         joined = components(links)
-        keys = saved(_apart(_rooted(keys, joined)), "join-keys")
+        keys = saved(few_files(_apart(_rooted(keys, joined)), n_keys), "join-keys")
     more = saved(_between_components(keys, sets, percent), "join-links")
     final = components(links.unionByName(more)) if more.head(1) else joined
 

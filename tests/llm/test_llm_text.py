@@ -479,3 +479,30 @@ def test_page_words_take_no_call_each(monkeypatch):
     assert [r.tolist() for r in hashes.runs(whole, hosts)] == want
     monkeypatch.setattr(hashes, "word", None)
     assert [c.tolist() for c in hashes.pages(["\n".join(p).encode() for p in pages])] == [c.tolist() for c in whole]
+
+
+def test_components_write_few_files(spark, monkeypatch):
+    """The rounds' tables have no more files than the cluster has cores, however many partitions a shuffle has."""
+    from editflow.llm import components as C
+
+    written, save = [], C.saved
+
+    def counted(df, name):
+        out = save(df, name)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(C, "saved", counted)
+    cores = spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(8 * cores), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        links = spark.range(600).selectExpr("id * 10 as a", "(id + if(id % 6 = 5, 0, 1)) * 10 as b")
+        got = {r["node"]: r["root"] for r in C.components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {10 * k: 10 * (k - k % 6) for k in range(600)}
+    assert all(n <= cores for name, n in written if name != "edges"), written
