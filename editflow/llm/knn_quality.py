@@ -25,6 +25,7 @@ from editflow.llm.common import own_columns
 _WORDS, _SHAPES, _REPEATS = 768, 1248, 32
 N_FEATURES = _WORDS + _SHAPES + _REPEATS
 _BLOCK_BYTES, _BLOCK_ROWS = 2_000_000, 512
+_PART_BYTES = 250_000  # of texts counted at once: some eighty bytes of work space for each of theirs
 
 # Character classes: 0 other control, 1 space, 2 line break, 3 lower, 4 upper, 5 digit,
 # 6 first byte and 7 later byte of a non-ASCII character, then one for each ASCII punctuation mark.
@@ -45,7 +46,20 @@ def _bins(codes: np.ndarray, n: int) -> np.ndarray:
 
 
 def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Hashed counts (texts by ``N_FEATURES``) of texts that stand one after the other as UTF-8."""
+    """Hashed counts (texts by ``N_FEATURES``) of texts that stand one after the other as UTF-8.
+
+    They are counted some at a time. Empty texts go with the one before them.
+    """
+    out, at = np.zeros((len(offsets) - 1, N_FEATURES), dtype=np.float32), 0
+    while at < len(out):
+        to = int(np.searchsorted(offsets, offsets[at] + _PART_BYTES, side="right")) - 1
+        to = int(np.searchsorted(offsets, offsets[max(to, at + 1)], side="right")) - 1
+        out[at:to] = _part_counts(data, offsets[at:to + 1])
+        at = to
+    return out
+
+
+def _part_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     data = data[offsets[0]:offsets[-1]]
     offsets = offsets.astype(np.int64) - int(offsets[0])

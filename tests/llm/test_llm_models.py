@@ -171,6 +171,23 @@ def test_vote_equals_a_plain_loop():
         assert share == pytest.approx(want, abs=1e-4)
 
 
+def test_counts_take_little_work_space(monkeypatch):
+    """Texts are counted some at a time, with the counts that all of them at once would have."""
+    import tracemalloc
+
+    texts = ["", "", "one two two", *(f"Word {k * k} \u00e9{k % 7}, and {k}! {k}\n" * 40 for k in range(900)), "", "a", "", "word " * 60_000, "", "b b"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)])
+    assert len(data) > 1_000_000
+    tracemalloc.start()
+    got = knn_quality.counts(data, offsets)
+    used = tracemalloc.get_traced_memory()[1] - got.nbytes
+    tracemalloc.stop()
+    assert used < 45_000_000  # the longest text's own share; all texts at once take twice that
+    monkeypatch.setattr(knn_quality, "_PART_BYTES", 1 << 40)
+    assert (got == knn_quality.counts(data, offsets)).all() and not got[[0, 1, 903, 905, 907]].any()
+
+
 def test_classifier_repeated_rows_and_clashing_column(spark):
     rows = [(k, f"good clean words number {k} " * 9 if k % 2 else f"### $$$ {k} junk ### " * 9) for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("quality_score", F.lit("x"))
