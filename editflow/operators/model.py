@@ -67,9 +67,10 @@ def fit_tasks(rows: int, num_trees: int, task_bytes: int = FIT_TASK_BYTES) -> in
     return max(1, -(-rows * (4 * num_trees + 100) // task_bytes))
 
 
-def fit_rows(train: DataFrame, num_trees: int = NUM_TREES, task_bytes: int = FIT_TASK_BYTES) -> DataFrame:
+def fit_rows(train: DataFrame, num_trees: int = NUM_TREES, task_bytes: int = FIT_TASK_BYTES, slots: int = 1) -> DataFrame:
     """The inputs and the label of all rows, stored once under the shared checkpoint folder (a fit
-    reads its rows several times) and dealt evenly over as many tasks as their number asks for.
+    reads its rows several times) and dealt evenly over as many tasks as their number asks for; if
+    that is more than one, over a multiple of ``slots``, so that the last wave of tasks is full too.
 
     Each of several tasks sorts its rows, so a task that runs again draws the same for every row, in
     whatever order a shuffle delivers. Rows that fit one task stay in the order of their source.
@@ -80,12 +81,22 @@ def fit_rows(train: DataFrame, num_trees: int = NUM_TREES, task_bytes: int = FIT
     train.select(*columns).write.parquet(path)
     rows = spark.read.schema(train.select(*columns).schema).parquet(path)
     tasks = fit_tasks(rows.count(), num_trees, task_bytes)
+    tasks = -(-tasks // slots) * slots if tasks > 1 else 1
     return rows.repartition(tasks).sortWithinPartitions(*columns) if tasks > 1 else rows.coalesce(1)
 
 
 def fit(train: DataFrame, num_trees: int = NUM_TREES, k: int = PCA_K, max_depth: int = 5, seed: int = 42) -> PipelineModel:
-    """Fit the pipeline on model rows (features + ``isBotEdit``)."""
-    return build_pipeline(num_trees, k, max_depth, seed).fit(with_label(fit_rows(train, num_trees)))
+    """Fit the pipeline on model rows (features + ``isBotEdit``).
+
+    The dealt rows are kept while the stages read them (nine numbers a row): each of five reads would
+    deal and sort them again.
+    """
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    rows = with_label(fit_rows(train, num_trees, slots=slots)).persist()
+    try:
+        return build_pipeline(num_trees, k, max_depth, seed).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def spread(df: DataFrame) -> DataFrame:

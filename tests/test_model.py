@@ -89,6 +89,28 @@ def test_fit_rows_are_dealt_evenly_whatever_the_splits(spark, rows):
     assert dealt.exceptAll(want).isEmpty() and want.exceptAll(dealt).isEmpty()
 
 
+def test_fit_rows_fill_the_last_wave_of_tasks(spark, rows):
+    n = rows.count()
+    for parts, slots, want in ((6, 4, 8), (2, 3, 3), (8, 4, 8)):
+        dealt = M.fit_rows(rows, num_trees=500, task_bytes=-(-n * 2100 // parts), slots=slots)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert dealt.rdd.getNumPartitions() == len(sizes) == want and sum(sizes) == n and max(sizes) < 1.2 * n / want + 2
+    assert M.fit_rows(rows, num_trees=1, slots=4).rdd.getNumPartitions() == 1  # rows of one task stay in their order
+
+
+def test_fit_keeps_its_rows_only_while_it_reads_them(spark, rows, monkeypatch):
+    held = []
+
+    class Stages:
+        def fit(self, df):
+            held.append((df, df.storageLevel.useMemory))
+            return "model"
+
+    monkeypatch.setattr(M, "build_pipeline", lambda *a: Stages())
+    assert M.fit(rows, num_trees=15) == "model" and held[0][1]
+    assert not held[0][0].storageLevel.useMemory
+
+
 def test_fit_tasks_grow_with_the_rows():
     assert M.fit_tasks(0, 500) == M.fit_tasks(1, 500) == 1
     # A task keeps at most 128 MB at 500 trees: 16 million rows of six gigabytes of tables take hundreds.
