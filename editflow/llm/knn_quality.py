@@ -25,7 +25,7 @@ from editflow.llm.common import own_columns
 _WORDS, _SHAPES, _REPEATS = 768, 1248, 32
 N_FEATURES = _WORDS + _SHAPES + _REPEATS
 _BLOCK_BYTES, _BLOCK_ROWS = 2_000_000, 512
-_PART_BYTES = 250_000  # of texts counted at once: some forty bytes of work space for each of theirs
+_PART_BYTES = 250_000  # of texts counted at once: some seventy bytes of work space for each of theirs
 
 # Character classes: 0 other control, 1 space, 2 line break, 3 lower, 4 upper, 5 digit,
 # 6 first byte and 7 later byte of a non-ASCII character, then one for each ASCII punctuation mark.
